@@ -16,22 +16,17 @@ MAX_BYTES = 16
 TWO_POW_64 = Decimal(2**64)
 
 
-def _signed_long(hex_text: Column, pad: Column) -> Column:
-    """Up to 16 hex digits, filled on the left with ``pad``, as a signed 64-bit number."""
-    return F.conv(F.lpad(hex_text, F.lit(16), pad), 16, -10).cast("bigint")
-
-
-def _place_point(digits: Column, scale: int) -> Column:
-    """Decimal text of an integer text with ``scale`` digits after the point."""
-    if scale == 0:
-        return digits
-    sign = F.when(F.startswith(digits, F.lit("-")), "-").otherwise("")
-    bare = F.ltrim(digits, F.lit("-"))
-    filled = F.when(F.length(bare) > scale, bare).otherwise(
-        F.lpad(bare, F.lit(scale + 1), F.lit("0"))
-    )
-    whole = F.substring(filled, F.lit(1), F.length(filled) - scale)
-    return F.concat(sign, whole, F.lit("."), F.substring(filled, -scale, scale))
+def _signed_long(digits: Column, size: Column) -> Column:
+    """``size`` bytes (at most 8) given as hex digits, as a signed number: the digits' value
+    moved up to the sign bit and back."""
+    gap = F.lit(64) - size * 8
+    raw = F.conv(digits, 16, -10).cast("bigint")
+    return F.call_function("shiftright", F.call_function("shiftleft", raw, gap), gap)
+
+
+def _scaled_text(number: Column, scale: int) -> Column:
+    """An integer number as decimal text with an exponent, which any decimal type can read."""
+    return F.concat(number.cast("string"), F.lit(f"E-{scale}"))
 
 
 def bytes_to_decimal(
@@ -40,37 +35,42 @@ def bytes_to_decimal(
     """Big-endian bytes as ``decimal(precision, scale)``.
 
     Null for null, for no bytes, for more than 16 bytes and for a value that does not fit.
-    Eight bytes or fewer take one base conversion; longer ones two halves in decimal.
+    Eight bytes or fewer take one base conversion; longer ones two halves in decimal. The
+    expression is kept short on purpose: a large one would not be compiled by the JVM.
     """
     value = F.col(col) if isinstance(col, str) else col
     target = T.DecimalType(precision, scale)
     size = F.length(value)
     digits = F.hex(value)
-    negative = F.substring(digits, 1, 1) >= "8" if signed else F.lit(False)
-    pad = F.when(negative, "F").otherwise("0")
 
     if signed:
-        short = _signed_long(digits, pad)
+        short = _signed_long(digits, size)
     else:
-        short = F.conv(digits, 16, 10).cast("decimal(20,0)")
+        short = F.conv(digits, 16, 10)
     if scale <= 17:
         # The product of decimal(20,0) and decimal(s,s) stays within 38 digits, hence exact.
-        unit = F.lit(Decimal(1).scaleb(-scale)) if scale else F.lit(Decimal(1))
-        short = (short.cast("decimal(20,0)") * unit).try_cast(target)
+        unit = Decimal(1).scaleb(-scale)
+        short = (short.cast("decimal(20,0)") * F.lit(unit)).try_cast(target)
     else:
-        short = _place_point(short.cast("string"), scale).try_cast(target)
+        short = _scaled_text(short, scale).try_cast(target)
 
-    high = _signed_long(F.substring(digits, F.lit(1), F.length(digits) - 16), pad)
+    head = F.substring(digits, F.lit(1), F.length(digits) - 16)
     low = F.conv(F.substring(digits, -16, 16), 16, 10).cast("decimal(20,0)")
-    whole = F.try_add(
-        F.try_multiply(high.cast("decimal(20,0)"), F.lit(TWO_POW_64)).try_cast("decimal(38,0)"),
-        low,
-    ).try_cast("decimal(38,0)")
-    long = _place_point(whole.cast("string"), scale).try_cast(target)
-    if not signed:
-        # The top bit of a full 16-byte value is a digit here; such values exceed 38 digits.
-        long = F.when((size < MAX_BYTES) | (F.substring(digits, 1, 1) < "8"), long)
-    return F.when((size >= 1) & (size <= 8), short).when((size > 8) & (size <= MAX_BYTES), long)
+    if signed:
+        # Below zero one unit moves from the low to the high half, so that the product never
+        # exceeds the value itself.
+        negative = F.substring(digits, 1, 1) >= "8"
+        high = _signed_long(head, size - 8) + F.when(negative, 1).otherwise(0)
+        low = low - F.when(negative, F.lit(TWO_POW_64)).otherwise(F.lit(Decimal(0)))
+    else:
+        high = F.conv(head, 16, 10)
+    whole = F.try_add(F.try_multiply(high.cast("decimal(20,0)"), F.lit(TWO_POW_64)), low)
+    long = _scaled_text(whole, scale).try_cast(target)
+    return (
+        F.when(size == 0, None)
+        .when(size <= 8, short)
+        .when(size <= MAX_BYTES, long)
+    )
 
 
 def decode_failed(raw: Column | str, decoded: Column | str) -> Column:
@@ -83,8 +83,7 @@ def decode_failed(raw: Column | str, decoded: Column | str) -> Column:
 def latin1_bytes(col: Column | str) -> Column:
     """The bytes that a JSON text carries as characters U+0000 to U+00FF; else null."""
     text = F.col(col) if isinstance(col, str) else col
-    fits = text.rlike("(?s)^[\\x00-\\xFF]*$")
-    return F.when(fits, F.encode(F.when(fits, text), "ISO-8859-1"))
+    return F.when(text.rlike("(?s)^[\\x00-\\xFF]*$"), F.encode(text, "ISO-8859-1"))
 
 
 def convert_decimal_fields(
@@ -130,40 +129,56 @@ def _is_bytes_object(dtype: T.DataType) -> bool:
     )
 
 
-def _decode_objects(col: Column, dtype: T.DataType, name: str, scales, default, signed) -> Column:
-    if _is_bytes_object(dtype):
-        precision, scale = scales.get(name, default)
-        raw = latin1_bytes(col.getField("bytes"))
-        return bytes_to_decimal(raw, precision, scale, signed=signed).cast("string")
+def _walk(col: Column, dtype: T.DataType, name: str, is_leaf, leaf) -> Column:
+    """Rebuild a nested column with ``leaf(column, name)`` in place of the marked leaves."""
+    if is_leaf(dtype):
+        return leaf(col, name)
     if isinstance(dtype, T.StructType):
         parts = [
-            _decode_objects(col.getField(f.name), f.dataType, f.name, scales, default, signed)
-            .alias(f.name)
+            _walk(col.getField(f.name), f.dataType, f.name, is_leaf, leaf).alias(f.name)
             for f in dtype.fields
         ]
         return F.when(col.isNotNull(), F.struct(*parts))
     if isinstance(dtype, T.ArrayType):
-        return F.transform(
-            col,
-            lambda x: _decode_objects(x, dtype.elementType, name, scales, default, signed),
-        )
+        return F.transform(col, lambda x: _walk(x, dtype.elementType, name, is_leaf, leaf))
     return col
 
 
 def json_bytes_to_decimal(
-    col: Column | str,
+    df: DataFrame,
+    col: str,
     schema: T.StructType,
     scales: Mapping[str, tuple[int, int]] | None = None,
     *,
     default: tuple[int, int] = (38, 2),
     signed: bool = True,
-) -> Column:
-    """JSON text whose ``{"bytes": "…"}`` objects are replaced by decimal texts.
+) -> DataFrame:
+    """Replace the ``{"bytes": "…"}`` objects in the JSON texts of ``col`` by decimal texts.
 
     ``schema`` is that of the message, with ``struct<bytes string>`` where a decimal stands;
     ``scales`` gives precision and scale by field name. A value that cannot be decoded is left
-    out of the text, as null fields are.
+    out of the text, as null fields are. Each step is a projection of its own, so that no step
+    is worked out once per field of the next.
     """
-    text = F.col(col) if isinstance(col, str) else col
-    parsed = F.from_json(text, schema, {"mode": "PERMISSIVE"})
-    return F.to_json(_decode_objects(parsed, schema, "", scales or {}, default, signed))
+    scales = scales or {}
+
+    def decode(raw: Column, name: str) -> Column:
+        precision, scale = scales.get(name, default)
+        return bytes_to_decimal(raw, precision, scale, signed=signed).cast("string")
+
+    parsed = df.withColumn(col, F.from_json(col, schema, {"mode": "PERMISSIVE"}))
+    as_bytes = parsed.withColumn(
+        col,
+        _walk(
+            F.col(quoted(col)), schema, "", _is_bytes_object,
+            lambda c, _: latin1_bytes(c.getField("bytes")),
+        ),
+    )
+    as_text = as_bytes.withColumn(
+        col,
+        _walk(
+            F.col(quoted(col)), as_bytes.schema[col].dataType, "",
+            lambda t: isinstance(t, T.BinaryType), decode,
+        ),
+    )
+    return as_text.withColumn(col, F.to_json(quoted(col)))

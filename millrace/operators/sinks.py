@@ -6,12 +6,11 @@ import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.operators.shapes import flatten
-from millrace.sources.readers import FormatUnavailable
+from millrace.sources.readers import known_format
 
 
 class CountMismatch(RuntimeError):
@@ -27,15 +26,11 @@ def write_csv(df: DataFrame, path: str, *, sep: str = "_", **options) -> None:
 def write_table(df: DataFrame, target: str, fmt: str = "parquet", **options) -> None:
     """Overwrite a warehouse table (``bigquery``) or a path of another format."""
     writer = df.write.format(fmt).mode("overwrite").options(**options)
-    try:
+    with known_format(fmt):
         if fmt == "bigquery":
             writer.option("table", target).save()
         else:
             writer.save(target)
-    except AnalysisException as err:
-        if "find data source" in str(err):
-            raise FormatUnavailable(f"format {fmt!r} is not on the class path") from err
-        raise
 
 
 def staging_name(prefix: str = "temp_table") -> str:

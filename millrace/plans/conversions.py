@@ -27,7 +27,7 @@ from millrace.operators.shapes import (
 from millrace.operators.warehouse import conform
 from millrace.plans.registry import query, table
 from millrace.sources.readers import branch_frame
-from millrace.sources.schemas import infer_json_schema, schema_of_sample
+from millrace.sources.schemas import infer_json_schema, parse_schema, schema_of_sample
 
 K_SQL = "CAST(json_extract(props, '$.k') AS BIGINT)"
 
@@ -324,12 +324,12 @@ def _json_bytes_to_decimal(spark, sf):
         ).alias("Message")
     )
     docs = table(spark, sf, "customer").select("c_custkey", F.to_json(message).alias("doc"))
-    schema = T.StructType.fromDDL(
+    schema = parse_schema(
         "Message struct<ApplicationNumber: string, DebtRatio: struct<bytes: string>>"
     )
     plain = "Message struct<ApplicationNumber: string, DebtRatio: string>"
     return (
-        docs.select("c_custkey", json_bytes_to_decimal("doc", schema).alias("doc"))
+        json_bytes_to_decimal(docs, "doc", schema)
         .select("c_custkey", json_struct("doc", plain).alias("d"))
         .select(
             "c_custkey",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote, urlsplit
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,32 @@ PEM_BLOCK = r"(?s)-----BEGIN ([A-Z0-9 ]+)-----(.*?)-----END \1-----"
 OBJECT_SCHEME = "gs://"
 
 
+def _listing(spark: SparkSession, files: DataFrame, root: str) -> DataFrame:
+    """``file_key`` and ``path`` relative to ``root`` of every file.
+
+    A scan leaves out files of length zero; the relation's own listing, which the driver holds
+    for any scan, has them.
+    """
+    base = unquote(urlsplit(root).path if "://" in root else root).rstrip("/") + "/"
+    rows = []
+    for uri in files.inputFiles():
+        key = urlsplit(uri).path
+        full = unquote(key)
+        rows.append((key, full[full.index(base) + len(base):] if base in full else full))
+    return spark.createDataFrame(rows, "file_key string, path string")
+
+
+def _file_key() -> Column:
+    """The encoded path of a scanned file without scheme and host, which the listing and the
+    scan write differently."""
+    return F.regexp_replace(F.col("_metadata.file_path"), r"^[A-Za-z0-9+.\-]+:(//[^/]*)?", "")
+
+
+def _reader(spark: SparkSession, fmt: str, recursive: bool, glob: str | None):
+    out = spark.read.format(fmt).option("recursiveFileLookup", recursive)
+    return out.option("pathGlobFilter", glob) if glob else out
+
+
 def file_manifest(
     spark: SparkSession,
     root: str,
@@ -19,22 +47,24 @@ def file_manifest(
     checksum: bool = False,
 ) -> DataFrame:
     """One row per file below ``root``: ``path`` relative to it, ``size``, ``modified`` and,
-    on request, the SHA-256 of the content. Without checksum no file is opened."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(root)
-    name = root.rstrip("/").rpartition("/")[2]
-    out = {
-        "path": F.substring_index(F.col("path"), f"/{name}/", -1)
-        if name
-        else F.col("path"),
-        "size": F.col("length"),
+    on request, the SHA-256 of the content. Without checksum no file is opened.
+
+    Files of length zero have no modification time here. A checksum reads each file in one
+    task, so it is for files that fit a task.
+    """
+    files = _reader(spark, "binaryFile", recursive, glob).load(root)
+    found = {
+        "size": F.coalesce("length", F.lit(0)).cast("bigint"),
         "modified": F.col("modificationTime"),
     }
     if checksum:
-        out["checksum"] = F.sha2(F.col("content"), 256)
-    return files.select(*[c.alias(n) for n, c in out.items()])
+        found["checksum"] = F.sha2(F.coalesce("content", F.lit(b"")), 256)
+    scanned = files.withColumn("file_key", _file_key())
+    return (
+        _listing(spark, files, root)
+        .join(scanned.drop("path"), "file_key", "left")
+        .select("path", *[c.alias(n) for n, c in found.items()])
+    )
 
 
 def sync_plan(source: DataFrame, target: DataFrame, by: tuple[str, ...] = ("size",)) -> DataFrame:
@@ -58,36 +88,25 @@ def file_row_counts(
     recursive: bool = False,
     glob: str | None = None,
 ) -> DataFrame:
-    """Rows per file without its header lines: ``file_path``, ``file_name``, ``row_count``.
+    """Rows per file without its header lines: ``path``, ``file_name``, ``row_count``.
 
     Lines end at a line feed only, a last line without one counts, and empty files count 0.
-    Large files are split over tasks and counted in parts. The listing gives the files that
-    have no line at all.
+    Large files are split over tasks and counted in parts.
     """
-
-    def reader(fmt):
-        out = spark.read.format(fmt).option("recursiveFileLookup", recursive)
-        return out.option("pathGlobFilter", glob) if glob else out
-
-    lines = (
-        reader("text")
-        .option("lineSep", "\n")
-        .load(root)
-        .groupBy(F.col("_metadata.file_path").alias("file_path"))
-        .agg(F.count(F.lit(1)).alias("lines"))
+    files = _reader(spark, "text", recursive, glob).option("lineSep", "\n").load(root)
+    lines = files.groupBy(_file_key().alias("file_key")).agg(
+        F.count(F.lit(1)).alias("lines")
     )
-    listed = (
-        reader("binaryFile")
-        .load(root)
+    rows = F.greatest(F.coalesce("lines", F.lit(0)) - header, F.lit(0))
+    return (
+        _listing(spark, files, root)
+        .join(lines, "file_key", "left")
         .select(
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_name").alias("file_name"),
+            "path",
+            F.substring_index("path", "/", -1).alias("file_name"),
+            rows.cast("bigint").alias("row_count"),
         )
     )
-    rows = F.greatest(F.coalesce(F.col("lines"), F.lit(0)) - header, F.lit(0))
-    return listed.join(lines, "file_path", "left").select(
-        "file_path", "file_name", rows.cast("bigint").alias("row_count")
-    )
 
 
 def render_counts(counts: DataFrame) -> DataFrame:

@@ -97,6 +97,13 @@ def select_offsets(
     ]
     if not ranges:
         return df.where(F.lit(False))
+    # Implied by the ranges, and simple enough for a file scan to skip row groups by.
+    df = df.where(F.col("topic").isin(sorted({r[0] for r in ranges})))
+    low, high = min(r[2] for r in ranges), [r[3] for r in ranges]
+    if low != EARLIEST:
+        df = df.where(F.col("offset") >= low)
+    if LATEST not in high:
+        df = df.where(F.col("offset") < max(high))
     if len(ranges) <= max_inline:
         tests = []
         for t, p, a, b in ranges:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -15,17 +16,24 @@ class FormatUnavailable(RuntimeError):
     """The session has no data source of this name."""
 
 
-def _load(reader, fmt: str, path, *, package: str | None) -> DataFrame:
+@contextmanager
+def known_format(fmt: str, package: str | None = None):
+    """Turn the error for a data source that is not on the class path into a readable one."""
     try:
-        return reader.load(path) if path is not None else reader.load()
-    except AnalysisException as err:
-        if package and "find data source" in str(err):
-            raise FormatUnavailable(
-                f"format {fmt!r} needs the package {package} on the class path"
-            ) from err
+        yield
+    except Exception as err:
+        # Built-in external formats and unknown names fail with different error classes.
+        if re.search(r"Failed to find (the )?data source", str(err)):
+            need = f"the package {package}" if package else "its connector"
+            raise FormatUnavailable(f"format {fmt!r} needs {need} on the class path") from err
         raise
 
 
+def _load(reader, fmt: str, path, *, package: str | None) -> DataFrame:
+    with known_format(fmt, package):
+        return reader.load(path) if path is not None else reader.load()
+
+
 def _configured(reader, fmt: str, path, schema, settings: Mapping[str, str]):
     prof = profile(fmt)
     if prof.needs_path and not path:

@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.sources.log import offset_ledger
-from millrace.sources.readers import FormatUnavailable
+from millrace.sources.readers import known_format
 from millrace.streaming.messages import bad_messages, good_messages, kafka_envelope, parse_messages
 
 BATCH = "batch_id"
@@ -51,12 +50,8 @@ def start_sink(
         writer = writer.trigger(availableNow=True)
     elif interval:
         writer = writer.trigger(processingTime=interval)
-    try:
+    with known_format(fmt):
         return writer.start()
-    except AnalysisException as err:
-        if "find data source" in str(err):
-            raise FormatUnavailable(f"no streaming sink {fmt!r} in this session") from err
-        raise
 
 
 def run_to_end(query: StreamingQuery) -> None:

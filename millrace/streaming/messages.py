@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import xml_escape
+from millrace.operators.shapes import quoted
 
 # The names and types of the envelope.
 ENVELOPE = T.StructType([
@@ -22,6 +23,8 @@ ENVELOPE = T.StructType([
     T.StructField("timestampType", T.IntegerType(), False),
 ])
 CORRUPT = "_corrupt_record"
+# Fixed value: the blanks JSON allows around a value.
+JSON_BLANKS = " \t\r\n"
 
 
 def _envelope_columns() -> dict[str, Column]:
@@ -77,6 +80,10 @@ def parse_messages(
     The struct is opened by a generator rather than by field access, because a later filter on
     the corrupt column would otherwise be pushed below and parse every value a second time.
     """
+    taken = {n.lower() for n in (*envelope.columns, CORRUPT)}
+    clash = [n for n in schema.fieldNames() if n.lower() in taken]
+    if clash:
+        raise ValueError(f"schema fields named like envelope columns: {', '.join(clash)}")
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json(F.col("value"), full, options)
@@ -126,11 +133,17 @@ def valid_messages(
     region: str,
     load_whole: bool = False,
     required: tuple[str, ...] = (),
+    bad_path: str | None = None,
 ) -> DataFrame:
-    """Valid messages of an envelope with a schema; the envelope unparsed without one."""
+    """Valid messages of an envelope with a schema; the envelope unparsed without one.
+
+    With ``bad_path`` the bad rows are appended there now, in a job of its own; persist the
+    envelope first if its source is costly to read twice.
+    """
     if schema is None:
         return envelope
     parsed = parse_messages(envelope, schema, required=required)
+    write_bad_records(bad_messages(parsed), bad_path)
     return good_messages(
         parsed, schema, consumer_group=consumer_group, region=region, load_whole=load_whole
     )
@@ -168,9 +181,6 @@ def enrich_json(
     not a JSON object gives null.
     """
     raw = F.col("value").cast("string")
-    message = F.trim(F.regexp_replace(raw, r"^\s+|\s+$", ""))
-    is_object = F.startswith(message, F.lit("{")) & F.try_parse_json(message).isNotNull()
-    body = F.regexp_replace(F.substring(message, F.lit(1), F.length(message) - 1), r"\s+$", "")
     added = [
         F.col("topic").alias("Kafka_topic"),
         F.col("offset").alias("Kafka_offset"),
@@ -181,10 +191,19 @@ def enrich_json(
         added.append(_text_headers(F.col("headers")).alias("Kafka_header"))
     if whole:
         added.append(raw.alias("Json"))
-    tail = F.to_json(F.struct(*added))
-    glue = F.when(body == "{", "").otherwise(", ")
-    text = F.concat(body, glue, F.substring(tail, F.lit(2), F.length(tail)))
-    return df.withColumn(name, F.when(raw.isNull(), "").when(is_object, text))
+    # Three projections, each used more than once by the next, so none is worked out twice.
+    message = F.trim(raw, F.lit(JSON_BLANKS))
+    staged = df.withColumns({"_message": message, "_tail": F.to_json(F.struct(*added))})
+    inner = F.substring("_message", F.lit(1), F.length("_message") - 1)
+    staged = staged.withColumn("_body", F.rtrim(inner, F.lit(JSON_BLANKS)))
+    is_object = F.startswith("_message", F.lit("{")) & F.try_parse_json("_message").isNotNull()
+    text = F.concat(
+        "_body",
+        F.when(F.col("_body") == "{", "").otherwise(", "),
+        F.substring("_tail", F.lit(2), F.length("_tail")),
+    )
+    enriched = F.when(raw.isNull(), "").when(is_object, text)
+    return staged.select(*[F.col(quoted(c)) for c in df.columns], enriched.alias(name))
 
 
 def enrich_xml(df: DataFrame, row_tag: str, name: str = "enriched") -> DataFrame:

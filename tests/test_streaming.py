@@ -1,0 +1,117 @@
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.plans.event_log import as_log, faulty_value, plain_value
+from millrace.plans.messages import PAYLOAD
+from millrace.session import scratch_path, shared_root
+from millrace.sources.log import offset_ledger
+from millrace.sources.readers import FormatUnavailable, stream_source
+from millrace.streaming.ingest import (
+    overwrite_batch,
+    read_batches,
+    run_to_end,
+    split_writer,
+    start_sink,
+    start_split,
+)
+from millrace.streaming.messages import bad_messages, good_messages, kafka_envelope, parse_messages
+
+ARGS = {"consumer_group": "g", "region": "r"}
+
+
+@pytest.fixture
+def source(spark, sf):
+    """The events in six files, to be read as a stream of several batches."""
+    path = scratch_path(spark, "stream-source")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.repartition(6).write.parquet(path)
+    return path, events
+
+
+def test_append_sink_in_batches_and_restart(spark, source):
+    path, events = source
+    root = scratch_path(spark, "sink")
+
+    def run():
+        stream = stream_source(spark, "parquet", path, events.schema, max_files_per_trigger=2)
+        log = as_log(stream, plain_value()).select("topic", "partition", "offset", "value")
+        query = start_sink(log, "parquet", f"{root}/cp", path=f"{root}/out", available_now=True, name="t")
+        run_to_end(query)
+        return len(query.recentProgress), spark.read.parquet(f"{root}/out")
+
+    batches, out = run()
+    assert batches >= 3
+    assert out.count() == events.count()
+    # Nothing new: a restart from the checkpoint adds no rows.
+    assert run()[1].count() == events.count()
+    events.where("event_id < 10").coalesce(1).write.mode("append").parquet(path)
+    assert run()[1].count() == events.count() + 10
+    assert out.select("topic", "partition", "offset").distinct().count() == events.count()
+
+
+def test_split_equals_the_batch_result(spark, source):
+    path, events = source
+    root = scratch_path(spark, "split")
+    write = split_writer(PAYLOAD, f"{root}/good", f"{root}/bad", ledger_path=f"{root}/ledger", **ARGS)
+
+    def run():
+        stream = stream_source(spark, "parquet", path, events.schema, max_files_per_trigger=2)
+        query = start_split(as_log(stream, faulty_value()), write, f"{root}/cp", available_now=True)
+        run_to_end(query)
+
+    run()
+    run()
+    log = as_log(events, faulty_value())
+    parsed = parse_messages(kafka_envelope(log), PAYLOAD)
+    for name, want in (
+        ("good", good_messages(parsed, PAYLOAD, **ARGS)), ("bad", bad_messages(parsed))
+    ):
+        got = read_batches(spark, f"{root}/{name}")
+        assert got.columns == want.columns
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    ledger = (
+        read_batches(spark, f"{root}/ledger")
+        .groupBy("topic", "partition")
+        .agg(F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset"))
+    )
+    assert ledger.exceptAll(offset_ledger(log)).count() == 0
+
+
+def test_a_repeated_batch_replaces_itself(spark, source):
+    _, events = source
+    root = scratch_path(spark, "replay")
+    write = split_writer(PAYLOAD, f"{root}/good", f"{root}/bad", **ARGS)
+    log = as_log(events, faulty_value())
+    write(log, 7)
+    first = read_batches(spark, f"{root}/good").count()
+    write(log, 7)
+    assert read_batches(spark, f"{root}/good").count() == first
+    write(log, 8)
+    assert read_batches(spark, f"{root}/good").count() == 2 * first
+
+
+def test_no_bad_location(spark, source, tmp_path):
+    _, events = source
+    split_writer(PAYLOAD, str(tmp_path / "good"), None, **ARGS)(as_log(events, faulty_value()), 0)
+    assert [p.name for p in tmp_path.iterdir()] == ["good"]
+
+
+def test_console_and_absent_sinks(spark, source):
+    path, events = source
+    stream = stream_source(spark, "parquet", path, events.schema).select("event_id")
+    root = scratch_path(spark, "other")
+    run_to_end(start_sink(stream, "console", f"{root}/cp", options={"truncate": False, "numRows": 1},
+                          available_now=True))
+    for fmt in ("kafka", "delta"):
+        with pytest.raises(FormatUnavailable, match=fmt):
+            start_sink(stream, fmt, f"{root}/{fmt}", available_now=True)
+
+
+def test_shared_root_is_the_session_setting(spark):
+    assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_overwrite_batch_formats(spark, tmp_path):
+    overwrite_batch(spark.range(2), str(tmp_path / "o"), 1)
+    assert read_batches(spark, str(tmp_path / "o")).columns == ["id"]
