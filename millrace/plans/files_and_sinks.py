@@ -83,9 +83,9 @@ FROM documents
 def _pem_blocks(spark, sf):
     def block(kind, text):
         body = F.base64(F.encode(text, "UTF-8"))
-        lines = F.regexp_replace(body, r"(.{64})", "$1\n")
         return F.concat(
-            F.lit(f"-----BEGIN {kind}-----\n"), lines, F.lit(f"\n-----END {kind}-----\n")
+            F.lit(f"-----BEGIN {kind}-----\n"), F.substring(body, 1, 64), F.lit("\n"),
+            F.substring(body, F.lit(65), F.length(body)), F.lit(f"\n-----END {kind}-----\n"),
         )
 
     texts = table(spark, sf, "documents").select(

@@ -158,16 +158,15 @@ def write_bad_records(df: DataFrame, path: str | None, fmt: str = "json") -> Non
 def _text_headers(headers: Column) -> Column:
     """Headers ``array<struct<key, value binary>>`` as a map of text; the last of a repeated
     key stands."""
+    keys, values = headers["key"], headers["value"].cast("array<string>")
+    distinct = F.array_distinct(keys)
     last = F.transform(
-        F.array_distinct(F.transform(headers, lambda h: h["key"])),
-        lambda k: F.struct(
-            k.alias("key"),
-            F.element_at(F.filter(headers, lambda h: h["key"] == k), -1)["value"]
-            .cast("string")
-            .alias("value"),
-        ),
+        distinct, lambda k: F.element_at(F.filter(headers, lambda h: h["key"] == k), -1)["value"]
+    ).cast("array<string>")
+    unique = F.size(distinct) == F.size(keys)
+    return F.when(unique, F.map_from_arrays(keys, values)).when(
+        ~unique, F.map_from_arrays(distinct, last)
     )
-    return F.map_from_entries(last)
 
 
 def enrich_json(

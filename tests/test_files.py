@@ -81,13 +81,14 @@ def test_pem_blocks(spark, tmp_path):
     cert, key = bytes(range(256)) * 2, b"key bytes"
     text = "note\n" + pem("CERTIFICATE", cert) + pem("PRIVATE KEY", key) + pem("CERTIFICATE", b"z")
     (tmp_path / "a.pem").write_text(text)
+    text += "-----BEGIN CERTIFICATE-----\nY Q=\r\n=\n-----END CERTIFICATE-----"
     (tmp_path / "b.pem").write_text("-----BEGIN CERTIFICATE-----\nno end")
     (tmp_path / "c.pem").write_text("-----BEGIN X-----\n!!!\n-----END X-----")
     rows = pem_blocks(read_whole_texts(spark, str(tmp_path))).collect()
     got = sorted((r.path.rsplit("/", 1)[1], r.kind, r.der_length, r.fingerprint) for r in rows)
     want = [
         ("a.pem", k, len(d), hashlib.sha256(d).hexdigest())
-        for k, d in (("CERTIFICATE", cert), ("PRIVATE KEY", key), ("CERTIFICATE", b"z"))
+        for k, d in (("CERTIFICATE", cert), ("PRIVATE KEY", key), ("CERTIFICATE", b"z"), ("CERTIFICATE", b"a"))
     ] + [("c.pem", "X", None, None)]
     assert got == sorted(want)
 
