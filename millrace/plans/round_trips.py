@@ -10,7 +10,7 @@ from millrace.session import scratch_path
 from millrace.sources.readers import read_source
 
 # Text formats are written in files of bounded length, since a reader cannot split XML.
-MAX_RECORDS = 2_000_000
+MAX_RECORDS = 250_000
 
 ORDERS_SQL = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,

@@ -99,10 +99,10 @@ PROFILES = {
         Profile(
             "mongodb",
             options=(
-                "pipeline", "readPreference.name", "partitioner", "connection.uri",
-                "aggregation.pipeline",
+                "pipeline", "readPreference.name", "partitioner", "aggregation.pipeline",
             ),
-            required=("uri", "database", "collection"),
+            required=("database", "collection"),
+            one_of=("uri", "connection.uri"),
             prefixes=("partitionerOptions.", "partitioner.options.", "spark.mongodb.read."),
             needs_path=False,
             package="org.mongodb.spark:mongo-spark-connector_2.13",
@@ -226,7 +226,15 @@ def _check_kafka(out: Mapping[str, str], stream: bool) -> None:
         if "endingOffsets" in out:
             raise OptionError("kafka: endingOffsets applies to batch reads only")
         return
-    if out.get("startingOffsets", "").strip().lower() == "latest":
-        raise OptionError("kafka: a batch read cannot start at latest")
-    if out.get("endingOffsets", "").strip().lower() == "earliest":
-        raise OptionError("kafka: a batch read cannot end at earliest")
+    for name, word, number in (
+        ("startingOffsets", "latest", -1), ("endingOffsets", "earliest", -2)
+    ):
+        value = out.get(name, "").strip()
+        if value.startswith("{"):
+            parts = [o for topic in json.loads(value).values() for o in topic.values()]
+            banned = number in parts
+        else:
+            banned = value.lower() == word
+        if banned:
+            side = "start at" if name == "startingOffsets" else "end at"
+            raise OptionError(f"kafka: a batch read cannot {side} {word}")

@@ -12,6 +12,9 @@ from pyspark.sql.types import StructType
 from millrace.sources.options import OptionError, check_options, profile
 
 
+MAX_FILES_PER_TRIGGER = 1000
+
+
 class FormatUnavailable(RuntimeError):
     """The session has no data source of this name."""
 
@@ -71,14 +74,15 @@ def stream_source(
     schema: StructType | str | None = None,
     options: Mapping | None = None,
     *,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
     **kwargs,
 ) -> DataFrame:
     """Streaming read of ``fmt`` with checked options.
 
     A file stream wants a directory or a glob; a path that names one file is turned into a
     glob for that same name. ``max_files_per_trigger`` bounds a file micro-batch, as
-    ``maxOffsetsPerTrigger`` bounds one of the message log.
+    ``maxOffsetsPerTrigger`` bounds one of the message log; without a bound the first batch of
+    a large backlog would be all of it.
     """
     prof = profile(fmt)
     settings = check_options(fmt, {**(options or {}), **kwargs}, stream=True)
@@ -86,7 +90,7 @@ def stream_source(
         head, _, name = path.rstrip("/").rpartition("/")
         path = f"{head}/[{name[0]}]{name[1:]}"
     reader = _configured(spark.readStream, fmt, path, schema, settings)
-    if max_files_per_trigger:
+    if prof.needs_path:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return _load(reader, prof.fmt, path, package=prof.package)
 

@@ -144,6 +144,11 @@ def test_kafka_options(spark):
         check_options("kafka", kafka_options("b"))
     with pytest.raises(OptionError, match="cannot start at latest"):
         check_options("kafka", kafka_options("b", subscribe="t", starting="latest"))
+    for bad in ({"starting": {"t": {0: -1}}}, {"ending": {"t": {0: -2}}}, {"ending": "earliest"}):
+        with pytest.raises(OptionError, match="batch read cannot"):
+            check_options("kafka", kafka_options("b", subscribe="t", **bad))
+    with pytest.raises(OptionError, match="batch reads only"):
+        check_options("kafka", kafka_options("b", subscribe="t", ending="latest"), stream=True)
     with pytest.raises(FormatUnavailable, match="kafka"):
         read_log(spark, "b", subscribe=["a", "b"])
     with pytest.raises(FormatUnavailable, match="kafka"):
