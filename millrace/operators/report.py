@@ -28,8 +28,11 @@ def group_minima(
 
 
 def parse_day(col: str, fmt: str | None) -> Column:
-    """Date text by its format, or the text itself (and its order) without one."""
-    return F.col(col) if fmt is None else F.to_date(F.col(col), fmt)
+    """Date text by its format, or the text itself (and its order) without one.
+
+    Text that is no such date gives null, hence takes no part in a minimum.
+    """
+    return F.col(col) if fmt is None else F.try_to_timestamp(F.col(col), F.lit(fmt)).cast("date")
 
 
 def min_pair_match(

@@ -24,13 +24,25 @@ def write_csv(df: DataFrame, path: str, *, sep: str = "_", **options) -> None:
 
 
 def write_table(df: DataFrame, target: str, fmt: str = "parquet", **options) -> None:
-    """Overwrite a warehouse table (``bigquery``) or a path of another format."""
-    writer = df.write.format(fmt).mode("overwrite").options(**options)
+    """Overwrite a target: a path of a file format, a catalog table (``table``), or a warehouse
+    table (``bigquery``)."""
+    writer = df.write.mode("overwrite").options(**options)
     with known_format(fmt):
-        if fmt == "bigquery":
-            writer.option("table", target).save()
+        if fmt == "table":
+            writer.saveAsTable(target)
+        elif fmt == "bigquery":
+            writer.format(fmt).option("table", target).save()
         else:
-            writer.save(target)
+            writer.format(fmt).save(target)
+
+
+def _read_back(df: DataFrame, target: str, fmt: str, options: dict) -> DataFrame:
+    if fmt == "table":
+        return df.sparkSession.table(target)
+    reader = df.sparkSession.read.format(fmt).options(**options)
+    if fmt in ("csv", "json", "xml"):
+        reader = reader.schema(df.schema)
+    return reader.load(target)
 
 
 def staging_name(prefix: str = "temp_table") -> str:
@@ -42,7 +54,7 @@ def staging_name(prefix: str = "temp_table") -> str:
 class VerifiedWrite:
     """A write whose two counts agree."""
 
-    path: str
+    target: str
     source_rows: int
     target_rows: int
 
@@ -57,17 +69,16 @@ def verified_write(
 ) -> VerifiedWrite:
     """Write to a fresh staging name below ``root`` and compare the counts.
 
-    The source rows are counted while they are written, so the lineage runs once and a source
-    that is not deterministic is counted as written. A difference raises.
+    ``root`` is a folder, or the database or dataset for tables. The source rows are counted
+    while they are written, so the lineage runs once and a source that is not deterministic is
+    counted as written. A difference raises.
     """
-    path = f"{root.rstrip('/')}/{staging_name(prefix)}"
+    sep = "." if fmt in ("table", "bigquery") else "/"
+    target = f"{root.rstrip(sep)}{sep}{staging_name(prefix)}"
     seen = Observation()
-    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, fmt, **options)
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), target, fmt, **options)
     source = int(seen.get["rows"])
-    reader = df.sparkSession.read.format(fmt).options(**options)
-    if fmt not in ("parquet", "orc"):
-        reader = reader.schema(df.schema)
-    target = reader.load(path).count()
-    if source != target:
-        raise CountMismatch(f"{path}: wrote {source} rows, found {target}")
-    return VerifiedWrite(path, source, target)
+    found = _read_back(df, target, fmt, options).count()
+    if source != found:
+        raise CountMismatch(f"{target}: wrote {source} rows, found {found}")
+    return VerifiedWrite(target, source, found)

@@ -243,7 +243,7 @@ def _strip_and_parse_json(spark, sf):
 SELECT c_custkey,
        replace('<employees><employee><id>' || c_custkey || '</id></employee><employee><name>'
          || c_name || '</name></employee></employees>', '</employee>',
-         '<company>bigdatasolutions</company></employee>') AS xml
+         '<company>acme</company></employee>') AS xml
 FROM customer
 """)
 def _xml_inject(spark, sf):
@@ -251,7 +251,7 @@ def _xml_inject(spark, sf):
         "<employees><employee><id>%d</id></employee><employee><name>%s</name></employee>"
         "</employees>", "c_custkey", "c_name",
     )
-    fragment = "<company>bigdatasolutions</company>"
+    fragment = "<company>acme</company>"
     return table(spark, sf, "customer").select(
         "c_custkey", inject_before_close(text, "employee", fragment).alias("xml")
     )

@@ -21,7 +21,7 @@ SELECT count(*) AS source_rows, count(*) AS target_rows FROM orders
 """)
 def _verified_write_counts(spark, sf):
     done = verified_write(table(spark, sf, "orders"), scratch_path(spark, "verified"))
-    written = spark.read.parquet(done.path)
+    written = spark.read.parquet(done.target)
     return written.agg(
         F.lit(done.source_rows).cast("bigint").alias("source_rows"),
         F.count(F.lit(1)).alias("target_rows"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -306,7 +306,7 @@ def _load_job_status(spark, sf):
     targets = table(spark, sf, "customer").select(
         F.format_string("tbl_%d", "c_custkey").alias("destination")
     )
-    now = F.lit(datetime(2024, 1, 31)).cast("timestamp_ntz")
+    now = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
     return load_job_status(targets, jobs, now=now, window=timedelta(hours=36))
 
 

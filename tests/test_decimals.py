@@ -64,6 +64,7 @@ def test_overflow_of_the_precision(spark):
     assert [r[0] for r in flags] == [True, False]
 
 
+# Sample byte texts and the decimals they stand for.
 SAMPLES = {
     "DebtRatio": ("\u00040", "10.72"),
     "MaxDTI": ("\u0005\u0014", "13.00"),

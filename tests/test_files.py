@@ -58,18 +58,23 @@ def tree(root: pathlib.Path, files):
 
 
 def test_manifest_and_sync(spark, tmp_path):
-    src = tree(tmp_path / "src", {"same": "a", "d/changed": "bb", "d/grown": "ccc", "new file": "d"})
-    dst = tree(tmp_path / "dst", {"same": "a", "d/changed": "xx", "d/grown": "c", "extra": "e"})
-    left, right = (file_manifest(spark, p, checksum=True) for p in (src, dst))
+    src = tree(tmp_path / "src", {"same": "a", "d/changed": "bb", "d/grown": "ccc", "new file": "d", "empty": ""})
+    dst = tree(tmp_path / "dst", {"same": "a", "d/changed": "xx", "d/grown": "c", "extra": "e", "empty": ""})
+    left, right = (file_manifest(spark, p, checksum="content") for p in (src, dst))
     rows = {r.path: r for r in left.collect()}
-    assert set(rows) == {"same", "d/changed", "d/grown", "new file"}
+    assert set(rows) == {"same", "d/changed", "d/grown", "new file", "empty"}
+    assert (rows["empty"].size, rows["empty"].checksum) == (0, hashlib.sha256(b"").hexdigest())
     assert rows["d/grown"].size == 3
     assert rows["same"].checksum == hashlib.sha256(b"a").hexdigest()
     plan = {r.path: r.action for r in sync_plan(left, right, ("size", "checksum")).collect()}
-    assert plan == {"same": "delete_source", "d/changed": "copy", "d/grown": "copy", "new file": "copy"}
+    assert plan == {"same": "delete_source", "empty": "delete_source", "d/changed": "copy", "d/grown": "copy", "new file": "copy"}
     by_size = {r.path: r.action for r in sync_plan(left, right).collect()}
     assert by_size["d/changed"] == "delete_source"
-    assert file_manifest(spark, src, recursive=False).count() == 2
+    assert file_manifest(spark, src, recursive=False).count() == 3
+    lines = {r.path: r.checksum for r in file_manifest(spark, src, checksum="lines").collect()}
+    other = {r.path: r.checksum for r in file_manifest(spark, dst, checksum="lines").collect()}
+    assert lines["same"] == other["same"] and lines["d/changed"] != other["d/changed"]
+    assert lines["empty"] == "0:0"
     assert "checksum" not in file_manifest(spark, src).columns
 
 

@@ -4,6 +4,7 @@ from hypothesis import strategies as st
 
 from millrace.operators.report import group_minima, join_on, min_pair_match
 
+# The sample rows of the price report.
 PRICES = [
     (1001, 100, "01-01-2020"), (1001, 200, "01-01-2020"), (1001, 300, "02-01-2020"),
     (1002, 200, "01-01-2020"), (1002, 300, "01-01-2020"), (1002, 400, "02-01-2020"),
@@ -38,6 +39,8 @@ def test_text_order_against_date_order(spark):
     )
     assert min_pair_match(df, ["k"], "day", "p").count() == 0
     assert min_pair_match(df, ["k"], "day", "p", fmt="dd-MM-yyyy").first().day == "02-01-2019"
+    odd = df.union(spark.createDataFrame([(1, 1, "soon")], df.schema))
+    assert min_pair_match(odd, ["k"], "day", "p", fmt="dd-MM-yyyy").count() == 0
 
 
 def test_ties_and_groups_without_match(spark):

@@ -40,7 +40,13 @@ def test_verified_write(spark, tmp_path, fmt):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, value string")
     done = verified_write(df, str(tmp_path), fmt=fmt)
     assert (done.source_rows, done.target_rows) == (2, 2)
-    assert done.path.startswith(str(tmp_path))
+    assert done.target.startswith(str(tmp_path))
+
+
+def test_verified_write_to_a_catalog_table(spark):
+    done = verified_write(spark.range(7), "default", fmt="table", prefix="staged")
+    assert done.target.startswith("default.staged_") and done.target_rows == 7
+    assert spark.table(done.target).count() == 7
 
 
 def test_source_runs_once_and_is_counted_as_written(spark, tmp_path):
@@ -53,7 +59,7 @@ def test_source_runs_once_and_is_counted_as_written(spark, tmp_path):
 
     df = spark.range(100, numPartitions=4).mapInPandas(tap, "id bigint").where(F.rand() < 0.5)
     done = verified_write(df, str(tmp_path))
-    assert done.source_rows == done.target_rows == spark.read.parquet(done.path).count()
+    assert done.source_rows == done.target_rows == spark.read.parquet(done.target).count()
     assert seen.value == 100
 
 
