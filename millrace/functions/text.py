@@ -30,8 +30,9 @@ def strip_and_parse(df: DataFrame, col: str, *, multiline: bool = False) -> Data
     A null text is no error: it stays null with the flag set.
     """
     clean = json_or_null(strip_markup(col, multiline=multiline))
-    return df.withColumns(
-        {col: clean, f"{col}_ok": F.col(col).isNull() | clean.isNotNull()}
+    staged = df.withColumns({col: clean, "_absent": F.col(col).isNull()})
+    return staged.withColumn(f"{col}_ok", F.col("_absent") | F.col(col).isNotNull()).drop(
+        "_absent"
     )
 
 
@@ -66,7 +67,8 @@ def result_json_array(df: DataFrame, name: str = "value", max_rows: int = 10_000
     At most ``max_rows + 1`` rows are ever brought together; a larger frame fails the query
     instead of being cut. Use :func:`rows_to_json` for those.
     """
-    rows = df.limit(max_rows + 1).select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("r"))
+    record = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.limit(max_rows + 1).select(record.alias("r"))
     packed = rows.agg(F.collect_list("r").alias("all"))
     too_many = F.raise_error(F.lit(f"more than {max_rows} rows: write rows_to_json instead"))
     return packed.select(

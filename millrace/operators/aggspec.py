@@ -158,8 +158,8 @@ def control_record(
     """The spec's global aggregates, the struct ``datacontrols`` of them, and ``control_json``,
     the JSON array text with that one record."""
     out = pack_struct(agg_spec(df, spec, alias=alias, order_by=order_by))
-    text = F.concat(F.lit("["), F.to_json(F.struct(*[F.col(f"`{c}`") for c in out.columns])), F.lit("]"))
-    return out.withColumn("control_json", text)
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in out.columns]))
+    return out.withColumn("control_json", F.concat(F.lit("["), record, F.lit("]")))
 
 
 def spec_items(df: DataFrame, col: str = "spec") -> DataFrame:

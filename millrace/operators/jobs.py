@@ -42,12 +42,12 @@ def load_job_status(
         F.count(F.lit(1)).alias("jobs"),
     )
     is_failed = F.col("_failed") == F.col("_last")
+    status = (
+        F.when(F.col("_last").isNull(), "unmatched").when(is_failed, "failed").otherwise("ok")
+    )
     return targets.join(newest, "destination", "left").select(
         *targets.columns,
-        F.when(F.col("_last").isNull(), "unmatched")
-        .when(is_failed, "failed")
-        .otherwise("ok")
-        .alias("status"),
+        status.alias("status"),
         F.when(is_failed, F.col("_reason")).alias("reason"),
         F.coalesce("jobs", F.lit(0)).cast("bigint").alias("jobs"),
     )
@@ -56,6 +56,7 @@ def load_job_status(
 def require_loaded(status: DataFrame, *, require_match: bool = True) -> None:
     """Raise for a failed destination, and with ``require_match`` for an unmatched one."""
     wrong = ["failed", "unmatched"] if require_match else ["failed"]
-    row = status.where(F.col("status").isin(wrong)).select("destination", "status", "reason").first()
+    failed = status.where(F.col("status").isin(wrong))
+    row = failed.select("destination", "status", "reason").first()
     if row is not None:
         raise LoadJobError(f"{row.destination}: {row.status} {row.reason or ''}".strip())

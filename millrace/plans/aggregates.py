@@ -176,7 +176,8 @@ SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(15,2))) AS VARCHAR) AS total,
 FROM orders
 """)
 def _control_record(spark, sf):
-    orders = table(spark, sf, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast(MONEY))
+    price = F.col("o_totalprice").cast(MONEY)
+    orders = table(spark, sf, "orders").withColumn("o_totalprice", price)
     record = control_record(orders, "sum(o_totalprice)|min(o_orderkey)|max(o_custkey)")
     form = "array<struct<`sum(o_totalprice)`: decimal(25,2), `max(o_custkey)`: bigint>>"
     back = F.from_json("control_json", form)[0]

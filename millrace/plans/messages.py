@@ -187,7 +187,8 @@ def _enrich_json(spark, sf):
     text = F.col("enriched")
     kind = F.when(text.isNull(), "null").when(text == "", "empty").otherwise("object")
     back = F.from_json(text, ENRICHED, {"mode": "PERMISSIVE"})
-    return enriched.select("offset", kind.alias("kind"), F.inline(F.array(back))).drop("Kafka_header")
+    opened = enriched.select("offset", kind.alias("kind"), F.inline(F.array(back)))
+    return opened.drop("Kafka_header")
 
 
 @query("enrich_json_headers", f"""

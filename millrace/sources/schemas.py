@@ -122,7 +122,8 @@ def latest_schemas(
     """Newest schema text per subject of a ``(subject, version, schema)`` table.
 
     The reduction is a partial aggregate per task, so a subject with very many versions costs
-    no more than others. With ``topics`` the result has one row per distinct topic that is
+    no more than others. Carrying the text makes it a sort-based one, but it sorts within a
+    task's split; looking the text up by a join would shuffle the whole registry instead. With ``topics`` the result has one row per distinct topic that is
     registered under ``topic + suffix``.
     """
     newest = registry.groupBy("subject").agg(
