@@ -152,6 +152,8 @@ def infer_json_schema(df: DataFrame, col: str) -> str:
     not JSON are passed over, and kinds that disagree become strings.
     """
     found = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(col)))).first()[0]
+    if not found.startswith(("OBJECT<", "ARRAY<")):
+        raise ValueError(f"the texts of {col} have no common structure: {found}")
     return variant_ddl(found)
 
 

@@ -27,6 +27,11 @@ CORRUPT = "_corrupt_record"
 JSON_BLANKS = " \t\r\n"
 
 
+def _millis(col: str = "timestamp") -> Column:
+    """Epoch milliseconds; a stored log may hold its times without zone."""
+    return F.unix_millis(F.col(col).cast("timestamp"))
+
+
 def _envelope_columns() -> dict[str, Column]:
     return {
         "key": F.col("key").cast("string"),
@@ -34,11 +39,16 @@ def _envelope_columns() -> dict[str, Column]:
         "Kafka_topic": F.col("topic"),
         "Kafka_partitionId": F.col("partition"),
         "Kafka_offset": F.col("offset"),
-        "Kafka_CreateTime": F.unix_millis(F.col("timestamp")),
+        "Kafka_CreateTime": _millis(),
         "timestampType": F.col("timestampType"),
     }
 
 
+def create_time(col: Column | str = "Kafka_CreateTime") -> Column:
+    """The envelope's create time, which is epoch milliseconds, as a timestamp."""
+    return F.timestamp_millis(F.col(col) if isinstance(col, str) else col)
+
+
 def _complete() -> Column:
     return F.forall(
         F.array(*[F.col(n).isNull() for n in ENVELOPE.fieldNames()]), lambda missing: ~missing
@@ -184,7 +194,7 @@ def enrich_json(
         F.col("topic").alias("Kafka_topic"),
         F.col("offset").alias("Kafka_offset"),
         F.col("partition").alias("Kafka_partitionId"),
-        F.unix_millis("timestamp").alias("Kafka_CreateTime"),
+        _millis().alias("Kafka_CreateTime"),
     ]
     if header:
         added.append(_text_headers(F.col("headers")).alias("Kafka_header"))
@@ -220,7 +230,7 @@ def enrich_xml(df: DataFrame, row_tag: str, name: str = "enriched") -> DataFrame
         ("Kafka_topic", xml_escape("topic")),
         ("Kafka_offset", F.col("offset").cast("string")),
         ("Kafka_partitionId", F.col("partition").cast("string")),
-        ("Kafka_CreateTime", F.unix_millis("timestamp").cast("string")),
+        ("Kafka_CreateTime", _millis().cast("string")),
     ):
         pieces += [F.lit(f"<{tag}>"), F.coalesce(col, F.lit("")), F.lit(f"</{tag}>")]
     text = F.concat(head, *pieces, F.lit(close), tail)

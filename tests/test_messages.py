@@ -12,6 +12,7 @@ from millrace.streaming.messages import (
     CORRUPT,
     ENVELOPE,
     bad_messages,
+    create_time,
     enrich_json,
     enrich_xml,
     envelope_rejects,
@@ -50,6 +51,9 @@ def test_envelope(spark):
     rows = [tuple(r) for r in out.collect()]
     assert rows[0] == ("key", '{"field1":"value1"}', "test-topic", 0, 100, MILLIS, 1)
     assert rows[1][1] is None
+    assert out.select(F.unix_millis(create_time())).first()[0] == MILLIS
+    no_zone = log_of(spark, "{}").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    assert kafka_envelope(no_zone).first().Kafka_CreateTime == MILLIS
 
 
 def test_strict_envelope(spark):

@@ -301,6 +301,9 @@ def test_inference_covers_all_rows(spark):
     assert kinds == {
         "sum(col1)": "bigint", "b": "struct<c:array<bigint>,d:boolean>", "z": "string", "n": "string"
     }
+    for mixed in (["x"], ["1", '{"a": 1}'], [None]):
+        with pytest.raises(ValueError, match="no common structure"):
+            infer_json_schema(spark.createDataFrame([(m,) for m in mixed], "v string"), "v")
     assert variant_ddl("OBJECT<a: ARRAY<VOID>>") == "STRUCT<a: ARRAY<STRING>>"
 
 
