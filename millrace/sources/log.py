@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The offset words of the log protocol, and their numbers.
@@ -125,6 +125,21 @@ def select_offsets(
     return df.join(bounds, inside, "left_semi")
 
 
+def replay_log(
+    spark: SparkSession,
+    path: str,
+    *,
+    subscribe: str | Sequence[str] | None = None,
+    assign: Mapping[str, Sequence[int]] | None = None,
+    pattern: str | None = None,
+    starting: str | Mapping[str, Mapping] = "earliest",
+    ending: str | Mapping[str, Mapping] = "latest",
+) -> DataFrame:
+    """Batch read of a log stored as Parquet, selected as a read from a broker would be."""
+    log = select_topics(spark.read.parquet(path), subscribe, assign, pattern)
+    return select_offsets(log, starting, ending)
+
+
 def read_messages(df: DataFrame, payload_format: str | Column) -> DataFrame:
     """Tag each message by payload format: ``avro`` in any case, everything else is text.
 

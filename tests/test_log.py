@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from millrace.sources.log import (
     offset_ledger,
     read_messages,
+    replay_log,
     select_offsets,
     select_topics,
     split_confluent_frame,
@@ -88,6 +89,18 @@ def test_offsets_reach_the_scan(spark, log, tmp_path):
     assert "EqualTo(partition,0)" in pushed
 
 
+def test_replay_of_a_stored_log(spark, log, tmp_path):
+    path = str(tmp_path / "log")
+    log.write.partitionBy("topic").parquet(path)
+    got = replay_log(spark, path, subscribe="orders", ending={"orders": {0: 2, 1: 1}})
+    assert picked(got) == {("orders", 0, 0), ("orders", 0, 1), ("orders", 1, 0)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan
+    assert replay_log(spark, path, pattern="orders.*").count() == 60
+    with pytest.raises(ValueError, match="exactly one"):
+        replay_log(spark, path)
+
+
 def test_payload_formats(spark):
     df = spark.createDataFrame(
         [(b"k", b"\x01", "AVRO"), (b"k", b"t", "json"), (None, b"u", None), (b"k", None, "avro")],
