@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,9 +10,10 @@ from pyspark.sql import functions as F
 
 from millrace.operators.shapes import quoted
 
-# The text around a PEM block, and the scheme of an object path.
+# The text around a PEM block, the scheme of an object path, the head of a URI.
 PEM_BEGIN, PEM_END, PEM_DASHES = "-----BEGIN ", "-----END ", "-----"
 OBJECT_SCHEME = "gs://"
+SCHEME_AND_HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"
 
 
 def _listing(spark: SparkSession, files: DataFrame, root: str) -> DataFrame:
@@ -20,7 +22,7 @@ def _listing(spark: SparkSession, files: DataFrame, root: str) -> DataFrame:
     A scan leaves out files of length zero; the relation's own listing, which the driver holds
     for any scan, has them.
     """
-    base = unquote(urlsplit(root).path if "://" in root else root).rstrip("/") + "/"
+    base = re.sub(SCHEME_AND_HOST, "", root).rstrip("/") + "/"
     rows = []
     for uri in files.inputFiles():
         key = urlsplit(uri).path
@@ -32,7 +34,7 @@ def _listing(spark: SparkSession, files: DataFrame, root: str) -> DataFrame:
 def _file_key() -> Column:
     """The encoded path of a scanned file without scheme and host, which the listing and the
     scan write differently."""
-    return F.regexp_replace(F.col("_metadata.file_path"), r"^[A-Za-z0-9+.\-]+:(//[^/]*)?", "")
+    return F.regexp_replace(F.col("_metadata.file_path"), SCHEME_AND_HOST, "")
 
 
 def _reader(spark: SparkSession, fmt: str, recursive: bool, glob: str | None):

@@ -70,6 +70,12 @@ def test_manifest_and_sync(spark, tmp_path):
     assert plan == {"same": "delete_source", "empty": "delete_source", "d/changed": "copy", "d/grown": "copy", "new file": "copy"}
     by_size = {r.path: r.action for r in sync_plan(left, right).collect()}
     assert by_size["d/changed"] == "delete_source"
+    for form in (f"file:{src}", f"file://{src}/"):
+        assert {r.path for r in file_manifest(spark, form).collect()} == set(rows)
+    odd = tree(tmp_path / "odd %20 + dir", {"a%20b#c?.txt": "x", "ü +.txt": ""})
+    assert {r.path: r.size for r in file_manifest(spark, odd).collect()} == {
+        "a%20b#c?.txt": 1, "ü +.txt": 0
+    }
     assert file_manifest(spark, src, recursive=False).count() == 3
     lines = {r.path: r.checksum for r in file_manifest(spark, src, checksum="lines").collect()}
     other = {r.path: r.checksum for r in file_manifest(spark, dst, checksum="lines").collect()}

@@ -55,6 +55,15 @@ def test_min_pair_match(frame, rows):
     assert any(r[0] == 0 for r in want)
 
 
+def test_a_third_of_all_rows_tie(shuffled, rows):
+    tied = [(0, 0, 0, i) if k == 0 else (k, d, p, i) for k, d, p, i in rows]
+    frame = shuffled.createDataFrame(tied, "k int, d int, p int, i int").repartition(8)
+    found = min_pair_match(frame, ["k"], "d", "p")
+    names = shuffled.createDataFrame([(k, f"n{k}") for k in range(400)], "k int, name string")
+    hot = join_on(found, names, "k").where("k = 0")
+    assert hot.count() == sum(1 for r in tied if r[0] == 0)
+
+
 def test_rows_of_a_hot_group_are_spread(frame):
     spread = frame.repartition(16, "k", "d", "p").where("k = 0").groupBy(F.spark_partition_id()).count()
     counts = [r["count"] for r in spread.collect()]
