@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -43,9 +44,12 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
+
+
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -107,6 +107,23 @@ def test_console_and_absent_sinks(spark, source):
             start_sink(stream, fmt, f"{root}/{fmt}", available_now=True)
 
 
+class Session:
+    """The one thing of a session that the shared root asks for."""
+
+    def __init__(self, **conf):
+        self.conf = {k.replace("__", "."): v for k, v in conf.items()}
+
+
+def test_shared_root_without_the_setting():
+    local = Session(spark__master="local[2]")
+    assert shared_root(local) == shared_root(local)
+    assert shared_root(local).startswith("/tmp/run-")
+    with pytest.raises(ValueError, match="shared by all executors"):
+        shared_root(Session(spark__master="spark://host:7077"))
+    named = Session(spark__master="spark://host:7077", spark__checkpoint__dir="hdfs:///x/")
+    assert shared_root(named) == "hdfs:///x"
+
+
 def test_shared_root_is_the_session_setting(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
