@@ -8,9 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import table
+from millrace.llm.embedding_dedup import near_duplicates
 from millrace.llm.exact_dedup import exact_duplicates
+from millrace.llm.ngram_join import similar_documents
 from millrace.llm.packing import pack
+from millrace.llm.pieces import decode, encode
 from millrace.llm.sharding import byte_shards
+from millrace.llm.substring_dedup import repeated_passages
+from millrace.llm.toxicity import toxicity
+from millrace.llm.urls import judge_urls
 from millrace.llm.warc import read_archive, write_archive
 from millrace.session import scratch_path
 
@@ -34,6 +40,52 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    scored, _ = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.drop("spans")
+
+
+@query("op2_embedding_dedup")
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its number of links and its component."""
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_ngram_join", """
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') AS words
+    FROM documents
+), s AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN []
+        WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 3),
+                            lambda i: array_to_string(list_slice(words, i, i + 4), ' ')) END) AS grams
+    FROM w
+), g AS (SELECT doc_id, unnest(grams) AS gram FROM s),
+n AS (SELECT doc_id, len(grams)::BIGINT AS n_shingles FROM s),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM g AS a JOIN g AS b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+    JOIN n AS x ON x.doc_id = a.doc_id JOIN n AS y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+    HAVING 100 * count(*) >= 75 * (min(x.n_shingles) + min(y.n_shingles) - count(*))
+), reach AS (
+    WITH RECURSIVE r AS (
+        SELECT doc_id, doc_id AS other FROM n
+        UNION SELECT r.doc_id, links.b FROM r JOIN links ON r.other = links.a
+    ) SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id
+)
+SELECT doc_id, n_shingles, component_id FROM n JOIN reach USING (doc_id)
+""")
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its number of shingles and its component."""
+    return similar_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op4_exact_dedup", """
 WITH n AS (
     SELECT doc_id,
@@ -56,6 +108,31 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+@query("op6_pieces")
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to piece ids and decoded again."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", encode(F.col("text"), model).alias("ids"))
+    docs = docs.withColumn("decoded", decode(F.col("ids"), model))
+    return docs.select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"),
+        F.xxhash64("ids").alias("ids_hash"), F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
+@query("op7_substring_dedup")
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of a document that stands in other documents too."""
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op8_url_filter")
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    return judge_urls(table(spark, sf_dir, "pages")).drop("tokens")
+
+
 @query("op9_warc", """
 WITH n AS (
     SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
