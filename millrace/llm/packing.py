@@ -73,30 +73,29 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int = CAPACITY) -> lis
         while left:
             remaining = tree.tightest(length)
             if remaining < 0:
-                each = capacity // length
-                full, rest = divmod(left, each)
-                for k in range(each):
-                    n = full + (k < rest)
-                    if n:
-                        steps.append((length, item, bins, n, k * length))
-                        item += n
-                if full:
-                    open_run(capacity - each * length, bins, full)
-                if rest:
-                    open_run(capacity - rest * length, bins + full, 1)
-                bins += full + (rest > 0)
-                left = 0
+                remaining, first, n = capacity, bins, left  # as many new bins as it takes
             else:
                 first, n = runs[remaining].popleft()
-                used = min(n, left)
                 tree.add(remaining, -n)
-                steps.append((length, item, first, used, capacity - remaining))
-                if used < n:
-                    runs[remaining].appendleft((first + used, n - used))
-                    tree.add(remaining, n - used)
-                open_run(remaining - length, first, used)
-                item += used
-                left -= used
+            # A bin that has just taken an item is tighter than its like, so it takes what it can.
+            each = remaining // length
+            placed = min(left, n * each)
+            full, rest = divmod(placed, each)
+            used = full + (rest > 0)
+            for k in range(min(each, placed)):
+                on = full + (k < rest)
+                steps.append((length, item, first, on, capacity - remaining + k * length))
+                item += on
+            if full:
+                open_run(remaining - each * length, first, full)
+            if rest:
+                open_run(remaining - rest * length, first + full, 1)
+            if first == bins:
+                bins += used
+            elif used < n:
+                runs[remaining].appendleft((first + used, n - used))
+                tree.add(remaining, n - used)
+            left -= placed
     return steps
 
 
