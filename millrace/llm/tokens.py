@@ -1,51 +1,58 @@
-"""Byte-level BPE ids of whole texts, with each distinct word encoded once per batch."""
+"""Byte-level BPE ids of whole texts."""
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
 import numpy as np
 
-CACHED = 300_000
-# The place before a space between two other characters: the public byte-level pattern always
-# starts a new word there, whatever stands before.
-WORDS = re.compile(r"(?<=\S) (?=\S)")
+# Characters that every Unicode version of the libraries puts into the same class.
+SETTLED = "\x00-ɏΆ-ώЀ-ӿḀ-ỿ‐-⁤ぁ-ゔァ-ヴ一-龥가-힣"
+UNSETTLED = re.compile(f"[^{SETTLED}]")
 
 
 class ByteBpe:
-    """Encodes texts with a ``tokenizers`` file; ids come as little-endian unsigned 32-bit bytes.
+    """Encodes texts with the vocabulary of a ``tokenizers`` file; ids as little-endian unsigned 32-bit bytes.
 
-    A text falls apart before single spaces, where no word of the tokenizer's pattern goes
-    across, and the ids of the parts are strung together. Parts are kept in a cache, which is
-    emptied at ``CACHED`` entries.
+    The same vocabulary runs through ``tiktoken``, which takes a fraction of the time for the same ids. What the two
+    could see differently, special tokens and characters that are new to Unicode, goes to
+    ``tokenizers``.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def _learn(self, known: dict[str, bytes], words: set[str], before: str) -> None:
-        new = [w for w in words if w not in known]
-        for at in range(0, len(new), 20_000):
-            some = new[at:at + 20_000]
-            codes = self.tokenizer.encode_batch_fast([before + w for w in some], add_special_tokens=False)
-            for word, code in zip(some, codes, strict=True):
-                known[word] = np.array(code.ids, dtype="<u4").tobytes()
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        self.special = [t["content"] for t in content["added_tokens"]]
+        byte = _byte_of_letter()
+        ranks = {
+            bytes(byte[c] for c in piece): i
+            for piece, i in content["model"]["vocab"].items() if piece not in self.special
+        }
+        self.fast = tiktoken.Encoding(
+            "byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) + len(self.later) > CACHED:
-            self.first.clear()
-            self.later.clear()
-        parts = [WORDS.split(t) for t in texts]
-        self._learn(self.first, {p[0] for p in parts}, "")
-        later: set[str] = set()
-        for p in parts:
-            later.update(p[1:])
-        self._learn(self.later, later, " ")
-        get = self.later.__getitem__
-        return [self.first[p[0]] + b"".join(map(get, p[1:])) for p in parts]
+        out = []
+        for text in texts:
+            if UNSETTLED.search(text) or any(s in text for s in self.special):
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            else:
+                ids = self.fast.encode_ordinary(text)
+            out.append(np.array(ids, dtype="<u4").tobytes())
+        return out
+
+
+def _byte_of_letter() -> dict[str, int]:
+    """The public byte-level alphabet: printable bytes are themselves, others follow from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
