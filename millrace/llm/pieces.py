@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import functools
 import heapq
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,37 +12,52 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-RUNS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-CACHED = 700_000
+CACHED = 200_000
 PAIR_BITS = 21
-INDEXED = 400_000  # characters of one suffix array
+INDEXED = 200_000  # characters of one suffix array
+BLOCK = 1_000_000  # characters of the texts taken together
+
+
+def load(path: str):
+    """The library's model; only ones that leave the text as it is, spaces apart, are taken."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    if model.normalize(" A \ufb01  ") != f"{SPACE}{SPACE}A{SPACE}\ufb01{SPACE}{SPACE}":
+        raise ValueError("the model changes texts before it encodes them")
+    return model
+
+
+@functools.lru_cache(maxsize=2)
+def plain_bytes(path: str) -> list[bytes]:
+    """What each piece stands for; control pieces stand for nothing."""
+    model, out = load(path), []
+    for i in range(model.vocab_size()):
+        piece = model.id_to_piece(i)
+        if model.is_byte(i):
+            out.append(bytes([int(piece[3:5], 16)]))
+        elif model.is_unknown(i):
+            out.append(" ⁇ ".encode())
+        else:
+            out.append(b"" if model.is_control(i) or model.is_unused(i) else piece.replace(SPACE, " ").encode())
+    return out
 
 
 class PieceModel:
     """The pieces of a SentencePiece BPE model with byte fallback, and what follows from them."""
 
     def __init__(self, path: str) -> None:
-        import sentencepiece
-
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        if model.normalize(" A ﬁ  ") != f"{SPACE}{SPACE}A ﬁ{SPACE}{SPACE}":
-            raise ValueError("only models that leave the text as it is are taken")
+        model = load(path)
+        self.size = model.vocab_size()
         self.rank: dict[str, float] = {}
         self.id: dict[str, int] = {}
         self.bytes_id = [0] * 256
-        self.plain: list[bytes] = [b""] * model.vocab_size()
-        for i in range(model.vocab_size()):
+        for i in range(self.size):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
                 self.bytes_id[int(piece[3:5], 16)] = i
-                self.plain[i] = bytes([int(piece[3:5], 16)])
-            elif model.is_unknown(i):
-                self.plain[i] = " ⁇ ".encode()
-            elif not (model.is_control(i) or model.is_unused(i)):
+            elif not (model.is_unknown(i) or model.is_control(i) or model.is_unused(i)):
                 self.rank[piece], self.id[piece] = -model.get_score(i), i
-                self.plain[i] = piece.replace(SPACE, " ").encode()
-        if any(SPACE in p.lstrip(SPACE) for p in self.id):
-            raise ValueError("only models whose pieces do not go across spaces are taken")
         # Pieces that merging can make, in the order of their characters, as fixed-width keys.
         made = sorted(p for p in self.id if self.merge(p) == [p])
         self.depth = max(map(len, made))
@@ -58,6 +72,14 @@ class PieceModel:
         self.pair_code = np.full(1 << PAIR_BITS, -1, dtype=np.int64)
         self.pair_fits = np.zeros(1 << PAIR_BITS, dtype=bool)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        # Which characters stand side by side in some piece: a bit for each pair of codes.
+        self.letters = len(letters) + 2
+        self.pairs = np.zeros(self.letters**2 // 8 + 1, dtype=np.uint8)
+        for piece in self.id:
+            codes = self._codes(piece).astype(np.int64)
+            both = codes[:-1] * self.letters + codes[1:]
+            np.bitwise_or.at(self.pairs, both >> 3, (1 << (both & 7)).astype(np.uint8))
 
     def _codes(self, text: str) -> np.ndarray:
         return self.code[np.frombuffer(text.encode("utf-32-le"), dtype="<u4")]
@@ -104,11 +126,11 @@ class PieceModel:
 
     def fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether pieces stay as they are when they meet; answers are kept in a table of fixed size."""
-        pair = left * len(self.plain) + right
+        pair = left * self.size + right
         slot = self._slot(pair)
         new = np.unique(pair[self.pair_code[slot] != pair])
         for code, at in zip(new.tolist(), self._slot(new).tolist(), strict=True):
-            one, two = (self.text[x] for x in divmod(code, len(self.plain)))
+            one, two = (self.text[x] for x in divmod(code, self.size))
             self.pair_code[at], self.pair_fits[at] = code, self.merge(one + two) == [one, two]
         out = self.pair_fits[slot]
         lost = np.flatnonzero(self.pair_code[slot] != pair)  # two pairs wanted one place
@@ -198,14 +220,34 @@ class PieceModel:
                 some = np.array(spelled_out, dtype="<i4")
             self.known[text] = some.tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def _runs(self, texts: list[str]) -> list[list[str]]:
+        """Each text in runs that no piece goes across, so each is merged on its own."""
+        whole = "\0".join(texts)
+        codes = self._codes(whole).astype(np.int64)
+        both = codes[:-1] * self.letters + codes[1:]
+        apart = (self.pairs[both >> 3] >> (both & 7).astype(np.uint8)) & 1 == 0
+        cuts = np.concatenate([[0], np.flatnonzero(apart) + 1, [len(whole)]])
+        sizes = np.array([len(t) for t in texts])
+        ends = np.cumsum(sizes + 1) - 1
+        first, last = np.searchsorted(cuts, ends - sizes), np.searchsorted(cuts, ends)
+        cuts = cuts.tolist()
+        return [
+            [whole[a:b] for a, b in zip(cuts[i:j], cuts[i + 1:j + 1], strict=True)] if n else []
+            for i, j, n in zip(first.tolist(), last.tolist(), sizes.tolist(), strict=True)
+        ]
+
+    def _make_known(self, runs: list[str]) -> None:
+        """Runs used of late outlast the others when the cache is full."""
         if len(self.known) > CACHED:
-            self.known.clear()
-        parts = [RUNS.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        new = list(dict.fromkeys(r for p in parts for r in p if r not in self.known))
+            self.known, self.older = {}, self.known
         group: list[str] = []
         size = 0
-        for run in new:
+        for run in dict.fromkeys(runs):
+            if run in self.known:
+                continue
+            if run in self.older:
+                self.known[run] = self.older[run]
+                continue
             group.append(run)
             size += len(run) + 1
             if size > INDEXED:
@@ -213,12 +255,29 @@ class PieceModel:
                 group, size = [], 0
         if group:
             self.learn(group)
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, p)), dtype="<i4") for p in parts]
 
-    def decode(self, ids) -> str:
-        raw = b"".join(map(self.plain.__getitem__, ids))
-        return raw.removeprefix(b" ").decode("utf-8", "replace")
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        out: list[np.ndarray] = []
+        for block in _blocks([SPACE + t.replace(" ", SPACE) if t else "" for t in texts]):
+            parts = self._runs(block)
+            self._make_known([r for p in parts for r in p])
+            get = self.known.__getitem__
+            out += [np.frombuffer(b"".join(map(get, p)), dtype="<i4") for p in parts]
+        return out
+
+
+def _blocks(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in blocks of about ``BLOCK`` characters, or one longer text."""
+    block: list[str] = []
+    size = 0
+    for text in texts:
+        block.append(text)
+        size += len(text) + 1
+        if size > BLOCK:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
 
 
 @functools.lru_cache(maxsize=2)
@@ -226,24 +285,25 @@ def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
+def decoded(plain: list[bytes], ids) -> str:
+    return b"".join(map(plain.__getitem__, ids)).removeprefix(b" ").decode("utf-8", "replace")
+
+
 def encode(text: Column, model_file: str) -> Column:
     """Piece ids of a text; a null or empty text has none.
 
-    The words of a batch of texts are strung together and indexed by a suffix array; every piece's
-    occurrences come from binary search, and going through them in order of their ends picks the pieces that
-    byte-pair merging gives. A word is worked out once per task as long as the cache holds it. Equal texts
-    have equal ids. NUL characters are spelled in bytes, as are all characters that have no piece.
+    The words of a batch of texts are strung together and indexed by a suffix array; every
+    piece's occurrences come from binary search, and going through them in order of their ends
+    picks the pieces that byte-pair merging gives. Frequent words stay known for the life of
+    the worker. Equal texts have equal ids. NUL characters are spelled in bytes, as are all
+    characters that have no piece.
     """
 
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = piece_model(model_file)
         for texts in batches:
-            out: list[np.ndarray] = []
-            values = texts.tolist()
-            for at in range(0, len(values), 2000):
-                out += model.encode(values[at:at + 2000])
-            yield pd.Series(out, dtype=object)
+            yield pd.Series(model.encode(texts.tolist()), dtype=object)
 
     return run(text)
 
@@ -251,13 +311,14 @@ def encode(text: Column, model_file: str) -> Column:
 def decode(ids: Column, model_file: str) -> Column:
     """The text of piece ids: the opposite of :func:`encode`; null ids are an empty text.
 
-    Exact for every text without the character that stands for a space in pieces, which comes back as a space.
+    Exact for every text without the character that stands for a space in pieces, which comes
+    back as a space.
     """
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = piece_model(model_file)
+        plain = plain_bytes(model_file)
         for rows in batches:
-            yield pd.Series([model.decode(r.tolist()) if r is not None else "" for r in rows], dtype=object)
+            yield pd.Series([decoded(plain, r.tolist()) if r is not None else "" for r in rows], dtype=object)
 
     return run(ids)

@@ -3,7 +3,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.llm.pieces import decode, encode, piece_model
+from millrace.llm.pieces import decode, decoded, encode, piece_model, plain_bytes
 from millrace.llm.queries import QUERIES, tokenizer_file
 
 PATH = tokenizer_file("piece_bpe_32k.model")
@@ -23,7 +23,7 @@ def test_same_as_the_library(library, texts):
     ids = [x.tolist() for x in model.encode(texts)]
     assert ids == library.encode(texts)
     for text, row in zip(texts, ids, strict=True):
-        assert model.decode(row) == text.replace("▁", " ")
+        assert decoded(plain_bytes(PATH), row) == text.replace("▁", " ")
 
 
 def test_documents(spark, sf, library):
