@@ -24,6 +24,13 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(np.append(starts, len(keys)))
 
 
+def _shared(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First rows of the runs of a key, and which rows belong to keys of several ids."""
+    starts, lengths = _runs(rows["key"])
+    least, most = (f.reduceat(rows["id"], starts) for f in (np.minimum, np.maximum))
+    return starts, np.repeat(least != most, lengths)
+
+
 def _pack(emit: Callable, buckets: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = None
@@ -35,16 +42,17 @@ def _pack(emit: Callable, buckets: int) -> Callable:
                 order = np.argsort(keys, kind="stable")
                 rows = np.zeros(len(keys), dtype=ENTRY)
                 rows["key"], rows["id"], rows["pos"] = keys[order], ids[order], places[order]
-                starts, lengths = _runs(rows["key"])
-                several = np.repeat(lengths > 1, lengths)
+                starts, several = _shared(rows)
                 rows["shown"] = several
                 out = []
-                # Rows whose key repeats in the batch need no one else to say so.
+                # Rows whose key is shared within the batch need no one else to say so.
                 found = rows[several]
                 for i, at in enumerate(range(0, len(found), CHUNK)):
                     out.append((int(found[at]["id"] + i) % buckets, 1, found[at:at + CHUNK].tobytes()))
-                # One row per key and batch asks whether other batches have the key too.
-                one = rows[starts]
+                # One row of these per key, and all others, ask for the key in other batches.
+                asks = ~several
+                asks[starts] = True
+                one = rows[asks]
                 bucket = ((one["key"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
                 cuts, sizes = _runs(bucket)
                 for at, n in zip(cuts.tolist(), sizes.tolist(), strict=True):
@@ -81,17 +89,17 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = np.concatenate(held)
         del held
         rows = rows[np.argsort(rows["key"], kind="stable")]
-        _, lengths = _runs(rows["key"])
-        yield from _members(rows[np.repeat(lengths > 1, lengths) & (rows["shown"] == 0)])
+        _, several = _shared(rows)
+        yield from _members(rows[several & (rows["shown"] == 0)])
 
 
 def colliding(frame: DataFrame, emit: Callable, scan_tasks: int) -> DataFrame:
-    """Rows ``key, id, pos`` of all keys that at least two emitted rows have.
+    """Rows ``key, id, pos`` of all keys that emitted rows of at least two ids have.
 
     ``emit()`` gives, once per task, a function from a record batch to arrays ``keys`` (64-bit unsigned),
-    ``ids`` and ``places``. Keys travel as packed arrays by ranges of the key. A batch sends each
-    key once, so a hot key makes one entry per batch there, and its rows leave the batch
-    at once, dealt out evenly. A task holds 21 bytes per entry of its range; the number of ranges grows with
+    ``ids`` and ``places``. Keys travel as packed arrays by ranges of the key. Of a key that ids
+    of a batch share, one entry travels, so a hot key makes one entry per batch, and its rows
+    leave the batch at once, dealt out evenly. A task holds 21 bytes per entry of its range; the number of ranges grows with
     the input (``scan_tasks``) and with the cluster's number of shuffle partitions.
     """
     tasks = max(shuffle_width(frame.sparkSession), 2 * scan_tasks)

@@ -19,36 +19,49 @@ SKETCH_BITS = 2048
 GROWTH = 4  # sizes of a band lie between a power of this and the next
 LEAST_BLOCKS = 64
 LOCAL_HOT, HOT, MAX_HOT = 3, 32, 1 << 17
-PROFILE = "doc_id long, n long, mark1 long, mark2 long, kind int"
-SETS = "doc_id long, n int, sketch array<long>, members array<long>"
+PROFILE = "doc_id long, n long, mark1 long, mark2 long, kind int, sketch array<long>"
+SETS = "node long, members array<long>"
+
+
+def _marks(found: np.ndarray) -> tuple[int, int]:
+    """Two fingerprints of a set; the first is its node in the graph of links."""
+    one = int((mix(found).sum(dtype=np.uint64) ^ np.uint64(len(found))).view(np.int64))
+    two = int(np.bitwise_xor.reduce(mix(found + np.uint64(1))).view(np.int64)) if len(found) else 0
+    return one, two
+
+
+def _sketch(found: np.ndarray) -> np.ndarray:
+    """The set's parity in ``SKETCH_BITS`` bits: each element turns one bit over."""
+    odd = np.bincount((found % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 0: size and fingerprint of each set. Kind 1: shingles of several sets of the batch."""
+    """Kind 0: size, fingerprints and sketch of each set. Kind 1: shingles of several sets of the batch."""
     hashes = WordHashes()
     for batch in batches:
         hashes.trim()
-        n, one, two, sets = [], [], [], {}
+        n, marks, sketches, sets = [], [], [], {}
         for text in batch.column(1).to_pylist():
             found = shingle_set(hashes.of(text))
             n.append(len(found))
-            one.append(int(mix(found).sum(dtype=np.uint64)))
-            two.append(int(np.bitwise_xor.reduce(mix(found + np.uint64(1)))) if len(found) else 0)
-            sets[n[-1], one[-1], two[-1]] = found
-        yield _profile_rows(batch.column(0), n, one, two, 0)
+            marks.append(_marks(found))
+            sketches.append(_sketch(found))
+            sets[marks[-1]] = found
+        yield _profile_rows(batch.column(0), n, *zip(*marks, strict=True), 0, sketches)
         values = np.concatenate([*sets.values(), np.empty(0, np.uint64)])
         values, counts = np.unique(values, return_counts=True)
         hot = counts >= LOCAL_HOT
         if hot.any():
-            values, counts = values[hot], counts[hot]
+            values, counts = values[hot].view(np.int64), counts[hot]
             none = pa.nulls(len(values), pa.int64())
-            yield _profile_rows(none, counts, values, np.zeros(len(values), np.uint64), 1)
+            yield _profile_rows(none, counts, values, np.zeros(len(values), np.int64), 1, [None] * len(values))
 
 
-def _profile_rows(ids: pa.Array, n, one, two, kind: int) -> pa.RecordBatch:
-    signed = [pa.array(np.asarray(x, dtype=np.uint64).view(np.int64)) for x in (one, two)]
-    columns = [ids, pa.array(np.asarray(n, dtype=np.int64)), *signed, pa.array(np.full(len(ids), kind, np.int32))]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "mark1", "mark2", "kind"])
+def _profile_rows(ids: pa.Array, n, one, two, kind: int, sketches: list) -> pa.RecordBatch:
+    numbers = [pa.array(np.asarray(x, dtype=np.int64)) for x in (n, one, two)]
+    columns = [ids, *numbers, pa.array(np.full(len(ids), kind, np.int32)), pa.array(sketches, pa.list_(pa.int64()))]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "mark1", "mark2", "kind", "sketch"])
 
 
 def differences(n: int, m: int, percent: int = PERCENT) -> int:
@@ -105,16 +118,22 @@ def _band_keys(found: np.ndarray, hot: np.ndarray, band: int, most: int) -> np.n
 
 
 def _emit(hot_values: np.ndarray) -> Callable:
+    """Keys of every set, once per batch for sets that are equal."""
+
     def start() -> Callable:
         hashes = WordHashes()
 
         def run(batch: pa.RecordBatch):
             hashes.trim()
-            ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            texts, seen = batch.column(1).to_pylist(), set()
             for at in range(0, len(texts), 2000):
-                keys = []
+                keys, nodes = [np.empty(0, np.uint64)], []
                 for text in texts[at:at + 2000]:
                     found = shingle_set(hashes.of(text))
+                    node, _ = _marks(found)
+                    if node in seen:
+                        continue
+                    seen.add(node)
                     if len(hot_values):
                         near = np.searchsorted(hot_values, found)
                         near[near == len(hot_values)] = 0
@@ -122,7 +141,8 @@ def _emit(hot_values: np.ndarray) -> Callable:
                     else:
                         hot = np.zeros(len(found), bool)
                     keys.append(signature(found, hot))
-                of = np.repeat(ids[at:at + 2000], [len(k) for k in keys])
+                    nodes.append(node)
+                of = np.repeat(np.array(nodes, dtype=np.int64), [len(k) for k in keys[1:]])
                 yield np.concatenate(keys), of, np.zeros(len(of), np.int32)
 
         return run
@@ -131,46 +151,51 @@ def _emit(hot_values: np.ndarray) -> Callable:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole shingle set of each text, and its parity in ``SKETCH_BITS`` bits."""
+    """Node and whole shingle set of each text."""
     hashes = WordHashes()
     for batch in batches:
         hashes.trim()
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
+        texts = batch.column(0).to_pylist()
         for at in range(0, len(texts), 500):
             found = [shingle_set(hashes.of(t)) for t in texts[at:at + 500]]
-            sketches = []
-            for f in found:
-                odd = np.bincount((f % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
-                sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [ids[at:at + 500], pa.array([len(f) for f in found], pa.int32()),
-                 pa.array(sketches, pa.list_(pa.int64())), pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))],
-                names=["doc_id", "n", "sketch", "members"],
+                [pa.array([_marks(f)[0] for f in found], pa.int64()),
+                 pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))],
+                names=["node", "members"],
             )
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (``a``, ``b``) whose whole sets link.
+def _sides(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The frame twice, with ``a`` and ``b`` for ``node`` and as endings of the other columns."""
+    return tuple(
+        frame.select(*(F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in frame.columns)) for x in "ab"
+    )
+
 
-    Sizes and sketches go first: bits that differ are at most the elements that do, so a pair
-    with too many is done with before its sets are fetched.
+def near_enough(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (``a``, ``b``) that size and sketch do not rule out.
+
+    Bits that differ are at most the elements that do, so a pair with too many is done with
+    before its sets are fetched.
     """
-    small = sets.select("doc_id", "n", "sketch")
-    one, two = (small.select(*(F.col(c).alias(f"{c}_{x}") for c in small.columns)) for x in "ab")
     most = F.expr(f"(n_a + n_b) * {100 - percent} div {100 + percent}")
     bits = F.aggregate(
         F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
     )
-    near = pairs.join(one, F.col("a") == F.col("doc_id_a")).join(two, F.col("b") == F.col("doc_id_b")).where(
+    one, two = _sides(sketches)
+    return pairs.join(one, "a").join(two, "b").where(
         F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     ).where(bits <= most).select("a", "b")
-    whole = sets.select("doc_id", "members")
-    one, two = (whole.select(*(F.col(c).alias(f"{c}_{x}") for c in whole.columns)) for x in "ab")
-    both = near.join(two, F.col("b") == F.col("doc_id_b")).join(one, F.col("a") == F.col("doc_id_a"))
-    both = both.select("a", "b", "members_a", "members_b", F.size(F.array_intersect("members_a", "members_b")).alias("shared"))
-    return both.where(
-        F.expr(f"100 * shared >= {percent} * (size(members_a) + size(members_b) - shared)")
-    ).select("a", "b")
+
+
+def linked(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (``a``, ``b``) whose whole sets link."""
+    one, two = _sides(sets)
+    both = pairs.join(two, "b").join(one, "a").select(
+        "a", "b", (F.size("members_a") + F.size("members_b")).alias("total"),
+        F.size(F.array_intersect("members_a", "members_b")).alias("shared"),
+    )
+    return both.where(F.expr(f"100 * shared >= {percent} * (total - shared)")).select("a", "b")
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -180,7 +205,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     lower-cased; two documents link when 100 times the common runs are at least 75 times all
     runs of the two. ``component_id`` is the smallest id that links lead to.
 
-    Sets that are equal are one node. The others are joined by parity sketches within bands of size
+    Sets that are equal are one node, named by a 64-bit fingerprint. The others are joined by parity sketches within bands of size
     (:func:`signature`), which loses no link. Of the documents that share a key, each is first compared with the
     one of smallest id; the pairs of a key that still lie in different components are compared then.
     So a large group of copies costs a comparison per copy and key, not per pair.
@@ -200,16 +225,29 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     heavy = heavy.where(F.col("docs") >= HOT).orderBy(F.desc("docs"), "mark1").limit(MAX_HOT).collect()
     hot = np.sort(np.array([r["mark1"] for r in heavy], dtype=np.int64).view(np.uint64))
 
-    single = groups.select(F.col("first_id").alias("doc_id")).where("doc_id is not null").distinct()
-    members = staged(colliding(docs.join(single, "doc_id", "left_semi"), _emit(hot), tasks), "colliding")
-    ids = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = staged(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, SETS), "sets")
-
-    ends = link_by_keys(members.select("key", F.col("id").alias("node")), lambda pairs: verify(pairs, sets))
-
-    return rows.join(groups, ["n", "mark1", "mark2"], "left").join(
-        ends, F.col("first_id") == F.col("node"), "left"
+    members = staged(colliding(docs, _emit(hot), tasks).select("key", F.col("id").alias("node")), "colliding")
+    ids = members.select("node").distinct()
+    sketches = groups.select(F.col("mark1").alias("node"), "first_id").join(ids, "node")
+    own = rows.select(F.col("doc_id").alias("first_id"), F.col("mark1").alias("node"), "n", "sketch")
+    sketches = sketches.join(own, ["first_id", "node"])
+    sketches = staged(sketches.select("node", "first_id", "n", "sketch").dropDuplicates(["node"]), "sketches")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        """Sets are made anew from the texts, for the documents of the pairs that are left."""
+        left = staged(near_enough(pairs, sketches.drop("first_id")), "near")
+        nodes = left.select(F.col("a").alias("node")).unionAll(left.select("b")).distinct()
+        first = sketches.join(nodes, "node").select(F.col("first_id").alias("doc_id")).distinct()
+        texts = docs.join(first, "doc_id", "left_semi").select("text")
+        sets = staged(texts.mapInArrow(_sets, SETS).dropDuplicates(["node"]), "sets")
+        return linked(left, sets)
+
+    ends = link_by_keys(members, verify)
+    least = groups.withColumnRenamed("mark1", "node").join(ends, "node").groupBy("component").agg(F.min("first_id").alias("component_id"))
+    ends = ends.join(least, "component").select("node", "component_id")
+
+    return rows.drop("sketch").join(groups, ["n", "mark1", "mark2"], "left").join(
+        ends, F.col("mark1") == F.col("node"), "left"
     ).select(
         F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.coalesce("component", "first_id", "doc_id").alias("component_id"),
+        F.coalesce("component_id", "first_id", "doc_id").alias("component_id"),
     )
