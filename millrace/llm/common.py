@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def with_package(spark: SparkSession) -> SparkSession:
+    """The session, whose Python workers find this package where the driver has found it.
+
+    On a cluster the package has to be installed or sent along; a path that is not there does no harm.
+    """
+    root = str(pathlib.Path(__file__).resolve().parents[2])
+    settings = spark.sparkContext.environment
+    paths = [p for p in settings.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        settings["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

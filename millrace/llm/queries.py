@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import table
+from millrace.llm.common import table, with_package
 from millrace.llm.embedding_dedup import near_duplicates
 from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.ngram_join import similar_documents
@@ -26,7 +27,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = functools.wraps(fn)(lambda spark, sf_dir: fn(with_package(spark), sf_dir))
         if sql is not None:
             ORACLES[name] = sql.strip()
         return fn

@@ -20,6 +20,7 @@ TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (6, 5, 4)  # stems: the beginnings of longer words, marked with a trailing hyphen
 PRIOR = 500.0  # weight of the Dirichlet prior, in tokens, dealt out by the frequency in both classes
 LEAST_Z, LEAST_LOG_ODDS, LEAST_DOCS = 4.5, 2.0, 5
+MAX_LABELLED = 50_000  # the classifier is fitted on so many labelled documents at most
 MAX_TERMS = 20_000  # size of the model: the terms with the largest z
 TOP_SCORE = 9.0
 NO_HIT, TOP_EVIDENCE, BINS_PER_UNIT = -12.0, 80.0, 4
@@ -139,11 +140,17 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
-    """One label per id: the more frequent one, toxic in a tie; rows without label don't count."""
+    """The labels to learn from, one per id: the more frequent one, toxic in a tie.
+
+    Held-out ids and rows without label don't count. Of the rest, the ``MAX_LABELLED`` ids
+    with the least hash are taken, so the frame is of bounded size and is sent to the tasks
+    that read the documents; their texts stay where they are.
+    """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-    return known.groupBy(F.col(id_col).alias("label_id")).agg(
+    known = known.where(~is_held_out(F.col(id_col))).groupBy(F.col(id_col).alias("label_id")).agg(
         (F.avg(F.col(label_col).cast("double")) >= 0.5).cast("int").alias("toxic")
     )
+    return F.broadcast(known.orderBy(F.xxhash64("label_id"), "label_id").limit(MAX_LABELLED))
 
 
 def fit_scores(train: DataFrame) -> ToxicModel:
@@ -274,11 +281,9 @@ def train_scores(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "toxic",
 ) -> ToxicModel:
-    """Term scores from the labelled rows that are not held out."""
+    """Term scores from labelled rows that are not held out (see :func:`_labelled`)."""
     known = _labelled(labels, id_col, label_col)
-    train = docs.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("text")).where(
-        ~is_held_out(F.col("label_id"))
-    )
+    train = docs.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("text"))
     return fit_scores(train.join(known, "label_id"))
 
 
@@ -290,9 +295,9 @@ def scan_documents(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", t
 def calibrated(
     scanned: DataFrame, labels: DataFrame, model: ToxicModel, id_col: str = "doc_id", label_col: str = "toxic"
 ) -> ToxicModel:
-    """The model with its line fitted on the labelled rows that are not held out."""
+    """The model with its line fitted on the same labelled rows."""
     known = _labelled(labels, id_col, label_col)
-    judged = scanned.select(F.col(id_col).alias("label_id"), "evidence").where(~is_held_out(F.col("label_id")))
+    judged = scanned.select(F.col(id_col).alias("label_id"), "evidence")
     return calibrate(model, judged.join(known, "label_id"))
 
 

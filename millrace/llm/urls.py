@@ -17,13 +17,14 @@ RULES = (
     ("net", "/", "block"), ("example.net", "/en/", "allow"),
     ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
 )
-# Words that tell of a site to block before any row is seen, each worth SEED_WEIGHT uses.
+# Words that tell of a site to block before any row is seen: known words of SEED_WEIGHT uses,
+# whose log-odds are not taken below SEED_LOG_ODDS.
 SEEDS = (
-    "ads", "ad", "adult", "banner", "bet", "casino", "click", "escort", "gamble", "hentai",
-    "malware", "nude", "phish", "popup", "porn", "sex", "spam", "torrent", "track", "tracker",
-    "tracking", "viagra", "warez", "xxx",
+    "ad", "ads", "adult", "banner", "bet", "bets", "betting", "casino", "escort", "gamble",
+    "gambling", "hentai", "malware", "nude", "phish", "poker", "popup", "porn", "sex", "slots",
+    "spam", "torrent", "track", "tracker", "tracking", "viagra", "warez", "xxx",
 )
-SEED_WEIGHT, SEED_SHARE = 50.0, 0.2
+SEED_WEIGHT, SEED_LOG_ODDS = 50.0, 8.0
 MAX_WORDS, LONGEST_WORD, LEAST_USES = 50_000, 24, 3
 OTHER = "<other>"
 SMOOTHING = 1.0
@@ -129,16 +130,12 @@ def fit_bayes(judged: DataFrame, seeds=SEEDS) -> tuple[float, dict[str, float]]:
     ).collect()
     rows = {r["verdict"]: r["count"] for r in known.groupBy("verdict").count().collect()}
     uses = {r["token"]: [float(r["block"]), float(r["allow"])] for r in counts}
-    totals = [sum(u[i] for u in uses.values()) for i in (0, 1)]
-    # Seeds count as a share of what the rows gave, so they weigh alike at any size.
-    worth = max(SEED_WEIGHT, SEED_SHARE * sum(totals) / max(1, len(seeds)))
-    for seed in seeds:
-        uses.setdefault(seed, [0.0, 0.0])[0] += worth
     totals = [sum(u[i] for u in uses.values()) + SMOOTHING * (len(uses) + 1) for i in (0, 1)]
     odds = {
         t: math.log((b + SMOOTHING) / totals[0]) - math.log((a + SMOOTHING) / totals[1])
         for t, (b, a) in uses.items()
     }
+    odds |= {seed: max(odds.get(seed, 0.0), SEED_LOG_ODDS) for seed in seeds}
     odds.setdefault(OTHER, 0.0)
     return math.log((rows.get("block", 0) + 1.0) / (rows.get("allow", 0) + 1.0)), odds
 
