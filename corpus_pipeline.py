@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import table
+from millrace.llm.common import table, with_package
 from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.ngram_join import similar_documents
 from millrace.llm.packing import pack
@@ -71,7 +71,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the result of each is written to the shared folder."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(with_package(spark), sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
