@@ -18,8 +18,8 @@ from millrace.llm.common import staged
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (6, 5, 4)  # stems: the beginnings of longer words, marked with a trailing hyphen
-PRIOR = 500.0  # weight of the Dirichlet prior, in tokens, dealt out by the frequency in both classes
-LEAST_Z, LEAST_LOG_ODDS, LEAST_DOCS = 4.5, 2.0, 5
+PRIOR, PRIOR_EACH = 500.0, 0.5  # Dirichlet prior: dealt out by the frequency in both classes, and to each term
+LEAST_Z, LEAST_LOG_ODDS, LEAST_DOCS = 3.3, 2.0, 5
 MAX_LABELLED = 50_000  # the classifier is fitted on so many labelled documents at most
 MAX_TERMS = 20_000  # size of the model: the terms with the largest z
 TOP_SCORE = 9.0
@@ -171,7 +171,7 @@ def fit_scores(train: DataFrame) -> ToxicModel:
     if whole is None or not whole["docs1"] or not whole["docs0"]:
         return ToxicModel()
     n1, n0 = float(whole["docs1"]), float(whole["docs0"])
-    prior = F.lit(PRIOR) * (F.col("docs1") + F.col("docs0")) / F.lit(n1 + n0)
+    prior = F.lit(PRIOR_EACH) + F.lit(PRIOR) * (F.col("docs1") + F.col("docs0")) / F.lit(n1 + n0)
     y1, y0 = F.col("docs1") + prior, F.col("docs0") + prior
     log_odds = F.log(y1 / (F.lit(n1 + PRIOR) - y1)) - F.log(y0 / (F.lit(n0 + PRIOR) - y0))
     scored = counts.where("term <> ''").select(
