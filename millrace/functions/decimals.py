@@ -9,10 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.text import is_json
 from millrace.operators.shapes import quoted
 from millrace.sources.schemas import avro_decimal_fields
 
-MAX_BYTES = 16
+MAX_BYTES = 16  # of the digits themselves: any decimal of 38 digits fits
+SIGN_BYTES = "^(?:00)+(?=[0-7])|^(?:FF)+(?=[89A-F])"
+ZERO_BYTES = "^(?:00)+(?=.)"
 TWO_POW_64 = Decimal(2**64)
 
 
@@ -34,14 +37,18 @@ def bytes_to_decimal(
 ) -> Column:
     """Big-endian bytes as ``decimal(precision, scale)``.
 
-    Null for null, for no bytes, for more than 16 bytes and for a value that does not fit.
+    Null for null, for no bytes and for a value of more digits than fit. Bytes that only extend
+    the sign do not count, however many there are.
     Eight bytes or fewer take one base conversion; longer ones two halves in decimal. The
     expression is kept short on purpose: a large one would not be compiled by the JVM.
     """
     value = F.col(col) if isinstance(col, str) else col
     target = T.DecimalType(precision, scale)
-    size = F.length(value)
     digits = F.hex(value)
+    digits = F.when(F.length(value) <= MAX_BYTES, digits).otherwise(
+        F.regexp_replace(digits, SIGN_BYTES if signed else ZERO_BYTES, "")
+    )
+    size = F.call_function("shiftright", F.length(digits), F.lit(1))
 
     if signed:
         short = _signed_long(digits, size)
@@ -121,33 +128,16 @@ def convert_decimal_fields(
     return df.withColumn(source, F.when(F.col(quoted(source)).isNotNull(), struct))
 
 
-def _is_bytes_object(dtype: T.DataType) -> bool:
-    return (
-        isinstance(dtype, T.StructType)
-        and dtype.fieldNames() == ["bytes"]
-        and isinstance(dtype["bytes"].dataType, T.StringType)
-    )
-
-
-def _walk(col: Column, dtype: T.DataType, name: str, is_leaf, leaf) -> Column:
-    """Rebuild a nested column with ``leaf(column, name)`` in place of the marked leaves."""
-    if is_leaf(dtype):
-        return leaf(col, name)
-    if isinstance(dtype, T.StructType):
-        parts = [
-            _walk(col.getField(f.name), f.dataType, f.name, is_leaf, leaf).alias(f.name)
-            for f in dtype.fields
-        ]
-        return F.when(col.isNotNull(), F.struct(*parts))
-    if isinstance(dtype, T.ArrayType):
-        return F.transform(col, lambda x: _walk(x, dtype.elementType, name, is_leaf, leaf))
-    return col
+# A bytes object in a JSON text, with the name of its field if it has one. Quotes within
+# strings are escaped, so a string that quotes such an object is not one.
+TEXT = r'"((?:[^"\\]|\\.)*+)"'
+BYTES_OBJECT = rf'(?s)(?:{TEXT}\s*:\s*)?\{{\s*"bytes"\s*:\s*{TEXT}\s*\}}'
+BYTES_ONLY = rf'(?s)\{{\s*"bytes"\s*:\s*{TEXT}\s*\}}'
 
 
 def json_bytes_to_decimal(
     df: DataFrame,
     col: str,
-    schema: T.StructType,
     scales: Mapping[str, tuple[int, int]] | None = None,
     *,
     default: tuple[int, int] = (38, 2),
@@ -155,30 +145,37 @@ def json_bytes_to_decimal(
 ) -> DataFrame:
     """Replace the ``{"bytes": "…"}`` objects in the JSON texts of ``col`` by decimal texts.
 
-    ``schema`` is that of the message, with ``struct<bytes string>`` where a decimal stands;
-    ``scales`` gives precision and scale by field name. A value that cannot be decoded is left
-    out of the text, as null fields are. Each step is a projection of its own, so that no step
-    is worked out once per field of the next.
+    All else in the text stays as it is written. ``scales`` gives precision and scale by field
+    name. A value that cannot be decoded becomes ``null``, a text that is not one JSON value
+    becomes null; ``<col>_ok`` is false for both, true for a null text. Each step is a projection of its own,
+    so that no step is worked out once per use in the next.
     """
     scales = scales or {}
 
-    def decode(raw: Column, name: str) -> Column:
-        precision, scale = scales.get(name, default)
-        return bytes_to_decimal(raw, precision, scale, signed=signed).cast("string")
-
-    parsed = df.withColumn(col, F.from_json(col, schema, {"mode": "PERMISSIVE"}))
-    as_bytes = parsed.withColumn(
-        col,
-        _walk(
-            F.col(quoted(col)), schema, "", _is_bytes_object,
-            lambda c, _: latin1_bytes(c.getField("bytes")),
-        ),
-    )
-    as_text = as_bytes.withColumn(
-        col,
-        _walk(
-            F.col(quoted(col)), as_bytes.schema[col].dataType, "",
-            lambda t: isinstance(t, T.BinaryType), decode,
-        ),
-    )
-    return as_text.withColumn(col, F.to_json(quoted(col)))
+    def unescaped(text: Column) -> Column:
+        return F.get_json_object(F.concat(F.lit('{"v":"'), text, F.lit('"}')), "$.v")
+
+    def decode(found: Column) -> Column:
+        raw = latin1_bytes(unescaped(found["text"]))
+        number = bytes_to_decimal(raw, *default, signed=signed).cast("string")
+        for name, (precision, scale) in scales.items():
+            own = bytes_to_decimal(raw, precision, scale, signed=signed).cast("string")
+            number = F.when(unescaped(found["name"]) == name, own).otherwise(number)
+        return number
+
+    text = F.col(quoted(col))
+    names, texts = (F.regexp_extract_all(text, F.lit(BYTES_OBJECT), F.lit(i)) for i in (1, 2))
+    pair = lambda name, value: F.struct(name.alias("name"), value.alias("text"))
+    staged = df.withColumns({
+        "_valid": is_json(text),
+        "_between": F.split(text, BYTES_ONLY, -1),
+        "_found": F.zip_with(names, texts, pair),
+    })
+    staged = staged.withColumn("_numbers", F.transform("_found", decode))
+    written = F.transform("_numbers", lambda n: F.coalesce(F.concat(F.lit('"'), n, F.lit('"')), F.lit("null")))
+    staged = staged.withColumn("_written", F.concat(written, F.array(F.lit(""))))
+    whole = F.array_join(F.zip_with("_between", "_written", lambda a, b: F.concat(a, b)), "")
+    decoded = F.forall("_numbers", lambda n: n.isNotNull())
+    ok = F.when(text.isNull(), True).otherwise(F.col("_valid") & decoded)
+    kept = [F.when(F.col("_valid"), whole).alias(c) if c == col else F.col(quoted(c)) for c in df.columns]
+    return staged.select(*kept, ok.alias(f"{col}_ok"))

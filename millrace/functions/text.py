@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.shapes import quoted
+
 # Fixed value: what counts as a tag. Only a line feed stops the dot.
 TAG = "<.*?>"
 
@@ -19,9 +21,35 @@ def strip_markup(col: Column | str, *, multiline: bool = False) -> Column:
     return F.regexp_replace(_col(col), f"(?{'s' if multiline else 'd'}){TAG}", "")
 
 
+def is_json(col: Column | str) -> Column:
+    """Whether a text is one JSON value and nothing else; null for null.
+
+    The parser stops after the first value and passes over the rest. Put between brackets the
+    text must therefore be exactly one element, and it must parse as a member's value as well,
+    which keeps out texts that close the brackets themselves.
+    """
+    text = _col(col)
+    items = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).cast("array<variant>")
+    member = F.try_parse_json(F.concat(F.lit('{"_":'), text, F.lit("}")))
+    alone = items.isNotNull() & (F.size(items) == 1) & member.isNotNull()
+    return F.when(text.isNotNull(), alone)
+
+
+# Numbers that the parsed form cannot hold as they are written: over 38 digits, or with an
+# exponent, which makes them doubles.
+INEXACT = r"(?s)(?<![\w\\.])-?(?:\d[\d.]{38,}|\d[\d.]*[eE][-+]?\d)"
+
+
 def json_or_null(col: Column | str) -> Column:
-    """JSON text in normal form (keys sorted, no blanks), or null where it does not parse."""
-    return F.to_json(F.try_parse_json(_col(col)))
+    """JSON text in normal form (keys sorted, no blanks), or null where it is not one JSON value.
+
+    A text with numbers that the parsed form would change stays as it is written.
+    """
+    text = _col(col)
+    normal = F.when(text.rlike(INEXACT), F.trim(text, F.lit(" \t\r\n"))).otherwise(
+        F.to_json(F.try_parse_json(text))
+    )
+    return F.when(is_json(text), normal)
 
 
 def strip_and_parse(df: DataFrame, col: str, *, multiline: bool = False) -> DataFrame:
@@ -58,21 +86,22 @@ def xml_escape(col: Column | str) -> Column:
 
 def rows_to_json(df: DataFrame, name: str = "value") -> DataFrame:
     """One JSON object text per row."""
-    return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias(name))
+    return df.select(F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns])).alias(name))
 
 
-def result_json_array(df: DataFrame, name: str = "value", max_rows: int = 10_000) -> DataFrame:
-    """One row with the JSON array text of a small result, such as an aggregate report.
+def result_json_array(df: DataFrame, name: str = "value") -> DataFrame:
+    """The lines of a JSON array text: ``[``, one record per line, ``]``.
 
-    At most ``max_rows + 1`` rows are ever brought together; a larger frame fails the query
-    instead of being cut. Use :func:`rows_to_json` for those.
+    Written as text, in the order of the partitions, the lines are the array. Nothing is
+    brought together, however many rows there are: every record but the first has its
+    separator before it, and which one is first is the least of the rows' numbers.
     """
-    record = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    rows = df.limit(max_rows + 1).select(record.alias("r"))
-    packed = rows.agg(F.collect_list("r").alias("all"))
-    too_many = F.raise_error(F.lit(f"more than {max_rows} rows: write rows_to_json instead"))
-    return packed.select(
-        F.when(F.size("all") > max_rows, too_many.cast("string"))
-        .otherwise(F.to_json("all"))
-        .alias(name)
+    records = rows_to_json(df, "_json").withColumn("_row", F.monotonically_increasing_id())
+    first = records.agg(F.min("_row")).scalar()
+    line = F.when(F.col("_row") == first, F.col("_json")).otherwise(F.concat(F.lit(","), "_json"))
+    edge = df.sparkSession.range(1, numPartitions=1)
+    return (
+        edge.select(F.lit("[").alias(name))
+        .unionAll(records.select(line.alias(name)))
+        .unionAll(edge.select(F.lit("]").alias(name)))
     )

@@ -10,9 +10,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.shapes import quoted
+
 # The separator and form of a spec item.
 SEPARATOR = "|"
 ITEM = r"^\s*(\w+)\s*\(\s*([^()]+?)\s*\)\s*$"
+CALL = r"^\s*(\w+)\s*\(\s*(.+?)\s*\)\s*$"
+# What an argument may be beyond a column: numbers, field paths and arithmetic.
+EXPRESSION = r"[\w\s.()+*/%-]+"
+ROOT = r"(?<![\w.])([A-Za-z_]\w*)(?:\.\w+)*"
 
 # The functions a spec may name.
 FUNCTIONS: dict[str, Callable[[Column], Column]] = {
@@ -48,7 +54,7 @@ def parse_spec(spec: str, on_unknown: str = "raise") -> list[SpecItem]:
         raise ValueError("on_unknown is 'raise' or 'skip'")
     items = []
     for text in spec.split(SEPARATOR):
-        found = re.match(ITEM, text)
+        found = re.match(CALL, text)
         func = found and found.group(1).lower()
         if found and func in FUNCTIONS:
             items.append(SpecItem(text.strip(), func, found.group(2).strip("`")))
@@ -57,8 +63,8 @@ def parse_spec(spec: str, on_unknown: str = "raise") -> list[SpecItem]:
     return items
 
 
-def _aggregate(item: SpecItem, order_by: str | Column | None) -> Column:
-    col = F.lit(1) if item.column == "*" else F.col(f"`{item.column}`")
+def _aggregate(item: SpecItem, columns: Sequence[str], order_by: str | Column | None) -> Column:
+    col = F.lit(1) if item.column == "*" else _argument(item.column, columns)
     if item.func in ("first", "last"):
         if order_by is None:
             raise SpecError(f"{item.func} depends on row order: give order_by")
@@ -67,6 +73,21 @@ def _aggregate(item: SpecItem, order_by: str | Column | None) -> Column:
     return FUNCTIONS[item.func](col)
 
 
+def _argument(text: str, columns: Sequence[str]) -> Column | None:
+    """A column by its name; else a nested field or an arithmetic expression over such.
+
+    An expression is names, numbers, brackets and ``+ - * / %``, nothing else; null for a text of
+    another form.
+    """
+    if text.lower() in {c.lower() for c in columns}:
+        return F.col(quoted(text))
+    roots = [quoted(r).strip("`").lower() for r in re.findall(ROOT, text)]
+    known = {c.lower() for c in columns}
+    if not re.fullmatch(EXPRESSION, text) or not roots or not known.issuperset(roots):
+        return None
+    return F.expr(text)
+
+
 def _alias(items: Sequence[SpecItem], style: str) -> list[str]:
     names = {
         "raw": [i.text for i in items],
@@ -93,15 +114,14 @@ def spec_columns(
     """The aggregate columns of a spec, checked against ``df`` and named in one of the styles
     ``raw`` (item text), ``func``, ``positional`` (``col1``…) or ``snake`` (``sum_a``)."""
     items = parse_spec(spec, on_unknown)
-    known = {c.lower() for c in df.columns}
-    absent = [i for i in items if i.column != "*" and i.column.lower() not in known]
+    absent = [i for i in items if i.column != "*" and _argument(i.column, df.columns) is None]
     if absent and on_unknown == "raise":
         raise SpecError(f"no column for {', '.join(i.text for i in absent)}")
     items = [i for i in items if i not in absent]
     if not items:
         raise SpecError("the spec holds no usable item")
     return [
-        _aggregate(i, order_by).alias(n) for i, n in zip(items, _alias(items, alias), strict=True)
+        _aggregate(i, df.columns, order_by).alias(n) for i, n in zip(items, _alias(items, alias), strict=True)
     ]
 
 
@@ -141,15 +161,15 @@ def agg_attach(
     clash = [n for n in names if n in df.columns]
     if clash:
         raise SpecError(f"the frame already has {', '.join(clash)}")
-    packed = one.select(F.struct(*[F.col(f"`{n}`").cast("double").alias(n) for n in names]))
+    packed = one.select(F.struct(*[F.col(quoted(n)).cast("double").alias(n) for n in names]))
     return df.withColumn("_all", packed.scalar()).select(
-        *[f"`{c}`" for c in df.columns], *[F.col("_all")[n].alias(n) for n in names]
+        *[F.col(quoted(c)) for c in df.columns], *[F.col("_all")[n].alias(n) for n in names]
     )
 
 
 def pack_struct(df: DataFrame, name: str = "datacontrols") -> DataFrame:
     """All columns packed to one struct, beside the originals."""
-    return df.withColumn(name, F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    return df.withColumn(name, F.struct(*[F.col(quoted(c)) for c in df.columns]))
 
 
 def control_record(
@@ -158,7 +178,7 @@ def control_record(
     """The spec's global aggregates, the struct ``datacontrols`` of them, and ``control_json``,
     the JSON array text with that one record."""
     out = pack_struct(agg_spec(df, spec, alias=alias, order_by=order_by))
-    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in out.columns]))
+    record = F.to_json(F.struct(*[F.col(quoted(c)) for c in out.columns]))
     return out.withColumn("control_json", F.concat(F.lit("["), record, F.lit("]")))
 
 

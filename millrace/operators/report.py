@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.shapes import quoted
+
 
 def join_on(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Inner equi-join that keeps each shared column once.
@@ -48,11 +50,12 @@ def min_pair_match(
     Ties give several rows; groups whose oldest row is not also the cheapest give none. The
     minima come from a partial hash aggregate, never from a window, so no task sees a whole
     group. The join back is on the keys and both values, which spreads the rows of a hot group
-    over the tasks; what remains in one place, adaptive execution can split.
+    over the tasks; what remains in one place, adaptive execution can split. The minima are
+    unique, so a plain join repeats no row.
     """
-    rows = df.withColumns({"_oldest": parse_day(oldest, fmt), "_least": F.col(least)})
-    minima = group_minima(rows, keys, "_oldest", "_least", names=("_oldest", "_least"))
-    return (
-        rows.join(minima, [*keys, "_oldest", "_least"], "left_semi")
-        .select(*df.columns)
-    )
+    if fmt is None:
+        rows, day = df, oldest
+    else:
+        rows, day = df.withColumn("_oldest", parse_day(oldest, fmt)), "_oldest"
+    minima = group_minima(rows, keys, day, least, names=(day, least))
+    return rows.join(minima, [*keys, day, least]).select(*[F.col(quoted(c)) for c in df.columns])

@@ -23,6 +23,11 @@ def write_csv(df: DataFrame, path: str, *, sep: str = "_", **options) -> None:
     writer.options(**options).csv(path)
 
 
+# What both sides of a counted CSV write use: nulls and line breaks within values have to be
+# told from empty lines and ends of rows.
+CSV_BOTH = {"nullValue": "\\N", "multiLine": "true", "escape": '"'}
+
+
 def write_table(df: DataFrame, target: str, fmt: str = "parquet", **options) -> None:
     """Overwrite a target: a path of a file format, a catalog table (``table``), or a warehouse
     table (``bigquery``)."""
@@ -71,8 +76,11 @@ def verified_write(
 
     ``root`` is a folder, or the database or dataset for tables. The source rows are counted
     while they are written, so the lineage runs once and a source that is not deterministic is
-    counted as written. A difference raises.
+    counted as written. A difference raises. CSV is written and read with :data:`CSV_BOTH`
+    unless ``options`` say otherwise.
     """
+    if fmt == "csv":
+        options = CSV_BOTH | options
     sep = "." if fmt in ("table", "bigquery") else "/"
     target = f"{root.rstrip(sep)}{sep}{staging_name(prefix)}"
     seen = Observation()

@@ -86,7 +86,7 @@ def _target(dtype: T.DataType) -> T.DataType:
     return T.StringType()
 
 
-def _fit(col: Column, dtype: T.DataType, maps: str) -> Column:
+def _fit(col: Column, dtype: T.DataType, maps: str, nullable: bool = True) -> Column:
     if isinstance(dtype, T.MapType):
         if maps == "json":
             return F.to_json(col)
@@ -96,10 +96,14 @@ def _fit(col: Column, dtype: T.DataType, maps: str) -> Column:
         ])
         return _fit(F.map_entries(col), T.ArrayType(pair, False), maps)
     if isinstance(dtype, T.StructType):
-        parts = [_fit(col.getField(f.name), f.dataType, maps).alias(f.name) for f in dtype.fields]
-        return F.when(col.isNotNull(), F.struct(*parts))
+        parts = [
+            _fit(col.getField(f.name), f.dataType, maps, f.nullable).alias(f.name)
+            for f in dtype.fields
+        ]
+        # Without the guard a required struct stays required.
+        return F.when(col.isNotNull(), F.struct(*parts)) if nullable else F.struct(*parts)
     if isinstance(dtype, T.ArrayType):
-        return F.transform(col, lambda x: _fit(x, dtype.elementType, maps))
+        return F.transform(col, lambda x: _fit(x, dtype.elementType, maps, dtype.containsNull))
     if isinstance(dtype, T.BinaryType):
         return F.base64(col)
     wanted = _target(dtype)
@@ -116,7 +120,7 @@ def conform(df: DataFrame, maps: str = "entries") -> DataFrame:
         raise ValueError("maps is 'entries' or 'json'")
     return df.select(
         *[
-            _fit(F.col(quoted(f.name)), f.dataType, maps).alias(f.name)
+            _fit(F.col(quoted(f.name)), f.dataType, maps, f.nullable).alias(f.name)
             for f in df.schema.fields
         ]
     )

@@ -27,7 +27,7 @@ from millrace.operators.shapes import (
 from millrace.operators.warehouse import conform
 from millrace.plans.registry import query, table
 from millrace.sources.readers import branch_frame
-from millrace.sources.schemas import infer_json_schema, parse_schema, schema_of_sample
+from millrace.sources.schemas import infer_json_schema
 
 K_SQL = "CAST(json_extract(props, '$.k') AS BIGINT)"
 
@@ -77,7 +77,8 @@ def _flatten_struct(spark, sf):
 
 @query("cast_columns", """
 SELECT p_partkey, p_name, CAST(p_size AS DOUBLE) AS size_double,
-       CAST(NULL AS DOUBLE) AS brand_double
+       TRY_CAST(substring(p_brand, 7) AS DOUBLE) AS brand_double,
+       CAST(NULL AS DOUBLE) AS name_double
 FROM part
 """)
 def _cast_columns(spark, sf):
@@ -85,10 +86,11 @@ def _cast_columns(spark, sf):
         "p_partkey",
         F.encode("p_name", "UTF-8").alias("p_name"),
         F.col("p_size").alias("size_double"),
-        F.col("p_brand").alias("brand_double"),
+        F.substring("p_brand", 7, 9).alias("brand_double"),
+        F.col("p_name").alias("name_double"),
     )
     out = cast_columns(raw, {"p_name": "string", "size_double": "double"})
-    return cast_columns(out, {"brand_double": "double"}, strict=False)
+    return cast_columns(out, {"brand_double": "double", "name_double": "double"}, strict=False)
 
 
 @query("rewrite_by_type", """
@@ -106,17 +108,21 @@ def _rewrite_by_type(spark, sf):
 
 
 @query("branch_schema", """
-SELECT o_orderkey AS x, o_custkey AS y, o_orderstatus AS z FROM orders
+SELECT 'orders' AS kind, o_orderkey AS x, o_custkey AS y FROM orders
+UNION ALL SELECT 'lineitem', l_orderkey, l_partkey FROM lineitem
 """)
 def _branch_schema(spark, sf):
-    orders = table(spark, sf, "orders")
-    # The schema of the table decides which record kind is read.
-    return branch_frame(
-        spark,
-        "l_orderkey" in orders.columns,
-        lambda: table(spark, sf, "lineitem").selectExpr("l_orderkey a", "l_partkey b"),
-        lambda: orders.selectExpr("o_orderkey x", "o_custkey y", "o_orderstatus z"),
-    )
+    """The columns of a table decide which record kind is read; either kind is."""
+    def records(name):
+        rows = table(spark, sf, name)
+        return branch_frame(
+            spark,
+            "l_orderkey" in rows.columns,
+            lambda: rows.selectExpr("'lineitem' kind", "l_orderkey x", "l_partkey y"),
+            lambda: rows.selectExpr("'orders' kind", "o_orderkey x", "o_custkey y"),
+        )
+
+    return records("orders").unionByName(records("lineitem"))
 
 
 @query("infer_json_strings", f"SELECT event_id, {K_SQL} AS k FROM events")
@@ -137,24 +143,24 @@ def _from_json_struct(spark, sf):
 
 
 @query("dynamic_schema", """
-SELECT o_orderkey, o_totalprice AS price, o_custkey AS cust, o_orderstatus AS status FROM orders
+SELECT o_orderkey, o_totalprice AS price, o_custkey AS cust,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS status
+FROM orders
 """)
 def _dynamic_schema(spark, sf):
+    """Records whose fields and number types differ by row."""
     orders = table(spark, sf, "orders")
+    price = F.col("o_totalprice").alias("sum(price)")
+    cust = F.col("o_custkey").alias("min(cust)")
+    whole = F.to_json(F.struct(price, cust, F.col("o_orderstatus").alias("max(status)")))
     records = orders.select(
         "o_orderkey",
-        F.to_json(
-            F.struct(
-                F.col("o_totalprice").alias("sum(price)"),
-                F.col("o_custkey").alias("min(cust)"),
-                F.col("o_orderstatus").alias("max(status)"),
-            )
-        ).alias("record"),
+        F.when(F.col("o_orderkey") % 3 == 0, whole).otherwise(F.to_json(F.struct(cust, price))).alias("record"),
     )
-    schema = schema_of_sample(records, "record")
+    schema = infer_json_schema(records, "record")
     return records.select("o_orderkey", json_struct("record", schema).alias("r")).select(
         "o_orderkey",
-        F.col("r")["sum(price)"].alias("price"),
+        F.col("r")["sum(price)"].cast("double").alias("price"),
         F.col("r")["min(cust)"].alias("cust"),
         F.col("r")["max(status)"].alias("status"),
     )
@@ -191,15 +197,15 @@ ARTICLE_TEXT = (
     '<p>{"MegaAttributes": {"lastUpdateUser": "%1$s", "renderAsTable": "false", '
     '"tableTitle": "MegaAttributes", "attributes": []}, "SourceArticleAttributes": '
     '{"lastUpdateUser": "%1$s", "renderAsTable": "false", "attributes": ['
-    '{"key": "sourceArticleID", "value": %2$d}, {"key": "sourceArticleName", "value": "%3$s"}, '
-    '{"key": "sourceArticleParentID", "value": ""}, '
-    '{"key": "sourceArticleTemplateID", "value": [%4$d]}]}}</p>'
+    '{"key": "itemNumber", "value": %2$d}, {"key": "itemTongue", "value": "%3$s"}, '
+    '{"key": "itemParent", "value": ""}, '
+    '{"key": "itemSizes", "value": [%4$d]}]}}</p>'
 )
 
 
 @query("article_attributes", """
-SELECT doc_id, source AS last_user, unnest(['sourceArticleID', 'sourceArticleName',
-                       'sourceArticleParentID', 'sourceArticleTemplateID']) AS "key",
+SELECT doc_id, source AS last_user, unnest(['itemNumber', 'itemTongue',
+                       'itemParent', 'itemSizes']) AS "key",
        unnest([CAST(doc_id AS VARCHAR), lang, '', '[' || n_chars || ']']) AS value
 FROM documents
 """)
@@ -264,19 +270,22 @@ def _balance_hex():
 
 @query("bytes_to_decimal", """
 SELECT c_custkey, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS from_8_bytes,
-       CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS from_12_bytes
+       CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS from_12_bytes,
+       CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS from_20_bytes
 FROM customer
 """)
 def _bytes_to_decimal(spark, sf):
     cents = _balance_hex()
     fill = F.when(F.col("c_acctbal") < 0, "FFFFFFFF").otherwise("00000000")
     raw = table(spark, sf, "customer").select(
-        "c_custkey", F.unhex(cents).alias("b8"), F.unhex(F.concat(fill, cents)).alias("b12")
+        "c_custkey", F.unhex(cents).alias("b8"), F.unhex(F.concat(fill, cents)).alias("b12"),
+        F.unhex(F.concat(fill, fill, fill, cents)).alias("b20"),
     )
     return raw.select(
         "c_custkey",
         bytes_to_decimal("b8", 38, 2).cast("string").alias("from_8_bytes"),
         bytes_to_decimal("b12", 38, 2).cast("string").alias("from_12_bytes"),
+        bytes_to_decimal("b20", 38, 2).cast("string").alias("from_20_bytes"),
     )
 
 
@@ -310,33 +319,28 @@ def _convert_decimal_fields(spark, sf):
 
 
 @query("json_bytes_to_decimal", """
-SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS application,
-       CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS debt_ratio
+SELECT c_custkey,
+       CASE WHEN c_custkey % 7 > 0 THEN '{"Message":{"ApplicationNumber":"' || c_custkey
+         || '","DebtRatio":"' || CAST(c_acctbal AS DECIMAL(18,2)) || '","Extra":"'
+         || c_mktsegment || '"},"Top":' || c_nationkey || '}' END AS doc,
+       c_custkey % 7 > 0 AS doc_ok
 FROM customer
 """)
 def _json_bytes_to_decimal(spark, sf):
-    message = F.struct(
+    """Messages with further fields, one in seven of them broken off."""
+    message = F.to_json(F.struct(
         F.struct(
             F.col("c_custkey").cast("string").alias("ApplicationNumber"),
             F.struct(
                 F.decode(F.unhex(_balance_hex()), "ISO-8859-1").alias("bytes")
             ).alias("DebtRatio"),
-        ).alias("Message")
-    )
-    docs = table(spark, sf, "customer").select("c_custkey", F.to_json(message).alias("doc"))
-    schema = parse_schema(
-        "Message struct<ApplicationNumber: string, DebtRatio: struct<bytes: string>>"
-    )
-    plain = "Message struct<ApplicationNumber: string, DebtRatio: string>"
-    return (
-        json_bytes_to_decimal(docs, "doc", schema)
-        .select("c_custkey", json_struct("doc", plain).alias("d"))
-        .select(
-            "c_custkey",
-            F.col("d.Message.ApplicationNumber").alias("application"),
-            F.col("d.Message.DebtRatio").alias("debt_ratio"),
-        )
-    )
+            F.col("c_mktsegment").alias("Extra"),
+        ).alias("Message"),
+        F.col("c_nationkey").alias("Top"),
+    ))
+    broken = F.substring(message, F.lit(1), F.length(message) - 1)
+    doc = F.when(F.col("c_custkey") % 7 > 0, message).otherwise(broken)
+    return json_bytes_to_decimal(table(spark, sf, "customer").select("c_custkey", doc.alias("doc")), "doc")
 
 
 @query("warehouse_conform", """

@@ -3,7 +3,8 @@
 ``topic`` is the event type, ``partition`` the user id modulo four, and ``offset`` the event
 id: offsets of a log grow within a topic-partition but need not be dense, so none has to be
 counted out. The log with faults has its values damaged by a rule on the measured ``value``:
-below 1 the message is null, from 100 up its text no longer parses.
+below 1 the message is null, from 100 up it is not one JSON value: something stands before it or
+behind it, it comes twice, or there are only blanks.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ log AS (
   SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS "partition",
          event_id AS "offset", epoch_us(ts) // 1000 AS ms, CAST(user_id AS VARCHAR) AS "key",
          props AS message, value AS measure,
-         CASE WHEN value < 1 THEN NULL WHEN value >= 100 THEN 'x' || props ELSE props END
-           AS faulty,
+         CASE WHEN value < 1 THEN NULL WHEN value < 100 THEN props
+              ELSE CASE event_id % 5 WHEN 0 THEN 'x' || props WHEN 1 THEN '  '
+                   WHEN 2 THEN props || ' trailing' WHEN 3 THEN props || props ELSE '' END
+              END AS faulty,
          CAST(json_extract(props, '$.k') AS INTEGER) AS k, user_id
   FROM events)
 """
@@ -49,7 +52,13 @@ def plain_value() -> Column:
 
 def faulty_value() -> Column:
     measure = F.col("value")
-    text = F.when(measure >= 100, F.concat(F.lit("x"), "props")).otherwise(F.col("props"))
+    kind = F.col("event_id") % 5
+    broken = (
+        F.when(kind == 0, F.concat(F.lit("x"), "props")).when(kind == 1, "  ")
+        .when(kind == 2, F.concat("props", F.lit(" trailing")))
+        .when(kind == 3, F.concat("props", "props")).otherwise("")
+    )
+    text = F.when(measure >= 100, broken).otherwise(F.col("props"))
     return F.when(measure >= 1, F.encode(text, "UTF-8"))
 
 

@@ -56,7 +56,8 @@ def _file_manifest(spark, sf):
 
 @query("sync_plan", """
 SELECT 'orders/' || o_orderkey AS path,
-       CASE o_orderstatus WHEN 'O' THEN 'delete_source' ELSE 'copy' END AS action
+       CASE WHEN o_orderstatus <> 'O' THEN 'copy' WHEN o_custkey % 5 = 0 THEN 'unknown'
+            ELSE 'delete_source' END AS action
 FROM orders
 """)
 def _sync_plan(spark, sf):
@@ -65,20 +66,25 @@ def _sync_plan(spark, sf):
     size = F.length("o_orderpriority")
     digest = F.sha2("o_orderpriority", 256).alias("checksum")
     source = orders.select(path, size.alias("size"), digest)
-    # At the target, files of status F are missing and those of status P have changed.
-    changed = (F.col("o_orderstatus") == "P").cast("int")
+    # At the target, files of status F are missing, those of status P have changed (every other
+    # one without a change of size), and of some the checksum is not known.
+    changed = F.col("o_orderstatus") == "P"
+    longer = (changed & (F.col("o_orderkey") % 2 == 0)).cast("int")
+    other = F.when(changed, F.sha2(F.reverse("o_orderpriority"), 256)).when(F.col("o_custkey") % 5 > 0, digest)
     target = orders.where(F.col("o_orderstatus") != "F").select(
-        path, (size + changed).alias("size"), digest
+        path, (size + longer).alias("size"), other.alias("checksum")
     )
-    return sync_plan(source, target, by=("size", "checksum")).select("path", "action")
+    return sync_plan(source, target).select("path", "action")
 
 
 @query("pem_blocks", """
 SELECT doc_id, 'CERTIFICATE' AS kind, CAST(strlen(text) AS INTEGER) AS der_length,
-       sha256(text) AS fingerprint FROM documents
+       sha256(text) AS fingerprint, TRUE AS whole FROM documents
 UNION ALL
-SELECT doc_id, 'PRIVATE KEY', CAST(strlen(lang || source) AS INTEGER), sha256(lang || source)
+SELECT doc_id, 'PRIVATE KEY', CAST(strlen(lang || source) AS INTEGER), sha256(lang || source), TRUE
 FROM documents
+UNION ALL SELECT doc_id, 'Note', NULL, NULL, FALSE FROM documents WHERE doc_id % 3 = 0
+UNION ALL SELECT doc_id, 'CERTIFICATE', NULL, NULL, FALSE FROM documents WHERE doc_id % 3 = 1
 """)
 def _pem_blocks(spark, sf):
     def block(kind, text):
@@ -91,7 +97,9 @@ def _pem_blocks(spark, sf):
     texts = table(spark, sf, "documents").select(
         "doc_id",
         F.concat(
-            block("CERTIFICATE", F.col("text")), block("PRIVATE KEY", F.concat("lang", "source"))
+            block("CERTIFICATE", F.col("text")), block("PRIVATE KEY", F.concat("lang", "source")),
+            F.when(F.col("doc_id") % 3 == 0, block("Note", F.col("lang")))
+            .when(F.col("doc_id") % 3 == 1, "-----BEGIN CERTIFICATE-----\nYQ==").otherwise(""),
         ).alias("text"),
     )
     return pem_blocks(texts)

@@ -23,6 +23,7 @@ from millrace.sources.schemas import latest_schemas
 from millrace.streaming.ingest import (
     read_batches,
     run_to_end,
+    split_schemas,
     split_writer,
     start_sink,
     start_split,
@@ -147,10 +148,18 @@ def _valid_messages_no_schema(spark, sf):
     return valid_messages(envelope, None, consumer_group=GROUP, region=REGION)
 
 
-@query("valid_messages_empty", GOOD_SQL + " AND topic = 'no-such-topic'")
+@query("valid_messages_empty", f"""
+WITH {LOG_SQL}, good AS (SELECT * FROM log WHERE measure < 100 AND topic = 'no-such-topic')
+SELECT topic, count(*) FILTER (topic IN (SELECT topic FROM good)) AS n FROM log GROUP BY topic
+""")
 def _valid_messages_empty(spark, sf):
-    none = select_topics(event_log(spark, sf, faulty=True), subscribe="no-such-topic")
-    return valid_messages(kafka_envelope(none), PAYLOAD, consumer_group=GROUP, region=REGION)
+    """Valid messages by topic, of a topic that the log does not hold."""
+    log = event_log(spark, sf, faulty=True)
+    none = select_topics(log, subscribe="no-such-topic")
+    good = valid_messages(kafka_envelope(none), PAYLOAD, consumer_group=GROUP, region=REGION)
+    counts = good.groupBy(F.col("Kafka_topic").alias("topic")).agg(F.count(F.lit(1)).alias("n"))
+    topics = log.groupBy("topic").agg(F.lit(0).cast("bigint").alias("none"))
+    return topics.join(counts, "topic", "left").select("topic", F.coalesce("n", "none").alias("n"))
 
 
 @query("bad_records", f"""
@@ -220,22 +229,27 @@ def _enrich_json_headers(spark, sf):
 @query("enrich_xml", f"""
 WITH {LOG_SQL}
 SELECT "offset", k, topic AS "Kafka_topic", "partition" AS "Kafka_partitionId",
-       "offset" AS "Kafka_offset", ms AS "Kafka_CreateTime", TRUE AS enriched_ok
+       "offset" AS "Kafka_offset", ms AS "Kafka_CreateTime", "key" AS header_user,
+       TRUE AS enriched_ok
 FROM log
 """)
 def _enrich_xml(spark, sf):
     events = table(spark, sf, "events")
     k = F.get_json_object("props", "$.k")
     xml = F.concat(F.lit("<root><row><k>"), k, F.lit("</k></row></root>"))
-    enriched = enrich_xml(as_log(events, F.encode(xml, "UTF-8")), "row")
+    log = as_log(events, F.encode(xml, "UTF-8"))
+    user = F.struct(F.lit("user").alias("key"), F.col("key").alias("value"))
+    enriched = enrich_xml(log.withColumn("headers", F.array(user)), "row", header=True)
     form = (
         "row struct<k: int, Kafka_topic: string, Kafka_partitionId: int, Kafka_offset: bigint, "
-        "Kafka_CreateTime: bigint>"
+        "Kafka_CreateTime: bigint, Kafka_header: struct<header: struct<_VALUE: string, _key: string>>>"
     )
     back = F.from_xml("enriched", form, {"mode": "FAILFAST"})
     return (
         enriched.select("offset", "enriched_ok", F.inline(F.array(back)))
         .select("offset", "enriched_ok", "row.*")
+        .withColumn("header_user", F.when(F.col("Kafka_header.header._key") == "user", F.col("Kafka_header.header._VALUE")))
+        .drop("Kafka_header")
     )
 
 
@@ -349,11 +363,12 @@ def _stream_valid_split(spark, sf):
     run_to_end(
         start_split(as_log(stream, faulty_value()), write, f"{root}/checkpoint", available_now=True)
     )
-    good = read_batches(spark, f"{root}/good").select(
+    good_schema, bad_schema = split_schemas(PAYLOAD)
+    good = read_batches(spark, f"{root}/good", good_schema).select(
         F.col("Kafka_topic").alias("topic"), F.col("Kafka_offset").alias("offset"),
         F.lit(True).alias("good"), "k", F.lit(None).cast("string").alias("raw"),
     )
-    bad = read_batches(spark, f"{root}/bad").select(
+    bad = read_batches(spark, f"{root}/bad", bad_schema).select(
         F.col("Kafka_topic").alias("topic"), F.col("Kafka_offset").alias("offset"),
         F.lit(False).alias("good"), F.lit(None).cast("int").alias("k"),
         F.col("_corrupt_record").alias("raw"),

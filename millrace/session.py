@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -36,20 +39,23 @@ def build_session(master: str | None = None, app: str = "millrace", **conf) -> S
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of this machine; on a
-    cluster a missing setting is an error, since executors could not read what others wrote.
+    Only a session of one local process without that setting gets a temporary folder of this
+    machine, which goes when the process ends; anywhere else a missing setting is an error, since
+    executors could not read what others wrote.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return _local_root()
 
 
 @functools.cache
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import re
-from urllib.parse import unquote, urlsplit
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,16 +17,18 @@ SCHEME_AND_HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"
 def _listing(spark: SparkSession, files: DataFrame, root: str) -> DataFrame:
     """``file_key`` and ``path`` relative to ``root`` of every file.
 
-    A scan leaves out files of length zero; the relation's own listing, which the driver holds
-    for any scan, has them.
+    A scan leaves out files of length zero; the relation's own listing, which the driver's JVM
+    holds for any scan, has them. It is taken as one text, and paths are worked out as columns.
     """
+    text = spark._jvm.org.apache.hadoop.util.StringUtils.join("\n", files._jdf.inputFiles())
+    uris = spark.range(1).select(F.explode(F.split(F.lit(text), "\n")).alias("value")).where("value <> ''")
+    key = F.regexp_replace("value", SCHEME_AND_HOST, "")
+    # A plus sign is itself in a path.
+    full = F.url_decode(F.replace(key, F.lit("+"), F.lit("%2B")))
     base = re.sub(SCHEME_AND_HOST, "", root).rstrip("/") + "/"
-    rows = []
-    for uri in files.inputFiles():
-        key = urlsplit(uri).path
-        full = unquote(key)
-        rows.append((key, full[full.index(base) + len(base):] if base in full else full))
-    return spark.createDataFrame(rows, "file_key string, path string")
+    at = F.instr(full, F.lit(base))
+    rest = F.substring(full, at + len(base), F.length(full))
+    return uris.select(key.alias("file_key"), F.when(at > 0, rest).otherwise(full).alias("path"))
 
 
 def _file_key() -> Column:
@@ -55,8 +55,8 @@ def file_manifest(
 
     ``checksum="content"`` is the SHA-256 of the bytes; it reads each file in one task.
     ``checksum="lines"`` is for large text files, which it reads in splits: the number of lines
-    and the sum of their hashes, which does not tell the order of lines. Files of length zero
-    have no modification time here.
+    and the sum of their hashes, as ``line_digest``. It does not tell the order of lines, so no
+    plan takes it as proof of equal content. Files of length zero have no modification time here.
     """
     if checksum not in (None, "content", "lines"):
         raise ValueError("checksum is None, 'content' or 'lines'")
@@ -78,7 +78,7 @@ def file_manifest(
             .agg(F.concat_ws(":", F.count(F.lit(1)), hashed.cast("string")).alias("digest"))
         )
         scanned = scanned.drop("content").join(lines, "file_key")
-        found["checksum"] = F.coalesce("digest", F.lit("0:0"))
+        found["line_digest"] = F.coalesce("digest", F.lit("0:0"))
     return (
         _listing(spark, files, root)
         .join(scanned, "file_key", "left")
@@ -86,18 +86,31 @@ def file_manifest(
     )
 
 
-def sync_plan(source: DataFrame, target: DataFrame, by: tuple[str, ...] = ("size",)) -> DataFrame:
+def sync_plan(
+    source: DataFrame, target: DataFrame, by: tuple[str, ...] = ("size", "checksum")
+) -> DataFrame:
     """What a sync of ``source`` to ``target`` has to do, from their manifests.
 
-    ``copy`` for files that are absent or differ in ``by``; ``delete_source`` for files that
-    stand equal on both sides, which may go once the copy has succeeded. A path stands once in
-    a manifest, so one left join tells the two apart.
+    ``copy`` for files that are absent or differ in a column of ``by``. ``delete_source``, which
+    may go once the copy has succeeded, only for files whose size and content ``checksum`` are
+    known on both sides and equal, as is all else in ``by``. ``unknown`` for the rest: nothing tells the two apart, but nothing
+    shows that they are the same. A path stands once in a manifest, so one left join does.
     """
-    keys = ["path", *by]
-    have = target.select(*keys).withColumn("_equal", F.lit(True))
-    action = F.when(F.col("_equal"), "delete_source").otherwise("copy")
-    return source.join(have, keys, "left").select(
-        *[F.col(c) for c in source.columns], action.alias("action")
+    proof = {"size", "checksum"}
+    sure = proof <= set(by) and proof <= set(source.columns) and proof <= set(target.columns)
+    have = target.select(
+        F.col("path"), *[F.col(quoted(c)).alias(f"_{c}") for c in by], F.lit(True).alias("_there")
+    )
+    same = [F.col(quoted(c)) == F.col(quoted(f"_{c}")) for c in by]
+    differs, equal = F.lit(False), F.lit(sure)
+    for test in same:
+        differs = differs | F.coalesce(~test, F.lit(False))
+        equal = equal & F.coalesce(test, F.lit(False))
+    action = (
+        F.when(F.col("_there").isNull() | differs, "copy").when(equal, "delete_source").otherwise("unknown")
+    )
+    return source.join(have, "path", "left").select(
+        *[F.col(quoted(c)) for c in source.columns], action.alias("action")
     )
 
 
@@ -146,7 +159,9 @@ def pem_blocks(df: DataFrame, col: str = "text") -> DataFrame:
     """One row per ``BEGIN x … END x`` block of a text column, other columns kept.
 
     Adds ``kind``, ``der_length`` and the SHA-256 ``fingerprint`` of the decoded bytes; a body
-    that is not Base64 (blanks and line ends aside) gives nulls there. The text is cut at the begin marks and each piece at
+    that is not Base64 (blanks and line ends aside) gives nulls there. ``whole`` is false for a
+    block without its end mark or with a label of other characters than A-Z, 0-9 and blank, whose
+    values are nulls too. The text is cut at the begin marks and each piece at
     its end mark: plain searches, so that the work is linear in the text.
     """
     keep = [F.col(quoted(c)) for c in df.columns if c != col]
@@ -161,18 +176,20 @@ def pem_blocks(df: DataFrame, col: str = "text") -> DataFrame:
     start = F.length("kind") + len(PEM_DASHES) + 1
     stop = F.instr("_piece", end)
     body = F.rtrim(F.substring("_piece", start, stop - start), F.lit(" \t\r\n"))
+    whole = (stop > 0) & F.contains("_piece", F.lit(PEM_DASHES)) & F.col("kind").rlike("^[A-Z0-9 ]+$")
+    kind = F.when(F.contains("_piece", F.lit(PEM_DASHES)), F.col("kind"))
     # The decoder passes over blanks, except after padding; only then are they taken out.
     decoded = F.try_to_binary("_body", F.lit("base64"))
     without_blanks = F.try_to_binary(F.regexp_replace("_body", r"\s", ""), F.lit("base64"))
     return (
-        named.where((stop > 0) & F.col("kind").rlike("^[A-Z0-9 ]+$"))
-        .select(*keep, "kind", body.alias("_body"))
-        .select(*keep, "kind", F.coalesce(decoded, without_blanks).alias("_der"))
+        named.select(*keep, kind.alias("kind"), F.when(whole, body).alias("_body"), whole.alias("whole"))
+        .select(*keep, "kind", "whole", F.coalesce(decoded, without_blanks).alias("_der"))
         .select(
             *keep,
             "kind",
             F.length("_der").alias("der_length"),
             F.sha2("_der", 256).alias("fingerprint"),
+            "whole",
         )
     )
 

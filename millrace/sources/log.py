@@ -7,18 +7,17 @@ on a stored log they reach the file scan and skip row groups.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The offset words of the log protocol, and their numbers.
 LATEST, EARLIEST = -1, -2
-
-# Above this many topic-partitions the bounds are joined as a table instead of spelled out.
-MAX_INLINE_BOUNDS = 200
+BOUNDS = "array<struct<b_topic: string, b_partition: int, b_from: bigint, b_until: bigint>>"
 
 
 def select_topics(
@@ -62,27 +61,17 @@ def _bounds(value, *, word: int, banned: int, what: str) -> dict | None:
     return out
 
 
-def _range(start: int, until: int) -> Column | None:
-    tests = []
-    if start != EARLIEST:
-        tests.append(F.col("offset") >= start)
-    if until != LATEST:
-        tests.append(F.col("offset") < until)
-    return reduce(and_, tests) if tests else None
-
-
 def select_offsets(
     df: DataFrame,
     starting: str | Mapping[str, Mapping] = "earliest",
     ending: str | Mapping[str, Mapping] = "latest",
-    *,
-    max_inline: int = MAX_INLINE_BOUNDS,
 ) -> DataFrame:
     """Rows with ``from <= offset < until`` per topic-partition.
 
     A side is its open word or ``{topic: {partition: offset}}`` with -2 for earliest and -1
     for latest. Topic-partitions that a mapping leaves out are not read; two mappings must name
-    the same ones.
+    the same ones. The bounds are one text in the plan, joined as a table, and what they imply
+    for topic, partition and offset is a plain filter, which reaches a file scan.
     """
     start = _bounds(starting, word=EARLIEST, banned=LATEST, what="starting")
     until = _bounds(ending, word=LATEST, banned=EARLIEST, what="ending")
@@ -99,23 +88,15 @@ def select_offsets(
         return df.where(F.lit(False))
     # Implied by the ranges, and simple enough for a file scan to skip row groups by.
     df = df.where(F.col("topic").isin(sorted({r[0] for r in ranges})))
+    df = df.where(F.col("partition").isin(sorted({r[1] for r in ranges})))
     low, high = min(r[2] for r in ranges), [r[3] for r in ranges]
     if low != EARLIEST:
         df = df.where(F.col("offset") >= low)
     if LATEST not in high:
         df = df.where(F.col("offset") < max(high))
-    if len(ranges) <= max_inline:
-        tests = []
-        for t, p, a, b in ranges:
-            test = (F.col("topic") == t) & (F.col("partition") == p)
-            span = _range(a, b)
-            tests.append(test if span is None else test & span)
-        return df.where(reduce(or_, tests))
-    # A join without hint: the bounds frame is a local table of known size, so the optimizer
-    # ships it to the log's tasks while it is small and shuffles both sides beyond that.
-    bounds = df.sparkSession.createDataFrame(
-        ranges, "b_topic string, b_partition int, b_from bigint, b_until bigint"
-    )
+    # A join without hint: the optimizer ships the bounds while they are small.
+    text = json.dumps([dict(zip(("b_topic", "b_partition", "b_from", "b_until"), r, strict=True)) for r in ranges])
+    bounds = df.sparkSession.range(1).select(F.inline(F.from_json(F.lit(text), BOUNDS)))
     inside = (
         (F.col("topic") == F.col("b_topic"))
         & (F.col("partition") == F.col("b_partition"))

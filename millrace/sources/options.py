@@ -12,6 +12,7 @@ import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+# Fixed values from here on: the option names that readers take.
 FILE_OPTIONS = (
     "pathGlobFilter",
     "recursiveFileLookup",
@@ -39,6 +40,7 @@ class Profile:
     stream_only: tuple[str, ...] = ()
     defaults: Mapping[str, str] = field(default_factory=dict)
     choices: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    renamed: Mapping[str, str] = field(default_factory=dict)  # older names, whole or as prefix
     needs_path: bool = True
     package: str | None = None
 
@@ -99,11 +101,14 @@ PROFILES = {
         Profile(
             "mongodb",
             options=(
-                "pipeline", "readPreference.name", "partitioner", "aggregation.pipeline",
+                "readPreference.name", "partitioner", "aggregation.pipeline",
             ),
-            required=("database", "collection"),
-            one_of=("uri", "connection.uri"),
-            prefixes=("partitionerOptions.", "partitioner.options.", "spark.mongodb.read."),
+            required=("connection.uri", "database", "collection"),
+            prefixes=("partitioner.options.", "spark.mongodb.read."),
+            renamed={
+                "uri": "connection.uri", "pipeline": "aggregation.pipeline",
+                "partitionerOptions.": "partitioner.options.",
+            },
             needs_path=False,
             package="org.mongodb.spark:mongo-spark-connector_2.13",
         ),
@@ -164,6 +169,16 @@ def profile(fmt: str) -> Profile:
     raise OptionError(f"no reader profile for format {fmt!r}; known: {', '.join(PROFILES)}")
 
 
+def _current(prof: Profile, name: str) -> str:
+    """The name the connector knows today for an older one."""
+    for old, new in prof.renamed.items():
+        if old.endswith(".") and name.lower().startswith(old.lower()):
+            return new + name[len(old):]
+        if name.lower() == old.lower():
+            return new
+    return name
+
+
 def check_options(fmt: str, given: Mapping, *, stream: bool = False) -> dict[str, str]:
     """Check ``given`` against the profile of ``fmt`` and return it in reader form.
 
@@ -176,6 +191,7 @@ def check_options(fmt: str, given: Mapping, *, stream: bool = False) -> dict[str
     for name, value in given.items():
         if value is None:
             continue
+        name = _current(prof, name)
         low = name.lower()
         if low in known:
             if known[low] in prof.stream_only and not stream:

@@ -74,7 +74,7 @@ def stream_source(
     schema: StructType | str | None = None,
     options: Mapping | None = None,
     *,
-    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
     **kwargs,
 ) -> DataFrame:
     """Streaming read of ``fmt`` with checked options.
@@ -82,7 +82,7 @@ def stream_source(
     A file stream wants a directory or a glob; a path that names one file is turned into a
     glob for that same name. ``max_files_per_trigger`` bounds a file micro-batch, as
     ``maxOffsetsPerTrigger`` bounds one of the message log; without a bound the first batch of
-    a large backlog would be all of it.
+    a large backlog would be all of it, and that is what ``None`` asks for.
     """
     prof = profile(fmt)
     settings = check_options(fmt, {**(options or {}), **kwargs}, stream=True)
@@ -90,7 +90,7 @@ def stream_source(
         head, _, name = path.rstrip("/").rpartition("/")
         path = f"{head}/[{name[0]}]{name[1:]}"
     reader = _configured(spark.readStream, fmt, path, schema, settings)
-    if prof.needs_path:
+    if prof.needs_path and max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return _load(reader, prof.fmt, path, package=prof.package)
 

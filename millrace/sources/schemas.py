@@ -29,54 +29,67 @@ AVRO_LOGICAL = {
 }
 
 
-def _avro_type(node, named: dict) -> tuple[T.DataType, bool]:
-    """Spark type and nullability of one Avro schema node."""
+def _full_name(name: str, space: str) -> str:
+    return name if "." in name or not space else f"{space}.{name}"
+
+
+def _avro_type(node, named: dict, space: str = "") -> tuple[T.DataType, bool]:
+    """Spark type and nullability of one Avro schema node.
+
+    ``named`` holds the types by full name; ``space`` is the enclosing namespace.
+    """
     if isinstance(node, list):
         rest = [n for n in node if n != "null"]
         nullable = len(rest) < len(node)
         if len(rest) == 1:
-            return _avro_type(rest[0], named)[0], nullable
+            return _avro_type(rest[0], named, space)[0], nullable
         if set(map(str, rest)) == {"int", "long"}:
             return T.LongType(), nullable
         if set(map(str, rest)) == {"float", "double"}:
             return T.DoubleType(), nullable
         members = [
-            T.StructField(f"member{i}", _avro_type(n, named)[0], True)
+            T.StructField(f"member{i}", _avro_type(n, named, space)[0], True)
             for i, n in enumerate(rest)
         ]
         return T.StructType(members), nullable
     if isinstance(node, str):
         if node in AVRO_PRIMITIVES:
             return AVRO_PRIMITIVES[node], node == "null"
-        if node in named:
-            return named[node], False
+        for name in (_full_name(node, space), node):
+            if name in named:
+                return named[name], False
         raise ValueError(f"unknown Avro type {node!r}")
     kind = node["type"]
     if isinstance(kind, (dict, list)):
-        return _avro_type(kind, named)
+        return _avro_type(kind, named, space)
+    full = _full_name(node.get("name", ""), node.get("namespace", space))
+    inner = full.rpartition(".")[0] or space
     if kind == "record":
         fields = []
         for f in node["fields"]:
-            dtype, nullable = _avro_type(f["type"], named)
+            dtype, nullable = _avro_type(f["type"], named, inner)
             fields.append(T.StructField(f["name"], dtype, nullable))
-        named[node["name"]] = T.StructType(fields)
-        return named[node["name"]], False
+        named[full] = T.StructType(fields)
+        return named[full], False
     if kind == "array":
-        dtype, nullable = _avro_type(node["items"], named)
+        dtype, nullable = _avro_type(node["items"], named, space)
         return T.ArrayType(dtype, nullable), False
     if kind == "map":
-        dtype, nullable = _avro_type(node["values"], named)
+        dtype, nullable = _avro_type(node["values"], named, space)
         return T.MapType(T.StringType(), dtype, nullable), False
     logical = node.get("logicalType")
     if kind in ("bytes", "fixed") and logical == "decimal":
-        return T.DecimalType(int(node["precision"]), int(node.get("scale", 0))), False
+        dtype = T.DecimalType(int(node["precision"]), int(node.get("scale", 0)))
+        if kind == "fixed":
+            named[full] = dtype
+        return dtype, False
     if kind in ("enum", "fixed"):
         dtype = T.StringType() if kind == "enum" else T.BinaryType()
-        named[node["name"]] = dtype
+        named[full] = dtype
         return dtype, False
     if (kind, logical) in AVRO_LOGICAL:
         return AVRO_LOGICAL[kind, logical], False
-    return _avro_type(kind, named)
+    return _avro_type(kind, named, space)
 
 
 def avro_to_struct(text: str) -> T.StructType:
@@ -141,8 +154,10 @@ def latest_schemas(
 
 def variant_ddl(text: str) -> str:
     """Schema text of a variant aggregate as type text that ``from_json`` takes."""
-    text = re.sub(r"\bOBJECT<", "STRUCT<", text)
-    return re.sub(r"\b(VOID|VARIANT)\b", "STRING", text)
+    names = {"OBJECT": "STRUCT", "VOID": "STRING", "VARIANT": "STRING"}
+    # Quoted names and words before a colon are field names, which stay.
+    word = r"`(?:[^`]|``)*`|\b(?:OBJECT(?=<)|(?:VOID|VARIANT)\b(?!\s*:))"
+    return re.sub(word, lambda m: names.get(m[0], m[0]), text)
 
 
 def infer_json_schema(df: DataFrame, col: str) -> str:
@@ -155,12 +170,3 @@ def infer_json_schema(df: DataFrame, col: str) -> str:
     if not found.startswith(("OBJECT<", "ARRAY<")):
         raise ValueError(f"the texts of {col} have no common structure: {found}")
     return variant_ddl(found)
-
-
-def schema_of_sample(df: DataFrame, col: str) -> str:
-    """Type text of the first non-null JSON text in ``col``, for control records whose
-    field names are only known at run time."""
-    row = df.where(F.col(col).isNotNull()).select(col).first()
-    if row is None:
-        raise ValueError(f"column {col} holds no value to take a schema from")
-    return df.sparkSession.range(1).select(F.schema_of_json(F.lit(row[0]))).first()[0]

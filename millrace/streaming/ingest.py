@@ -12,7 +12,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.sources.log import offset_ledger
 from millrace.sources.readers import known_format
-from millrace.streaming.messages import bad_messages, good_messages, kafka_envelope, parse_messages
+from millrace.streaming.messages import (
+    CORRUPT,
+    ENVELOPE,
+    bad_messages,
+    good_messages,
+    kafka_envelope,
+    parse_messages,
+)
 
 BATCH = "batch_id"
 
@@ -31,16 +38,17 @@ def start_sink(
     """Start an append sink: ``console``, ``kafka``, ``delta``, ``parquet`` or another format.
 
     ``available_now`` takes what is there, in batches of the source's limit, and ends.
-    ``jdbc`` has no streaming sink of its own and is written batch by batch.
+    ``jdbc`` has no streaming sink of its own and is written batch by batch, each row with its
+    batch number in the column ``batch_id``. Before a batch is appended the table is asked for
+    its number, and a batch that is there already is passed over, so a replay writes no row
+    twice. (A batch that was cut off half-way, where the database does not write it in one
+    transaction, has to be removed by its number first.)
     """
     settings = {k: str(v) for k, v in (options or {}).items()}
     if path:
         settings["path"] = path
     if fmt == "jdbc":
-        def write(batch: DataFrame, _: int) -> None:
-            batch.write.format("jdbc").options(**settings).mode("append").save()
-
-        writer = stream.writeStream.foreachBatch(write)
+        writer = stream.writeStream.foreachBatch(jdbc_writer(settings))
     else:
         writer = stream.writeStream.format(fmt).options(**settings)
     writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
@@ -54,6 +62,26 @@ def start_sink(
         return writer.start()
 
 
+def jdbc_writer(
+    settings: dict[str, str], fmt: str = "jdbc"
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that appends each batch to a table once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        from pyspark.errors import AnalysisException
+
+        try:
+            there = batch.sparkSession.read.format(fmt).options(**settings).load()
+            if there.where(F.col(BATCH) == batch_id).limit(1).count():
+                return
+        except AnalysisException:
+            pass  # no such table yet: the first batch makes it
+        numbered = batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
+        numbered.write.format(fmt).options(**settings).mode("append").save()
+
+    return write
+
+
 def run_to_end(query: StreamingQuery) -> None:
     """Wait for an ``available_now`` query; its failure is raised here."""
     query.awaitTermination()
@@ -123,6 +151,29 @@ def start_split(
 
 
 def read_batches(spark, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """What :func:`overwrite_batch` has written, without the batch number."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path).drop(BATCH)
+    """What :func:`overwrite_batch` has written, without the batch number.
+
+    With ``schema`` a sink that has seen no batch yet is an empty frame of it.
+    """
+    if schema is None:
+        return spark.read.parquet(path).drop(BATCH)
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.schema(schema).parquet(path).drop(BATCH)
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def split_schemas(
+    schema: T.StructType, *, load_whole: bool = False
+) -> tuple[T.StructType, T.StructType]:
+    """The columns that a :func:`split_writer` gives its good and its bad sink."""
+    envelope = [T.StructField(f.name, f.dataType) for f in ENVELOPE.fields]
+    kept = [f for f in envelope if f.name != "value" or load_whole]
+    text = T.StringType()
+    good = [T.StructField(f.name, f.dataType) for f in schema.fields] + kept
+    good += [T.StructField("consumerGroupId", text), T.StructField("data_center_region", text)]
+    return T.StructType(good), T.StructType([*envelope, T.StructField(CORRUPT, text)])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.text import xml_escape
+from millrace.functions.text import is_json, xml_escape
 from millrace.operators.shapes import quoted
 
 # The names and types of the envelope.
@@ -85,8 +85,8 @@ def parse_messages(
 ) -> DataFrame:
     """Envelope plus the fields of ``schema`` plus ``_corrupt_record``.
 
-    The record column holds the raw text of a value that is not JSON or does not fit the
-    schema. ``required`` fields that are missing or null also make a (non-null) value corrupt.
+    The record column holds the raw text of a value that is not one JSON value (blank texts and
+    ones with anything behind the value are not) or does not fit the schema. ``required`` fields that are missing or null also make a (non-null) value corrupt.
     The struct is opened by a generator rather than by field access, because a later filter on
     the corrupt column would otherwise be pushed below and parse every value a second time.
     """
@@ -98,15 +98,10 @@ def parse_messages(
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json(F.col("value"), full, options)
     out = envelope.select("*", F.inline(F.array(parsed)))
-    if not required:
-        return out
-    missing = F.lit(False)
+    bad = ~is_json("value")
     for name in required:
-        missing = missing | F.col(name).isNull()
-    return out.withColumn(
-        CORRUPT,
-        F.when(F.col(CORRUPT).isNull() & missing, F.col("value")).otherwise(F.col(CORRUPT)),
-    )
+        bad = bad | F.col(quoted(name)).isNull()
+    return out.withColumn(CORRUPT, F.coalesce(F.col(CORRUPT), F.when(bad, F.col("value"))))
 
 
 def good_messages(
@@ -123,7 +118,7 @@ def good_messages(
     """
     head = [n for n in ENVELOPE.fieldNames() if n != "value" or load_whole]
     return parsed.where(F.col(CORRUPT).isNull()).select(
-        *[F.col(f"`{n}`") for n in schema.fieldNames()],
+        *[F.col(quoted(n)) for n in schema.fieldNames()],
         *head,
         F.lit(consumer_group).alias("consumerGroupId"),
         F.lit(region).alias("data_center_region"),
@@ -144,25 +139,37 @@ def valid_messages(
     load_whole: bool = False,
     required: tuple[str, ...] = (),
     bad_path: str | None = None,
+    run: str | None = None,
 ) -> DataFrame:
     """Valid messages of an envelope with a schema; the envelope unparsed without one.
 
-    With ``bad_path`` the bad rows are appended there now, in a job of its own; persist the
-    envelope first if its source is costly to read twice.
+    With ``bad_path`` the bad rows are written there now, in a job of its own (see
+    :func:`write_bad_records` for ``run``); persist the envelope first if its source is costly
+    to read twice.
     """
     if schema is None:
         return envelope
     parsed = parse_messages(envelope, schema, required=required)
-    write_bad_records(bad_messages(parsed), bad_path)
+    write_bad_records(bad_messages(parsed), bad_path, run=run)
     return good_messages(
         parsed, schema, consumer_group=consumer_group, region=region, load_whole=load_whole
     )
 
 
-def write_bad_records(df: DataFrame, path: str | None, fmt: str = "json") -> None:
-    """Append the rows with a corrupt record to ``path``; without a path nothing is done."""
+def write_bad_records(
+    df: DataFrame, path: str | None, fmt: str = "json", *, run: str | None = None
+) -> None:
+    """Add the rows with a corrupt record to ``path``; without a path nothing is done.
+
+    With ``run`` they go to the folder ``run=<run>`` and replace what an earlier attempt of the
+    same run has left there, so that a repeated job writes no row twice.
+    """
     if path:
-        df.where(F.col(CORRUPT).isNotNull()).write.mode("append").format(fmt).save(path)
+        bad = df.where(F.col(CORRUPT).isNotNull()).write.format(fmt)
+        if run is None:
+            bad.mode("append").save(path)
+        else:
+            bad.mode("overwrite").save(f"{path.rstrip('/')}/run={run}")
 
 
 def _text_headers(headers: Column) -> Column:
@@ -186,8 +193,9 @@ def enrich_json(
 
     Added in this order: Kafka_topic, Kafka_offset, Kafka_partitionId, Kafka_CreateTime,
     Kafka_header (with ``header``) and Json, the whole message as a string (with ``whole``).
-    The message's own fields keep their text. A null message gives an empty text, one that is
-    not a JSON object gives null.
+    The message's own fields keep their text. A null message gives an empty text. One that is
+    not a JSON object, or has a field named like an added one, gives null with ``<name>_ok``
+    false.
     """
     raw = F.col("value").cast("string")
     added = [
@@ -205,20 +213,31 @@ def enrich_json(
     staged = df.withColumns({"_message": message, "_tail": F.to_json(F.struct(*added))})
     inner = F.substring("_message", F.lit(1), F.length("_message") - 1)
     staged = staged.withColumn("_body", F.rtrim(inner, F.lit(JSON_BLANKS)))
-    is_object = F.startswith("_message", F.lit("{")) & F.try_parse_json("_message").isNotNull()
+    names = F.array(*[F.lit(n) for n in df.select(*added).columns])
+    own = F.coalesce(F.json_object_keys("_message"), F.array().cast("array<string>"))
+    staged = staged.withColumn(
+        "_object",
+        F.startswith("_message", F.lit("{")) & is_json("_message") & ~F.arrays_overlap(own, names),
+    )
     text = F.concat(
         "_body",
         F.when(F.col("_body") == "{", "").otherwise(", "),
         F.substring("_tail", F.lit(2), F.length("_tail")),
     )
-    enriched = F.when(raw.isNull(), "").when(is_object, text)
-    return staged.select(*[F.col(quoted(c)) for c in df.columns], enriched.alias(name))
+    enriched = F.when(raw.isNull(), "").when(F.col("_object"), text)
+    return staged.select(
+        *[F.col(quoted(c)) for c in df.columns], enriched.alias(name),
+        F.coalesce("_object", F.lit(True)).alias(f"{name}_ok"),
+    )
 
 
-def enrich_xml(df: DataFrame, row_tag: str, name: str = "enriched") -> DataFrame:
+def enrich_xml(
+    df: DataFrame, row_tag: str, name: str = "enriched", *, header: bool = False
+) -> DataFrame:
     """The XML text of each message with its metadata before the last closing ``row_tag``.
 
-    A null message gives an empty text; one without the tag gives null, with
+    With ``header`` an element ``Kafka_header`` holds one ``header`` element with attribute
+    ``key`` per header, in their order. A null message gives an empty text; one without the tag gives null, with
     ``<name>_ok`` false.
     """
     raw = F.col("value").cast("string")
@@ -233,6 +252,13 @@ def enrich_xml(df: DataFrame, row_tag: str, name: str = "enriched") -> DataFrame
         ("Kafka_CreateTime", _millis().cast("string")),
     ):
         pieces += [F.lit(f"<{tag}>"), F.coalesce(col, F.lit("")), F.lit(f"</{tag}>")]
+    if header:
+        one = lambda h: F.concat(
+            F.lit('<header key="'), F.replace(xml_escape(h["key"]), F.lit('"'), F.lit("&quot;")),
+            F.lit('">'), F.coalesce(xml_escape(h["value"]), F.lit("")), F.lit("</header>"),
+        )
+        inner = F.array_join(F.transform(F.coalesce("headers", F.array()), one), "")
+        pieces += [F.lit("<Kafka_header>"), inner, F.lit("</Kafka_header>")]
     text = F.concat(head, *pieces, F.lit(close), tail)
     has_tag = F.contains(raw, F.lit(close))
     return df.withColumns({

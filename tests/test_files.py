@@ -3,6 +3,7 @@ import hashlib
 import pathlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.sources.files import (
     file_manifest,
@@ -68,8 +69,13 @@ def test_manifest_and_sync(spark, tmp_path):
     assert rows["same"].checksum == hashlib.sha256(b"a").hexdigest()
     plan = {r.path: r.action for r in sync_plan(left, right, ("size", "checksum")).collect()}
     assert plan == {"same": "delete_source", "empty": "delete_source", "d/changed": "copy", "d/grown": "copy", "new file": "copy"}
-    by_size = {r.path: r.action for r in sync_plan(left, right).collect()}
-    assert by_size["d/changed"] == "delete_source"
+    assert {r.path: r.action for r in sync_plan(left, right).collect()} == plan
+    bare = sync_plan(left.drop("checksum"), right.drop("checksum"), by=("size",))
+    assert {r.path: r.action for r in bare.collect()} == {
+        "same": "unknown", "empty": "unknown", "d/changed": "unknown", "d/grown": "copy", "new file": "copy"
+    }
+    lost = right.withColumn("checksum", F.when(F.col("path") != "same", F.col("checksum")))
+    assert {r.path: r.action for r in sync_plan(left, lost).collect()}["same"] == "unknown"
     for form in (f"file:{src}", f"file://{src}/"):
         assert {r.path for r in file_manifest(spark, form).collect()} == set(rows)
     odd = tree(tmp_path / "odd %20 + dir", {"a%20b#c?.txt": "x", "ü +.txt": ""})
@@ -77,8 +83,8 @@ def test_manifest_and_sync(spark, tmp_path):
         "a%20b#c?.txt": 1, "ü +.txt": 0
     }
     assert file_manifest(spark, src, recursive=False).count() == 3
-    lines = {r.path: r.checksum for r in file_manifest(spark, src, checksum="lines").collect()}
-    other = {r.path: r.checksum for r in file_manifest(spark, dst, checksum="lines").collect()}
+    lines = {r.path: r.line_digest for r in file_manifest(spark, src, checksum="lines").collect()}
+    other = {r.path: r.line_digest for r in file_manifest(spark, dst, checksum="lines").collect()}
     assert lines["same"] == other["same"] and lines["d/changed"] != other["d/changed"]
     assert lines["empty"] == "0:0"
     assert "checksum" not in file_manifest(spark, src).columns
@@ -95,13 +101,16 @@ def test_pem_blocks(spark, tmp_path):
     (tmp_path / "a.pem").write_text(text)
     (tmp_path / "b.pem").write_text("-----BEGIN CERTIFICATE-----\nno end")
     (tmp_path / "c.pem").write_text("-----BEGIN X-----\n!!!\n-----END X-----")
+    (tmp_path / "d.pem").write_text("-----BEGIN Odd-----\nYQ==\n-----END Odd-----\n-----BEGIN nothing")
     rows = pem_blocks(read_whole_texts(spark, str(tmp_path))).collect()
-    got = sorted((r.path.rsplit("/", 1)[1], r.kind, r.der_length, r.fingerprint) for r in rows)
+    got = [(r.path.rsplit("/", 1)[1], r.kind, r.der_length, r.fingerprint) for r in rows]
     want = [
         ("a.pem", k, len(d), hashlib.sha256(d).hexdigest())
         for k, d in (("CERTIFICATE", cert), ("PRIVATE KEY", key), ("CERTIFICATE", b"z"), ("CERTIFICATE", b"a"))
-    ] + [("c.pem", "X", None, None)]
-    assert got == sorted(want)
+    ] + [("c.pem", "X", None, None), ("b.pem", "CERTIFICATE", None, None), ("d.pem", "Odd", None, None), ("d.pem", None, None, None)]
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert {r.kind for r in rows if not r.whole} == {"CERTIFICATE", "Odd", None}
 
 
 def test_object_path(spark):

@@ -66,7 +66,7 @@ def test_offsets_that_no_batch_read_can_have(log, start, end):
     st.tuples(st.integers(-2, 11).filter(lambda x: x != -1), st.integers(-1, 11)),
     max_size=6,
 ))
-def test_join_form_equals_inline_form(log, ranges):
+def test_ranges_against_brute_force(log, ranges):
     start, end = {}, {}
     for (t, p), (a, b) in ranges.items():
         start.setdefault(t, {})[p] = a
@@ -76,7 +76,6 @@ def test_join_form_equals_inline_form(log, ranges):
         if (t, p) in ranges and o >= ranges[t, p][0] and (ranges[t, p][1] == -1 or o < ranges[t, p][1])
     }
     assert picked(select_offsets(log, start, end)) == want
-    assert picked(select_offsets(log, start, end, max_inline=0)) == want
 
 
 def test_offsets_reach_the_scan(spark, log, tmp_path):

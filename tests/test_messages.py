@@ -68,7 +68,8 @@ def test_strict_envelope(spark):
 
 VALUES = [
     '{"field1": "value1", "field2": 100}', "corrupt_value", '{"field1": "v", "field2": "abc"}',
-    "{}", None, '{"field1": {"a": 1}, "field2": 3}', '["x"]',
+    "{}", None, '{"field1": {"a": 1}, "field2": 3}', '["x"]', "", "   ", '{"field2":1} trailing',
+    '{"field2":1}{"field2":2}',
 ]
 
 
@@ -85,7 +86,7 @@ def test_good_and_bad(spark):
     assert got[105] == ('{"a":1}', 3)
     assert {r.consumerGroupId for r in good.collect()} == {"g"}
     assert {r.Kafka_offset: r[CORRUPT] for r in bad.collect()}[101] == "corrupt_value"
-    assert {102}.issubset({r.Kafka_offset for r in bad.collect()})
+    assert {102, 107, 108, 109, 110}.issubset({r.Kafka_offset for r in bad.collect()})
     assert good.count() + bad.count() == len(VALUES)
 
 
@@ -132,6 +133,9 @@ def test_bad_record_sink(spark, tmp_path):
     write_bad_records(parse_messages(env, FIELDS), path)
     assert spark.read.json(path).count() == 2 * (len(VALUES) - good.count())
     write_bad_records(parse_messages(env, FIELDS), None)
+    for _ in range(2):
+        write_bad_records(parse_messages(env, FIELDS), f"{path}-once", run="7")
+    assert spark.read.json(f"{path}-once").count() == len(VALUES) - good.count()
 
 
 def test_enrich_json_text(spark):
@@ -156,18 +160,21 @@ def test_enrich_json_with_headers(spark):
         "Kafka_header", "Json",
     ]
     assert json.loads(text)["Kafka_header"] == {"headerKey": "headerValue"}
-    assert out.columns == [*log.columns, "enriched"]
+    assert out.columns == [*log.columns, "enriched", "enriched_ok"]
 
 
 @pytest.mark.parametrize(
     ("value", "want"),
     [
         (None, ""), ("{}", {}), (" \n{ } ", {}), ('{"a": "}"}\n', {"a": "}"}), ("[1]", None),
-        ("x{}", None), ('{"a": 1', None), ("3", None), ("", None),
+        ("x{}", None), ('{"a": 1', None), ("3", None), ("", None), ('{"k":1} trailing', None),
+        ('{"a":1} }', None), ('{"Kafka_topic": "mine"}', None),
     ],
 )
 def test_enrich_json_shapes(spark, value, want):
-    text = enrich_json(log_of(spark, value), whole=False).first().enriched
+    row = enrich_json(log_of(spark, value), whole=False).first()
+    text = row.enriched
+    assert row.enriched_ok == (text is not None)
     if isinstance(want, dict):
         got = json.loads(text)
         assert {k: v for k, v in got.items() if not k.startswith("Kafka_")} == want
@@ -191,6 +198,16 @@ def test_enrich_xml(spark):
     assert [(r.enriched, r.enriched_ok) for r in rows[1:]] == [(None, False), ("", True)]
 
 
+def test_enrich_xml_headers(spark):
+    headers = F.array(*[
+        F.struct(F.lit(k).alias("key"), F.lit(v).cast("binary").alias("value")) for k, v in (('a"<', "x&y"), ("b", None))
+    ])
+    log = log_of(spark, "<row/></row>").withColumn("headers", headers)
+    text = enrich_xml(log, "row", header=True).first().enriched
+    found = ET.fromstring(text.removeprefix("<row/>").join(["<row>", ""])).find("Kafka_header")
+    assert [(h.get("key"), h.text) for h in found] == [('a"<', "x&y"), ("b", None)]
+
+
 def test_avro_decoder_is_gated(spark):
     schema = json.dumps({"type": "record", "name": "C", "fields": [{"name": "id", "type": "int"}]})
     with pytest.raises(FormatUnavailable, match="spark-avro"):

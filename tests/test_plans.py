@@ -4,17 +4,16 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_module
+from millrace import plans
 
-QUERIES = entry_module.queries()
-EAGER = re.compile("stream_|read_|verified_|file_")
+QUERIES = plans.QUERIES
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not EAGER.match(n)))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_slow_operators(spark, sf, name):
     plan = plan_of(QUERIES[name](spark, sf))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "NestedLoopJoin", "Window"):

@@ -19,13 +19,13 @@ def prices(spark):
 
 def test_report_of_the_sample(spark, prices):
     products = spark.createDataFrame(
-        [(1001, "apple"), (1002, "orange"), (1003, "banana")], "prod_id bigint, prod_name string"
+        [(1001, "rope"), (1002, "lamp"), (1003, "saw")], "prod_id bigint, prod_name string"
     )
     joined = join_on(prices, products, "prod_id")
     assert joined.columns == ["prod_id", "prod_price", "sale_time", "prod_name"]
     out = min_pair_match(joined, ["prod_id", "prod_name"], "sale_time", "prod_price")
     rows = sorted(tuple(r) for r in out.select("prod_id", "prod_name", "prod_price").collect())
-    assert rows == [(1001, "apple", 100), (1002, "orange", 200), (1003, "banana", 300)]
+    assert rows == [(1001, "rope", 100), (1002, "lamp", 200), (1003, "saw", 300)]
 
 
 def test_minima(prices):

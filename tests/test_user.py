@@ -11,6 +11,12 @@ def test_value_function_is_null_safe(spark):
     assert [r[0] for r in df.select(strip("t")).collect()] == ["a", None, "b"]
 
 
+def test_whole_numbers_stay_whole(spark):
+    seen = value_function(lambda v: f"{type(v).__name__} {v}", "string")
+    df = spark.createDataFrame([(1,), (None,), (2**53 + 1,)], "n bigint").coalesce(1)
+    assert [r[0] for r in df.select(seen("n")).collect()] == ["int 1", None, f"int {2**53 + 1}"]
+
+
 def test_batch_function_over_two_columns(spark):
     add = batch_function(lambda a, b: a + b, "bigint")
     df = spark.range(5).withColumn("x", F.col("id") * 10)
