@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Callable, Iterator
 
@@ -12,8 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.colliding import colliding, scan_tasks
-from millrace.llm.common import staged
-from millrace.llm.linking import link_by_keys
+from millrace.llm.common import components, shuffle_width, staged
 from millrace.llm.shingles import WORDS_PER_SHINGLE, WordHashes, mix, shingles
 
 PASSAGE_WORDS = 32  # the shortest paragraph that counts
@@ -21,7 +21,9 @@ GUARANTEE = 51  # a run of so many equal words holds an anchored paragraph in co
 SIMILARITY = 0.75
 RECALL = 0.97
 SEED = np.uint64(0x51_7C_C1_B7_27_22_0A_95)
-LINES = "node long, doc_id long, pos int, words int, grams array<long>"
+SKETCH_BITS = 512
+BLOCK = 512  # lines of a key that one task compares with as many others
+LINES = "node long, doc_id long, pos int, words int, sketch binary, grams array<long>"
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -63,14 +65,16 @@ def passages(words: np.ndarray, size: int = PASSAGE_WORDS) -> tuple[np.ndarray,
     return mix((inner * PLACES[:per]).sum(axis=1, dtype=np.uint64) ^ SEED), starts
 
 
-def lines_of(text: str, hashes: WordHashes, least: int = PASSAGE_WORDS) -> Iterator[tuple[int, np.ndarray]]:
-    """First word and word hashes of each line of at least ``least`` words."""
-    at = 0
-    for line in text.split("\n"):
-        words = hashes.of(line)
-        if len(words) >= least:
-            yield at, words
-        at += len(words)
+def lines_of(text: str, hashes: WordHashes) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Hashes of all words, and first and last word of each line of at least ``PASSAGE_WORDS``."""
+    lines = [line.split() for line in text.encode().lower().split(b"\n")]
+    words = list(itertools.chain.from_iterable(lines))
+    spans, at = [], 0
+    for line in lines:
+        if len(line) >= PASSAGE_WORDS:
+            spans.append((at, at + len(line)))
+        at += len(line)
+    return np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words)), spans
 
 
 def band_keys(grams: np.ndarray) -> np.ndarray:
@@ -90,22 +94,30 @@ def _emit() -> Callable:
         hashes.trim()
         ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
         for at in range(0, len(texts), 2000):
-            keys, of, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            keys, places, of = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], []
             for doc_id, text in zip(ids[at:at + 2000], texts[at:at + 2000], strict=True):
                 if not text:
                     continue
-                found, starts = passages(hashes.of(text))
+                words, lines = lines_of(text, hashes)
+                found, starts = passages(words)
                 keys.append(found)
                 places.append(2 * starts)
-                for start, words in lines_of(text, hashes):
-                    keys.append(band_keys(shingles(words)))
-                    places.append(np.full(BANDS, 2 * start + 1))
-                of.append(np.full(sum(map(len, keys)) - sum(map(len, of)), doc_id))
-            yield np.concatenate(keys), np.concatenate(of), np.concatenate(places).astype(np.int32)
+                for first, last in lines:
+                    keys.append(band_keys(shingles(words[first:last])))
+                    places.append(np.full(BANDS, 2 * first + 1))
+                of.append((doc_id, len(found) + BANDS * len(lines)))
+            owners = np.repeat(np.array([i for i, _ in of], dtype=np.int64), [n for _, n in of])
+            yield np.concatenate(keys), owners, np.concatenate(places).astype(np.int32)
 
     return run
 
 
+def sketch(grams: np.ndarray) -> bytes:
+    """The set's parity in ``SKETCH_BITS`` bits: each element turns one bit over."""
+    odd = np.bincount((grams % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lines of a document that stand at the given places, with their shingle sets."""
     hashes = WordHashes()
@@ -114,20 +126,101 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for doc_id, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             wanted = set(wanted)
-            for start, words in lines_of(text or "", hashes):
-                if 2 * start + 1 in wanted:
-                    grams = np.unique(shingles(words))
-                    node = mix((words * mix(np.arange(len(words), dtype=np.uint64) + SEED)).sum(keepdims=True, dtype=np.uint64))
-                    rows.append((int(node.view(np.int64)[0]), doc_id, 2 * start + 1, len(words), grams.view(np.int64)))
+            words, lines = lines_of(text or "", hashes)
+            for first, last in lines:
+                if 2 * first + 1 in wanted:
+                    line = words[first:last]
+                    grams = np.unique(shingles(line))
+                    order = mix(np.arange(len(line), dtype=np.uint64) + SEED)
+                    node = mix((line * order).sum(keepdims=True, dtype=np.uint64)).view(np.int64)
+                    rows.append((int(node[0]), doc_id, 2 * first + 1, len(line), sketch(grams), grams.view(np.int64)))
         for at in range(0, len(rows), 5000):
-            node, doc_id, pos, words, grams = zip(*rows[at:at + 5000], strict=True)
+            node, doc_id, pos, words, marks, grams = zip(*rows[at:at + 5000], strict=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(node, pa.int64()), pa.array(doc_id, pa.int64()), pa.array(pos, pa.int32()),
-                 pa.array(words, pa.int32()), pa.array(grams, pa.list_(pa.int64()))],
-                names=["node", "doc_id", "pos", "words", "grams"],
+                 pa.array(words, pa.int32()), pa.array(marks, pa.binary()), pa.array(grams, pa.list_(pa.int64()))],
+                names=["node", "doc_id", "pos", "words", "sketch", "grams"],
             )
 
 
+def _tree(nodes: np.ndarray, sizes: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that size and sketch do not rule out, as few as tie together all that such pairs do."""
+    differ = np.bitwise_count(marks[:, None, :] ^ marks[None, :, :]).sum(axis=2, dtype=np.int64)
+    small, large = (f.outer(sizes, sizes) for f in (np.minimum, np.maximum))
+    near = (small >= SIMILARITY * large) & (differ <= (1 - SIMILARITY) / (1 + SIMILARITY) * (small + large))
+    reached = np.zeros(len(nodes), bool)
+    one, two = [], []
+    while not reached.all():
+        front = np.array([int(np.flatnonzero(~reached)[0])])
+        reached[front] = True
+        while len(front):
+            open_ = np.flatnonzero(~reached)
+            hit = near[np.ix_(open_, front)]
+            found = hit.any(axis=1)
+            one.append(nodes[front[hit[found].argmax(axis=1)]])
+            two.append(nodes[open_[found]])
+            front = open_[found]
+            reached[front] = True
+    return np.concatenate(one), np.concatenate(two)
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compare the lines of each block of a key by size and sketch; rows are sorted by block."""
+    for rows in _blocks(batches):
+        one, two = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        starts = np.flatnonzero(np.concatenate([[True], np.any(
+            [rows[c][1:] != rows[c][:-1] for c in ("key", "lo", "hi")], axis=0
+        )]))
+        several = np.flatnonzero(np.diff(np.append(starts, len(rows["key"]))) > 1)
+        ends = np.append(starts, len(rows["key"]))
+        for i in several.tolist():
+            at = slice(ends[i], ends[i + 1])
+            a, b = _tree(rows["node"][at], rows["n"][at], rows["sketch"][at])
+            one.append(a)
+            two.append(b)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(one)), pa.array(np.concatenate(two))], names=["a", "b"]
+        )
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """Columns of whole blocks: what a batch breaks off in goes with the next."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = {c: batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("key", "lo", "hi", "node", "n")}
+        marks = batch.column(batch.schema.get_field_index("sketch")).to_pylist()
+        rows["sketch"] = np.frombuffer(b"".join(marks), dtype=np.uint64).reshape(len(marks), -1)
+        if held is not None:
+            rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
+        last = np.flatnonzero(np.any([rows[c] != rows[c][-1] for c in ("key", "lo", "hi")], axis=0))
+        cut = int(last[-1]) + 1 if len(last) else 0
+        if cut:
+            yield {c: v[:cut] for c, v in rows.items()}
+        held = {c: v[cut:] for c, v in rows.items()}
+    if held is not None:
+        yield held
+
+
+def near_lines(keyed: DataFrame, contents: DataFrame, width: int) -> DataFrame:
+    """Distinct pairs ``a, b`` of lines with a common key (``key``, ``node``) that may be similar.
+
+    The lines of a key are compared in blocks of ``BLOCK`` against each other, spread over
+    tasks. A block gives only as many pairs as tie together what is near, so a line that very many
+    documents vary costs rows in proportion to their number.
+    """
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("count")).where("count > 1")
+    sizes = sizes.select("key", F.expr(f"cast((count + {BLOCK} - 1) div {BLOCK} as int)").alias("blocks"))
+    own = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
+    laid = keyed.join(sizes, "key").select(
+        "key", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    ).select("key", "node", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+    laid = laid.join(contents.select("node", F.size("grams").alias("n"), "sketch"), "node")
+    laid = laid.repartition(width, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    return laid.mapInArrow(_near, "a long, b long").distinct()
+
+
 def verify_lines(pairs: DataFrame, contents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs of lines whose shingle sets have at least this Jaccard similarity."""
     one = contents.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
@@ -144,8 +237,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Paragraphs are of two kinds: lines of at least ``PASSAGE_WORDS`` words, and stretches of that many
     words in the running text whose beginnings the words themselves decide (:func:`passages`). The
     lines' sets of five-word shingles are banded by MinHash, with bands tuned for a recall of ``RECALL``
-    at ``SIMILARITY``; colliding lines are verified by exact Jaccard and clustered
-    by components. A stretch has the one band of all its words. Of each cluster over several
+    at ``SIMILARITY``; colliding lines that size and parity sketch leave are verified by exact
+    Jaccard and clustered by components. A stretch has the one band of all its words. Of each cluster over several
     documents, the one of smallest id (``keep_id``) keeps its paragraphs.
 
     A row is a stretch of words of one document, put together from overlapping or adjoining paragraphs with the same
@@ -163,10 +256,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     lines = members.where("pos % 2 = 1")
     wanted = lines.groupBy(F.col("id").alias("doc_id")).agg(F.collect_set("pos").alias("wanted"))
     found = staged(docs.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_lines, LINES), "lines")
-    contents = found.dropDuplicates(["node"]).select("node", "grams")
+    contents = staged(found.dropDuplicates(["node"]).select("node", "sketch", "grams"), "contents")
     places = found.select("node", F.col("doc_id").alias("id"), "pos", "words").distinct()
     keyed = lines.join(places, ["id", "pos"]).select("key", "node").distinct()
-    ends = link_by_keys(keyed, lambda pairs: verify_lines(pairs, contents))
+    width = max(shuffle_width(docs.sparkSession), 2 * tasks)
+    ends = components(verify_lines(near_lines(keyed, contents, width), contents))
     lines = places.join(ends, "node", "left").select(F.coalesce("component", "node").alias("cluster"), "id", "pos", "words")
 
     stretches = members.where("pos % 2 = 0").select(
