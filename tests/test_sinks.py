@@ -75,6 +75,14 @@ def test_mismatch_raises(spark, tmp_path, monkeypatch):
         verified_write(spark.range(3), str(tmp_path))
 
 
+def test_csv_is_counted_by_rows(spark, tmp_path):
+    lines = spark.createDataFrame([(1, "a\nb"), (2, 'say "x,y"'), (3, None), (4, "")], "i int, t string")
+    done = verified_write(lines, str(tmp_path), fmt="csv")
+    assert (done.source_rows, done.target_rows) == (4, 4)
+    nulls = spark.createDataFrame([(None,), ("x",)], "t string")
+    assert verified_write(nulls, str(tmp_path), fmt="csv").target_rows == 2
+
+
 def test_absent_warehouse(spark):
     with pytest.raises(FormatUnavailable, match="bigquery"):
         write_table(spark.range(1), "p.d.t", "bigquery")

@@ -64,12 +64,6 @@ def test_a_third_of_all_rows_tie(shuffled, rows):
     assert hot.count() == sum(1 for r in tied if r[0] == 0)
 
 
-def test_rows_of_a_hot_group_are_spread(frame):
-    spread = frame.repartition(16, "k", "d", "p").where("k = 0").groupBy(F.spark_partition_id()).count()
-    counts = [r["count"] for r in spread.collect()]
-    assert len(counts) == 16 and max(counts) < sum(counts) / 4
-
-
 def test_join_and_aggregate(shuffled, frame, rows):
     names = shuffled.createDataFrame([(k, f"n{k % 3}") for k in range(400)], "k int, name string")
     joined = join_on(frame, names, "k")
@@ -93,6 +87,7 @@ def test_latest_schemas(frame, rows):
 
 def test_sync_plan_keeps_every_file(frame):
     source = frame.select(F.format_string("d%d/f%d", "k", "i").alias("path"), F.col("p").alias("size"))
+    source = source.withColumn("checksum", F.sha2(F.col("path"), 256))
     target = source.where("size > 30")
     plan = sync_plan(source, target)
     assert plan.count() == N

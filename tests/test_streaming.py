@@ -7,6 +7,8 @@ from millrace.session import scratch_path, shared_root
 from millrace.sources.log import offset_ledger
 from millrace.sources.readers import FormatUnavailable, stream_source
 from millrace.streaming.ingest import (
+    jdbc_writer,
+    split_schemas,
     overwrite_batch,
     read_batches,
     run_to_end,
@@ -129,6 +131,32 @@ def test_shared_root_is_the_session_setting(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_a_local_cluster_needs_the_setting():
+    with pytest.raises(ValueError, match="shared by all executors"):
+        shared_root(Session(spark__master="local-cluster[2,1,1024]"))
+
+
+def test_an_empty_stream_gives_an_empty_frame(spark, tmp_path):
+    good, bad = split_schemas(PAYLOAD)
+    for name, schema in (("good", good), ("bad", bad)):
+        none = read_batches(spark, str(tmp_path / name), schema)
+        assert none.count() == 0 and none.schema == schema
+    log = as_log(spark.createDataFrame([], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"), faulty_value())
+    write = split_writer(PAYLOAD, str(tmp_path / "good"), str(tmp_path / "bad"), **ARGS)
+    write(log, 0)
+    assert read_batches(spark, str(tmp_path / "good"), good).dtypes == [(f.name, f.dataType.simpleString()) for f in good]
+    assert read_batches(spark, str(tmp_path / "bad"), bad).columns == bad.names
+
+
+def test_a_table_takes_each_batch_once(spark, tmp_path):
+    """The writer of the jdbc sink, on a format that needs no database."""
+    write = jdbc_writer({"path": str(tmp_path / "t")}, "parquet")
+    for batch in (0, 1, 1, 0):
+        write(spark.range(3).withColumn("b", F.lit(batch)), batch)
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    assert rows.count() == 6 and rows.where("b <> batch_id").count() == 0
+
+
 def test_overwrite_batch_formats(spark, tmp_path):
     overwrite_batch(spark.range(2), str(tmp_path / "o"), 1)
     assert read_batches(spark, str(tmp_path / "o")).columns == ["id"]
