@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import pathlib
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,41 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+BLOOM_BITS = 1 << 23
+
+
+def bloom_words(ids: DataFrame, id_col: str) -> np.ndarray:
+    """A filter of fixed size over the ids: one bit each of ``BLOOM_BITS``, as 64-bit words.
+
+    The bits are set by a partial aggregate; at most ``BLOOM_BITS / 64`` words come to the driver.
+    """
+    bit = F.pmod(F.xxhash64(id_col), F.lit(BLOOM_BITS))
+    words = ids.select(bit.alias("bit")).select(
+        (F.col("bit") / 64).cast("int").alias("word"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int")).alias("mask"),
+    ).groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    out = np.zeros(BLOOM_BITS // 64, dtype=np.int64)
+    out[words["word"].to_numpy()] = words["mask"].to_numpy()
+    return out
+
+
+def may_be_in(words: np.ndarray, frame: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``frame`` whose id may be in the filter, before they are shuffled for a join.
+
+    It lets through all rows with an id in it, and others by chance: few as long as the ids
+    are far fewer than the bits, more beyond that. What it lets through by chance the join drops.
+    """
+    def run(batches):
+        for batch in batches:
+            bit = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
+            kept = (words[bit >> 6] >> (bit & 63)) & 1 == 1
+            if kept.any():
+                yield batch.filter(pa.array(kept)).select(range(batch.num_columns - 1))
+
+    bits = frame.withColumn("_bit", F.pmod(F.xxhash64(id_col), F.lit(BLOOM_BITS)))
+    return bits.mapInArrow(run, frame.schema)
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

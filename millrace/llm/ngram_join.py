@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.colliding import colliding, scan_tasks
-from millrace.llm.common import staged
+from millrace.llm.common import bloom_words, may_be_in, staged
 from millrace.llm.linking import link_by_keys
 from millrace.llm.shingles import WordHashes, mix, shingle_set
 
@@ -20,14 +20,18 @@ GROWTH = 4  # sizes of a band lie between a power of this and the next
 LEAST_BLOCKS = 64
 LOCAL_HOT, HOT, MAX_HOT = 3, 32, 1 << 17
 PROFILE = "doc_id long, n long, mark1 long, mark2 long, kind int, sketch array<long>"
-SETS = "node long, members array<long>"
+TEXTS = "node long, text string"
+
+
+def _node(found: np.ndarray) -> int:
+    """Fingerprint of a set, its node in the graph of links."""
+    return int((mix(found).sum(dtype=np.uint64) ^ np.uint64(len(found))).view(np.int64))
 
 
 def _marks(found: np.ndarray) -> tuple[int, int]:
-    """Two fingerprints of a set; the first is its node in the graph of links."""
-    one = int((mix(found).sum(dtype=np.uint64) ^ np.uint64(len(found))).view(np.int64))
+    """The node and a second fingerprint."""
     two = int(np.bitwise_xor.reduce(mix(found + np.uint64(1))).view(np.int64)) if len(found) else 0
-    return one, two
+    return _node(found), two
 
 
 def _sketch(found: np.ndarray) -> np.ndarray:
@@ -130,7 +134,7 @@ def _emit(hot_values: np.ndarray) -> Callable:
                 keys, nodes = [np.empty(0, np.uint64)], []
                 for text in texts[at:at + 2000]:
                     found = shingle_set(hashes.of(text))
-                    node, _ = _marks(found)
+                    node = _node(found)
                     if node in seen:
                         continue
                     seen.add(node)
@@ -150,19 +154,32 @@ def _emit(hot_values: np.ndarray) -> Callable:
     return start
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Node and whole shingle set of each text."""
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Node and text."""
     hashes = WordHashes()
     for batch in batches:
         hashes.trim()
-        texts = batch.column(0).to_pylist()
-        for at in range(0, len(texts), 500):
-            found = [shingle_set(hashes.of(t)) for t in texts[at:at + 500]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_marks(f)[0] for f in found], pa.int64()),
-                 pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))],
-                names=["node", "members"],
-            )
+        nodes = [_node(shingle_set(hashes.of(t))) for t in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), batch.column(0)], names=["node", "text"])
+
+
+def _verified(percent: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, last, one = WordHashes(), None, None
+        for batch in batches:
+            hashes.trim()
+            a, b = [], []
+            for x, y, text_a, text_b in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if x != last:  # rows of one left side mostly come together
+                    last, one = x, shingle_set(hashes.of(text_a))
+                two = shingle_set(hashes.of(text_b))
+                shared = len(np.intersect1d(one, two, assume_unique=True))
+                if 100 * shared >= percent * (len(one) + len(two) - shared):
+                    a.append(x)
+                    b.append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
 
 
 def _sides(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -188,14 +205,11 @@ def near_enough(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -
     ).where(bits <= most).select("a", "b")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (``a``, ``b``) whose whole sets link."""
-    one, two = _sides(sets)
-    both = pairs.join(two, "b").join(one, "a").select(
-        "a", "b", (F.size("members_a") + F.size("members_b")).alias("total"),
-        F.size(F.array_intersect("members_a", "members_b")).alias("shared"),
-    )
-    return both.where(F.expr(f"100 * shared >= {percent} * (total - shared)")).select("a", "b")
+def linked(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (``a``, ``b``) whose whole sets link. Texts move, which are smaller than sets."""
+    one, two = _sides(texts)
+    both = pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b")
+    return both.mapInArrow(_verified(percent), "a long, b long")
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -233,13 +247,13 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     sketches = staged(sketches.select("node", "first_id", "n", "sketch").dropDuplicates(["node"]), "sketches")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        """Sets are made anew from the texts, for the documents of the pairs that are left."""
+        """Whole sets are made anew from the texts, for the documents of the pairs that are left."""
         left = staged(near_enough(pairs, sketches.drop("first_id")), "near")
         nodes = left.select(F.col("a").alias("node")).unionAll(left.select("b")).distinct()
-        first = sketches.join(nodes, "node").select(F.col("first_id").alias("doc_id")).distinct()
-        texts = docs.join(first, "doc_id", "left_semi").select("text")
-        sets = staged(texts.mapInArrow(_sets, SETS).dropDuplicates(["node"]), "sets")
-        return linked(left, sets)
+        first = staged(sketches.join(nodes, "node").select(F.col("first_id").alias("doc_id")).distinct(), "firsts")
+        texts = may_be_in(bloom_words(first, "doc_id"), docs, "doc_id").join(first, "doc_id", "left_semi")
+        texts = texts.select("text").mapInArrow(_named, TEXTS).dropDuplicates(["node"])
+        return linked(left, staged(texts, "texts"))
 
     ends = link_by_keys(members, verify)
     least = groups.withColumnRenamed("mark1", "node").join(ends, "node").groupBy("component").agg(F.min("first_id").alias("component_id"))

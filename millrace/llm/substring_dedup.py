@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.colliding import colliding, scan_tasks
-from millrace.llm.common import components, shuffle_width, staged
+from millrace.llm.common import bloom_words, components, may_be_in, shuffle_width, staged
 from millrace.llm.shingles import WORDS_PER_SHINGLE, WordHashes, mix, shingles
 
 PASSAGE_WORDS = 32  # the shortest paragraph that counts
@@ -255,7 +255,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     lines = members.where("pos % 2 = 1")
     wanted = lines.groupBy(F.col("id").alias("doc_id")).agg(F.collect_set("pos").alias("wanted"))
-    found = staged(docs.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_lines, LINES), "lines")
+    wanted = staged(wanted, "wanted")
+    some = may_be_in(bloom_words(wanted, "doc_id"), docs, "doc_id")
+    found = staged(some.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_lines, LINES), "lines")
     contents = staged(found.dropDuplicates(["node"]).select("node", "sketch", "grams"), "contents")
     places = found.select("node", F.col("doc_id").alias("id"), "pos", "words").distinct()
     keyed = lines.join(places, ["id", "pos"]).select("key", "node").distinct()
