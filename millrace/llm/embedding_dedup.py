@@ -202,8 +202,7 @@ def near_duplicates(
 ) -> DataFrame:
     """Links between vectors by cosine: ``<id>, n_links, component_id, kept``.
 
-    Equal vectors are one node with a number of uses. Rotations are learned on ``SAMPLE`` nodes, those with the least
-    hash of their id; all nodes are indexed by several substrings of their codes, and those in one bucket are
+    Equal vectors are one node with a number of uses. Rotations are learned on about ``SAMPLE`` nodes, taken by the hash of their id; all nodes are indexed by several substrings of their codes, and those in one bucket are
     compared by the cosine of their original components in double precision. Large buckets are compared in
     blocks of ``BLOCK``, spread over tasks; a block gives a row per vector, not one per pair.
 
@@ -227,7 +226,10 @@ def near_duplicates(
             F.col("vec_id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
             F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"),
         )
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vector").toArrow()
+    place = F.pmod(F.xxhash64("node"), F.lit(max(facts["n"], SAMPLE)))
+    sample = nodes.where(place < SAMPLE).select("vector").toArrow()
+    if not sample.num_rows:
+        sample = nodes.limit(SAMPLE).select("vector").toArrow()
     model = fit_tables(unit_rows(sample.column(0).to_pylist(), facts["size"]), facts["n"], cosine)
 
     members = staged(colliding(nodes.select("node", "vector"), _emit(model), tasks), "buckets")

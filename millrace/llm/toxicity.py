@@ -20,7 +20,7 @@ TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (6, 5, 4)  # stems: the beginnings of longer words, marked with a trailing hyphen
 PRIOR, PRIOR_EACH = 500.0, 0.5  # Dirichlet prior: dealt out by the frequency in both classes, and to each term
 LEAST_Z, LEAST_LOG_ODDS, LEAST_DOCS = 3.3, 2.0, 5
-MAX_LABELLED = 50_000  # the classifier is fitted on so many labelled documents at most
+MAX_LABELLED = 50_000  # the classifier is fitted on about so many labelled documents at most
 MAX_TERMS = 20_000  # size of the model: the terms with the largest z
 TOP_SCORE = 9.0
 NO_HIT, TOP_EVIDENCE, BINS_PER_UNIT = -12.0, 80.0, 4
@@ -142,15 +142,17 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
     """The labels to learn from, one per id: the more frequent one, toxic in a tie.
 
-    Held-out ids and rows without label don't count. Of the rest, the ``MAX_LABELLED`` ids
-    with the least hash are taken, so the frame is of bounded size and is sent to the tasks
-    that read the documents; their texts stay where they are.
+    Held-out ids and rows without label don't count. Of the rest, about ``MAX_LABELLED`` ids
+    are taken by their hash, so the frame is of bounded size and is sent to the tasks that read
+    the documents; their texts stay where they are.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     known = known.where(~is_held_out(F.col(id_col))).groupBy(F.col(id_col).alias("label_id")).agg(
         (F.avg(F.col(label_col).cast("double")) >= 0.5).cast("int").alias("toxic")
     )
-    return F.broadcast(known.orderBy(F.xxhash64("label_id"), "label_id").limit(MAX_LABELLED))
+    known = staged(known, "labelled")
+    ids = max(known.count(), MAX_LABELLED)
+    return F.broadcast(known.where(F.pmod(F.xxhash64("label_id"), F.lit(ids)) < MAX_LABELLED))
 
 
 def fit_scores(train: DataFrame) -> ToxicModel:

@@ -25,7 +25,7 @@ SEEDS = (
     "spam", "torrent", "track", "tracker", "tracking", "viagra", "warez", "xxx",
 )
 SEED_WEIGHT, SEED_LOG_ODDS = 50.0, 8.0
-MAX_WORDS, LONGEST_WORD, LEAST_USES = 50_000, 24, 3
+MAX_WORDS, LONGEST_WORD, LEAST_USES, GRADES = 50_000, 24, 3, 16
 OTHER = "<other>"
 SMOOTHING = 1.0
 
@@ -87,13 +87,23 @@ class WordModel:
 def learn_words(pages: DataFrame, text_col: str, seeds=SEEDS) -> WordModel:
     """Unigram model of the words in all pages' text, without markup.
 
-    Counts cover every row; ``MAX_WORDS`` words with the most uses are kept. Seeds
+    Counts cover every row; of the most used words, up to ``MAX_WORDS`` are kept. Seeds
     are always known.
     """
     plain = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"(?s)<(script|style)\b.*?</\1>|<[^>]*>", " ")
     words = pages.select(F.explode(F.split(F.lower(plain), r"[^\p{L}]+")).alias("word"))
     counts = words.where(f"length(word) between 2 and {LONGEST_WORD}").groupBy("word").count()
-    kept = counts.where(f"count >= {LEAST_USES}").orderBy(F.desc("count"), "word").limit(MAX_WORDS).collect()
+    counts = staged(counts.where(f"count >= {LEAST_USES}"), "words")
+    # How many words there are of about each frequency tells how frequent the kept ones have to be.
+    grade = F.floor(F.log(F.col("count").cast("double")) * GRADES).cast("int")
+    grades = {r["grade"]: r["count"] for r in counts.groupBy(grade.alias("grade")).count().collect()}
+    room, least = MAX_WORDS, 0
+    for g in sorted(grades, reverse=True):
+        room -= grades[g]
+        if room < 0:
+            least = g + 1
+            break
+    kept = counts.where(grade >= least).collect()
     uses = {r["word"]: float(r["count"]) for r in kept}
     for seed in seeds:
         uses[seed] = uses.get(seed, 0.0) + SEED_WEIGHT
