@@ -81,6 +81,25 @@ def _join_multi_key(spark, sf):
     )
 
 
+@query("min_pair_match_dates", """
+WITH m AS (
+  SELECT o_custkey AS c, min(CAST(o_orderdate AS DATE)) AS d, min(o_totalprice) AS p
+  FROM orders WHERE o_orderkey % 11 > 0 GROUP BY 1),
+n AS (SELECT o_custkey AS c, min(o_totalprice) AS p FROM orders GROUP BY 1)
+SELECT o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%d-%m-%Y') AS order_day
+FROM orders JOIN m ON o_custkey = m.c AND CAST(o_orderdate AS DATE) = d
+     JOIN n ON o_custkey = n.c AND o_totalprice = n.p
+WHERE o_orderkey % 11 > 0
+""")
+def _min_pair_match_dates(spark, sf):
+    """The day as text, day first; one order in eleven has none that can be read."""
+    day = F.when(F.col("o_orderkey") % 11 > 0, F.date_format("o_orderdate", "dd-MM-yyyy")).otherwise("soon")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", day.alias("order_day")
+    )
+    return min_pair_match(orders, ["o_custkey"], "order_day", "o_totalprice", fmt="dd-MM-yyyy")
+
+
 @query("group_min_min", """
 SELECT o_custkey, strftime(min(o_orderdate), '%Y-%m-%d') AS oldest_day,
        min(o_totalprice) AS least_price

@@ -9,8 +9,10 @@ from millrace.plans.registry import query, table
 from millrace.session import scratch_path
 from millrace.sources.readers import read_source
 
-# Text formats are written in files of bounded length, since a reader cannot split XML.
-MAX_RECORDS = 250_000
+# A reader cannot split XML, so elements are dealt out to as many tasks as a shuffle has, and
+# files are bounded to some 64 MB for the next reader's tasks.
+FILE_BYTES, ELEMENT_BYTES = 64 << 20, 512
+MAX_RECORDS = FILE_BYTES // ELEMENT_BYTES
 
 ORDERS_SQL = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
@@ -92,7 +94,8 @@ SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier
 """)
 def _read_xml_roundtrip(spark, sf):
     supplier, path = table(spark, sf, "supplier"), scratch_path(spark, "xml")
-    supplier.write.option("rowTag", "supplier").option("rootTag", "suppliers").option(
+    spread = supplier.repartition("s_suppkey")
+    spread.write.option("rowTag", "supplier").option("rootTag", "suppliers").option(
         "maxRecordsPerFile", MAX_RECORDS
     ).xml(path)
     return read_source(spark, "xml", path, supplier.schema, rowTag="supplier", mode="FAILFAST")
@@ -124,7 +127,7 @@ def _read_xml_nested_attrs(spark, sf):
             F.struct(item.alias("item")).alias("items"),
         )
     )
-    elements.write.option("rowTag", "order").option("rootTag", "orders").option(
+    elements.repartition("_id").write.option("rowTag", "order").option("rootTag", "orders").option(
         "maxRecordsPerFile", MAX_RECORDS
     ).xml(path)
     back = read_source(
