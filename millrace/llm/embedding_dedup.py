@@ -88,13 +88,19 @@ def fit_tables(sample: np.ndarray, vectors: int, cosine: float = COSINE, recall:
     other -= (other * probe).sum(axis=1, keepdims=True) * probe
     norm = np.linalg.norm(other, axis=1, keepdims=True)
     other = cosine * probe + math.sqrt(1 - cosine**2) * other / np.where(norm > 0, norm, 1)
-    axes, tables = np.empty((size, 0)), 0
+    tables = 0
     met = np.zeros(len(probe), bool)
-    fitted = HammingTables(size, mean, axes, np.empty(0), width, 0)
+    fitted = HammingTables(size, mean, np.empty((size, 0)), np.empty(0), width, 0)
     while met.mean() < recall and tables < MAX_TABLES:
         seed = fitted.axes.shape[1]
-        fitted.axes = np.hstack([fitted.axes, learn_rotation(x, bits, seed)])
-        fitted.cuts = np.median(x @ fitted.axes, axis=0)  # balanced: half of the sample on either side
+        if seed // bits % 2:
+            # Every other rotation is about the origin, where an angle turns over as many bits in any data.
+            axes = learn_rotation(sample, bits, seed)
+            cuts = -(mean @ axes)
+        else:
+            axes = learn_rotation(x, bits, seed)
+            cuts = np.median(x @ axes, axis=0)  # balanced: half of the sample on either side
+        fitted.axes, fitted.cuts = np.hstack([fitted.axes, axes]), np.append(fitted.cuts, cuts)
         tables = fitted.tables = fitted.axes.shape[1] // width
         if tables:
             met = (fitted.keys(probe) == fitted.keys(other)).any(axis=1)
