@@ -76,7 +76,7 @@ class PieceModel:
         # Which characters stand side by side in some piece: a bit for each pair of codes.
         self.letters = len(letters) + 2
         self.pairs = np.zeros(self.letters**2 // 8 + 1, dtype=np.uint8)
-        for piece in self.id:
+        for piece in made:
             codes = self._codes(piece).astype(np.int64)
             both = codes[:-1] * self.letters + codes[1:]
             np.bitwise_or.at(self.pairs, both >> 3, (1 << (both & 7)).astype(np.uint8))
