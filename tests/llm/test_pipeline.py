@@ -52,9 +52,11 @@ def test_stages(results):
     assert {r.doc_id for r in packed.select("doc_id").collect()} == set(after)
 
 
-def test_toxic_documents_go(spark, results):
-    docs, (clean, *_) = results
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
+def test_toxic_documents_go(spark):
+    """On tables with enough labels to learn from; the smallest ones have ten toxic documents."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    clean = corpus_pipeline.drop_toxic(spark, docs, sf)
     known = docs.join(labels, "doc_id").select("doc_id", "toxic").collect()
     kept = set(texts(clean))
     right = sum((r.doc_id in kept) != bool(r.toxic) for r in known)
