@@ -19,6 +19,7 @@ SKETCH_BITS = 2048
 GROWTH = 4  # sizes of a band lie between a power of this and the next
 LEAST_BLOCKS = 64
 LOCAL_HOT, HOT, MAX_HOT = 3, 32, 1 << 17
+AT_HAND = 4000  # documents whose sets a task holds at a time
 PROFILE = "doc_id long, n long, mark1 long, mark2 long, kind int, sketch array<long>"
 TEXTS = "node long, text string"
 
@@ -41,25 +42,28 @@ def _sketch(found: np.ndarray) -> np.ndarray:
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 0: size, fingerprints and sketch of each set. Kind 1: shingles of several sets of the batch."""
+    """Kind 0: size, fingerprints and sketch of each set. Kind 1: shingles of several sets at hand."""
     hashes = WordHashes()
     for batch in batches:
-        hashes.trim()
-        n, marks, sketches, sets = [], [], [], {}
-        for text in batch.column(1).to_pylist():
-            found = shingle_set(hashes.of(text))
-            n.append(len(found))
-            marks.append(_marks(found))
-            sketches.append(_sketch(found))
-            sets[marks[-1]] = found
-        yield _profile_rows(batch.column(0), n, *zip(*marks, strict=True), 0, sketches)
-        values = np.concatenate([*sets.values(), np.empty(0, np.uint64)])
-        values, counts = np.unique(values, return_counts=True)
-        hot = counts >= LOCAL_HOT
-        if hot.any():
-            values, counts = values[hot].view(np.int64), counts[hot]
-            none = pa.nulls(len(values), pa.int64())
-            yield _profile_rows(none, counts, values, np.zeros(len(values), np.int64), 1, [None] * len(values))
+        for at in range(0, batch.num_rows, AT_HAND):
+            yield from _profiled(batch.slice(at, AT_HAND), hashes)
+
+
+def _profiled(rows: pa.RecordBatch, hashes: WordHashes) -> Iterator[pa.RecordBatch]:
+    n, marks, sketches, sets = [], [], [], {}
+    for text in rows.column(1).to_pylist():
+        found = shingle_set(hashes.of(text))
+        n.append(len(found))
+        marks.append(_marks(found))
+        sketches.append(_sketch(found))
+        sets[marks[-1]] = found
+    yield _profile_rows(rows.column(0), n, *zip(*marks, strict=True), 0, sketches)
+    values, counts = np.unique(np.concatenate([*sets.values()]), return_counts=True)
+    hot = counts >= LOCAL_HOT
+    if hot.any():
+        values, counts = values[hot].view(np.int64), counts[hot]
+        none, zero = pa.nulls(len(values), pa.int64()), np.zeros(len(values), np.int64)
+        yield _profile_rows(none, counts, values, zero, 1, [None] * len(values))
 
 
 def _profile_rows(ids: pa.Array, n, one, two, kind: int, sketches: list) -> pa.RecordBatch:
@@ -128,7 +132,6 @@ def _emit(hot_values: np.ndarray) -> Callable:
         hashes = WordHashes()
 
         def run(batch: pa.RecordBatch):
-            hashes.trim()
             texts, seen = batch.column(1).to_pylist(), set()
             for at in range(0, len(texts), 2000):
                 keys, nodes = [np.empty(0, np.uint64)], []
@@ -158,7 +161,6 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Node and text."""
     hashes = WordHashes()
     for batch in batches:
-        hashes.trim()
         nodes = [_node(shingle_set(hashes.of(t))) for t in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), batch.column(0)], names=["node", "text"])
 
@@ -167,7 +169,6 @@ def _verified(percent: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, last, one = WordHashes(), None, None
         for batch in batches:
-            hashes.trim()
             a, b = [], []
             for x, y, text_a, text_b in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if x != last:  # rows of one left side mostly come together

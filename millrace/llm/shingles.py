@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 WORDS_PER_SHINGLE = 5
-CACHED = 1_000_000
+CACHED = 200_000  # words remembered at a time, some 30 MB
 # Odd multipliers of the places in a run, and of the final mix.
 PLACE = np.array([
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
@@ -23,7 +23,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """Hash of a word's bytes, remembered; emptied by :meth:`trim` when it has grown large."""
+    """Hash of a word's bytes, remembered; emptied before a text when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
         value = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -35,6 +35,7 @@ class WordHashes(dict):
 
     def of(self, text: str | None) -> np.ndarray:
         """Hashes of the words of a text: what lies between ASCII white space, A-Z lower-cased."""
+        self.trim()
         words = text.encode().lower().split() if text else []
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 

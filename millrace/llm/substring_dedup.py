@@ -67,6 +67,7 @@ def passages(words: np.ndarray, size: int = PASSAGE_WORDS) -> tuple[np.ndarray,
 
 def lines_of(text: str, hashes: WordHashes) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Hashes of all words, and first and last word of each line of at least ``PASSAGE_WORDS``."""
+    hashes.trim()
     lines = [line.split() for line in text.encode().lower().split(b"\n")]
     words = list(itertools.chain.from_iterable(lines))
     spans, at = [], 0
@@ -91,7 +92,6 @@ def _emit() -> Callable:
     hashes = WordHashes()
 
     def run(batch: pa.RecordBatch):
-        hashes.trim()
         ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
         for at in range(0, len(texts), 2000):
             keys, places, of = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], []
@@ -122,7 +122,6 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lines of a document that stand at the given places, with their shingle sets."""
     hashes = WordHashes()
     for batch in batches:
-        hashes.trim()
         rows = []
         for doc_id, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             wanted = set(wanted)
