@@ -142,29 +142,43 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _tree(nodes: np.ndarray, sizes: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that size and sketch do not rule out, as few as tie together all that such pairs do."""
+def _tree(nodes: np.ndarray, marks: np.ndarray, grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Similar pairs, as few as tie together all lines that such pairs do.
+
+    A pair joins the tree only after its sets are compared; size and sketch rule pairs out before that.
+    """
+    sizes = np.array([len(g) for g in grams], dtype=np.int64)
     differ = np.bitwise_count(marks[:, None, :] ^ marks[None, :, :]).sum(axis=2, dtype=np.int64)
     small, large = (f.outer(sizes, sizes) for f in (np.minimum, np.maximum))
-    near = (small >= SIMILARITY * large) & (differ <= (1 - SIMILARITY) / (1 + SIMILARITY) * (small + large))
-    reached = np.zeros(len(nodes), bool)
-    one, two = [], []
-    while not reached.all():
-        front = np.array([int(np.flatnonzero(~reached)[0])])
-        reached[front] = True
-        while len(front):
-            open_ = np.flatnonzero(~reached)
-            hit = near[np.ix_(open_, front)]
-            found = hit.any(axis=1)
-            one.append(nodes[front[hit[found].argmax(axis=1)]])
-            two.append(nodes[open_[found]])
-            front = open_[found]
-            reached[front] = True
+    near = (small >= SIMILARITY * large) & ((1 + SIMILARITY) * differ <= (1 - SIMILARITY) * (small + large))
+    near &= nodes[:, None] != nodes[None, :]
+    values, places = np.unique(np.concatenate(grams), return_inverse=True)
+    places = np.split(places, np.cumsum(sizes)[:-1])
+    marked = np.zeros(len(values), bool)
+    open_ = np.ones(len(nodes), bool)
+    one, two = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for first in range(len(nodes)):
+        front = [first] if open_[first] else []
+        open_[first] = False
+        while front:
+            at = front.pop()
+            some = np.flatnonzero(open_ & near[at])
+            if not len(some):
+                continue
+            marked[places[at]] = True
+            starts = np.cumsum(np.append(0, sizes[some][:-1]))
+            shared = np.add.reduceat(marked[np.concatenate([places[i] for i in some])], starts, dtype=np.int64)
+            marked[places[at]] = False
+            found = some[shared >= SIMILARITY * (sizes[at] + sizes[some] - shared)]
+            one.append(np.full(len(found), nodes[at]))
+            two.append(nodes[found])
+            front.extend(found.tolist())
+            open_[found] = False
     return np.concatenate(one), np.concatenate(two)
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare the lines of each block of a key by size and sketch; rows are sorted by block."""
+    """Compare the lines of each block of a key; rows are sorted by block."""
     for rows in _blocks(batches):
         one, two = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         starts = np.flatnonzero(np.concatenate([[True], np.any(
@@ -174,7 +188,7 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.append(starts, len(rows["key"]))
         for i in several.tolist():
             at = slice(ends[i], ends[i + 1])
-            a, b = _tree(rows["node"][at], rows["n"][at], rows["sketch"][at])
+            a, b = _tree(rows["node"][at], rows["sketch"][at], rows["grams"][at].tolist())
             one.append(a)
             two.append(b)
         yield pa.RecordBatch.from_arrays(
@@ -188,7 +202,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = {c: batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("key", "lo", "hi", "node", "n")}
+        rows = {c: batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("key", "lo", "hi", "node", "grams")}
         marks = batch.column(batch.schema.get_field_index("sketch")).to_pylist()
         rows["sketch"] = np.frombuffer(b"".join(marks), dtype=np.uint64).reshape(len(marks), -1)
         if held is not None:
@@ -203,11 +217,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]
 
 
 def near_lines(keyed: DataFrame, contents: DataFrame, width: int) -> DataFrame:
-    """Distinct pairs ``a, b`` of lines with a common key (``key``, ``node``) that may be similar.
+    """Distinct pairs ``a, b`` of lines with a common key (``key``, ``node``) and Jaccard ``SIMILARITY``.
 
     The lines of a key are compared in blocks of ``BLOCK`` against each other, spread over
-    tasks. A block gives only as many pairs as tie together what is near, so a line that very many
-    documents vary costs rows in proportion to their number.
+    tasks, by their whole sets. A block gives only as many pairs as tie together what is similar, so a line
+    that very many documents vary costs pairs in proportion to their number.
     """
     sizes = keyed.groupBy("key").agg(F.count("*").alias("count")).where("count > 1")
     sizes = sizes.select("key", F.expr(f"cast((count + {BLOCK} - 1) div {BLOCK} as int)").alias("blocks"))
@@ -215,21 +229,11 @@ def near_lines(keyed: DataFrame, contents: DataFrame, width: int) -> DataFrame:
     laid = keyed.join(sizes, "key").select(
         "key", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     ).select("key", "node", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
-    laid = laid.join(contents.select("node", F.size("grams").alias("n"), "sketch"), "node")
+    laid = laid.join(contents, "node")
     laid = laid.repartition(width, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     return laid.mapInArrow(_near, "a long, b long").distinct()
 
 
-def verify_lines(pairs: DataFrame, contents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs of lines whose shingle sets have at least this Jaccard similarity."""
-    one = contents.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
-    two = contents.select(F.col("node").alias("b"), F.col("grams").alias("grams_b"))
-    both = pairs.join(two, "b").join(one, "a").withColumn("shared", F.size(F.array_intersect("grams_a", "grams_b")))
-    return both.where(
-        F.col("shared") >= similarity * (F.size("grams_a") + F.size("grams_b") - F.col("shared"))
-    ).select("a", "b")
-
-
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Passages that stand in several documents: ``<id>, keep_id, start_word, n_words, kept``.
 
@@ -261,7 +265,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     places = found.select("node", F.col("doc_id").alias("id"), "pos", "words").distinct()
     keyed = lines.join(places, ["id", "pos"]).select("key", "node").distinct()
     width = max(shuffle_width(docs.sparkSession), 2 * tasks)
-    ends = components(verify_lines(near_lines(keyed, contents, width), contents))
+    ends = components(near_lines(keyed, contents, width))
     lines = places.join(ends, "node", "left").select(F.coalesce("component", "node").alias("cluster"), "id", "pos", "words")
 
     stretches = members.where("pos % 2 = 0").select(

@@ -3,8 +3,10 @@ import random
 import brute
 import numpy as np
 
-from millrace.llm.shingles import WordHashes
-from millrace.llm.substring_dedup import GUARANTEE, passages, repeated_passages, tune_bands, without_repeats
+import pytest
+
+from millrace.llm.shingles import WordHashes, shingle_set
+from millrace.llm.substring_dedup import GUARANTEE, _tree, passages, repeated_passages, sketch, tune_bands, without_repeats
 
 
 def planted(seed=3):
@@ -61,6 +63,43 @@ def test_bands_reach_the_recall():
         assert 1 - (1 - 0.75**rows) ** tune_bands(rows=rows) >= 0.97
 
 
+@pytest.mark.parametrize("words", [100, 200, 400, 1000])
+def test_couples_within_a_template(words):
+    """Lines of one template, similar only in couples: every couple is tied, nothing else is."""
+    rng, hashes = random.Random(6), WordHashes()
+    base, lines = [f"t{i}" for i in range(words)], []
+    for k in range(60):
+        one = list(base)
+        for i in range(8, words, 50):  # two such lines have a Jaccard of about 0.67
+            one[i - 5:i] = [f"k{k}x{i}"] * 5
+        two = list(one)
+        two[rng.randrange(words)] = f"other{k}"
+        lines += [one, two]
+    rng.shuffle(lines)
+    grams = [shingle_set(hashes.of(" ".join(x))) for x in lines]
+    linked = {
+        (i, j) for i in range(len(lines)) for j in range(i)
+        if 4 * len(np.intersect1d(grams[i], grams[j])) >= 3 * len(np.union1d(grams[i], grams[j]))
+    }
+    marks = np.frombuffer(b"".join(map(sketch, grams)), dtype=np.uint64).reshape(len(grams), -1)
+    a, b = _tree(np.arange(len(lines)), marks, grams)
+    got = {(max(x), min(x)) for x in zip(a.tolist(), b.tolist(), strict=True)}
+    assert len(linked) == 60 and got == linked
+
+
+def test_couples_in_documents(spark, saved):
+    rng, docs = random.Random(7), {}
+    for k in range(100):
+        own = [f"t{i}" if i % 50 > 4 else f"k{k}x{i}" for i in range(400)]
+        for _ in range(2):
+            own[rng.randrange(400)] = f"n{len(docs)}"
+            docs[len(docs)] = " ".join(own)
+    df = saved(spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4))
+    _, want = brute.similar(docs)
+    lines = {(r.doc_id, r.keep_id) for r in repeated_passages(df).collect() if r.n_words == 400}
+    assert {(2 * k + 1, 2 * k) for k in range(100) if want[2 * k + 1] == want[2 * k]} <= lines
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = repeated_passages(odd_docs).collect()
     assert {(r.doc_id, r.keep_id, r.kept) for r in rows} == {(4, 4, True), (5, 4, False), (8, 8, True), (9, 8, False)}
