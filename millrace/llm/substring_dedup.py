@@ -18,6 +18,7 @@ from millrace.llm.shingles import WORDS_PER_SHINGLE, WordHashes, mix, shingles
 
 PASSAGE_WORDS = 32  # the shortest paragraph that counts
 GUARANTEE = 51  # a run of so many equal words holds an anchored paragraph in common for certain
+SPAN = GUARANTEE - PASSAGE_WORDS  # a paragraph is anchored in every so many consecutive places
 SIMILARITY = 0.75
 RECALL = 0.97
 SEED = np.uint64(0x51_7C_C1_B7_27_22_0A_95)
@@ -39,6 +40,7 @@ ROWS = 2
 BANDS = tune_bands(rows=ROWS)
 FACTORS = mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64) * SEED) | np.uint64(1)
 PLACES = mix(np.arange(101, 101 + PASSAGE_WORDS, dtype=np.uint64) * SEED) | np.uint64(1)
+MORE = np.uint64(31)  # the bits of a longer stretch's key that hold its words beyond PASSAGE_WORDS
 
 
 def anchors(grams: np.ndarray, span: int) -> np.ndarray:
@@ -234,6 +236,66 @@ def near_lines(keyed: DataFrame, contents: DataFrame, width: int) -> DataFrame:
     return laid.mapInArrow(_near, "a long, b long").distinct()
 
 
+def _longer() -> Callable:
+    """Keys of the wanted stretches with 1, 2, ... more words before or after them, fewer than ``SPAN``.
+
+    A wanted place is four times the first word, plus two for words before and one for words after. The key ends in
+    the number of words that were added; a place is the first word of the longer stretch.
+    """
+    hashes = WordHashes()
+
+    def run(batch: pa.RecordBatch):
+        rows = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
+        while some := list(itertools.islice(rows, 200)):
+            keys, places, of = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], []
+            for doc_id, text, wanted in some:
+                words, _ = lines_of(text or "", hashes)
+                count = 0
+                for start, sides in (divmod(w, 4) for w in wanted):
+                    stop = start + PASSAGE_WORDS
+                    whole = (words[start:stop] * PLACES).sum(dtype=np.uint64)
+                    before, after = words[max(0, start - SPAN + 1):start][::-1], words[stop:stop + SPAN - 1]
+                    for side, added in ((2, before), (1, after)):
+                        if sides & side and len(added):
+                            number = np.arange(1, len(added) + 1, dtype=np.uint64)
+                            grown = mix(np.cumsum(mix(added) * PLACES[:len(added)]) ^ mix(whole + np.uint64(side)))
+                            keys.append(mix(grown ^ SEED) & ~MORE | number)
+                            places.append(start - number.astype(np.int64) if side == 2 else np.full(len(added), start))
+                            count += len(added)
+                of.append((doc_id, count))
+            owners = np.repeat(np.array([i for i, _ in of], dtype=np.int64), [n for _, n in of])
+            yield np.concatenate(keys), owners, np.concatenate(places).astype(np.int32)
+
+    return run
+
+
+def to_run_ends(stretches: DataFrame, docs: DataFrame, tasks: int) -> DataFrame:
+    """Longer stretches ``cluster, id, start, words`` that reach the ends of equal runs.
+
+    A document's words within a run that an earlier document holds too lie in the run's stretches, but for fewer
+    than ``SPAN`` words before its first one and after its last. So those are taken along, of every document, around the
+    stretches that begin or end a chain of stretches with an earlier document in any one.
+    """
+    first = stretches.groupBy("cluster").agg(F.min("id").alias("first_id"))
+    order = Window.partitionBy("id").orderBy("start")
+    late = stretches.join(first, "cluster").where("id > first_id").select("cluster", "id", "start").distinct()
+    ends = late.select(
+        "cluster",
+        F.coalesce(F.col("start") - F.lag("start").over(order) > SPAN, F.lit(True)).alias("before"),
+        F.coalesce(F.lead("start").over(order) - F.col("start") > SPAN, F.lit(True)).alias("after"),
+    ).groupBy("cluster").agg((2 * F.max("before").cast("int") + F.max("after").cast("int")).alias("sides")).where("sides > 0")
+    wanted = stretches.join(ends, "cluster").groupBy(F.col("id").alias("doc_id")).agg(
+        F.collect_set(4 * F.col("start").cast("long") + F.col("sides")).alias("wanted")
+    )
+    wanted = staged(wanted, "ends")
+    some = may_be_in(bloom_words(wanted, "doc_id"), docs, "doc_id").join(wanted, "doc_id").select("doc_id", "text", "wanted")
+    found = staged(colliding(some, _longer, tasks), "longer")
+    return found.select(
+        F.col("key").alias("cluster"), "id", F.col("pos").alias("start"),
+        F.expr(f"cast({PASSAGE_WORDS} + (key & {MORE}) as int)").alias("words"),
+    )
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Passages that stand in several documents: ``<id>, keep_id, start_word, n_words, kept``.
 
@@ -241,8 +303,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     words in the running text whose beginnings the words themselves decide (:func:`passages`). The
     lines' sets of five-word shingles are banded by MinHash, with bands tuned for a recall of ``RECALL``
     at ``SIMILARITY``; colliding lines that size and parity sketch leave are verified by exact
-    Jaccard and clustered by components. A stretch has the one band of all its words. Of each cluster over several
-    documents, the one of smallest id (``keep_id``) keeps its paragraphs.
+    Jaccard and clustered by components. A stretch has the one band of all its words; what repeats is followed to
+    the ends of the equal run (:func:`to_run_ends`), so every word in a run of ``GUARANTEE`` words or more that an
+    earlier document holds is reported. Of each cluster over several documents, the one of smallest id (``keep_id``) keeps its paragraphs.
 
     A row is a stretch of words of one document, put together from overlapping or adjoining paragraphs with the same
     ``keep_id``; ``kept`` is true in that document. Documents without such passages have no row. Words are what lies
@@ -266,12 +329,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     keyed = lines.join(places, ["id", "pos"]).select("key", "node").distinct()
     width = max(shuffle_width(docs.sparkSession), 2 * tasks)
     ends = components(near_lines(keyed, contents, width))
-    lines = places.join(ends, "node", "left").select(F.coalesce("component", "node").alias("cluster"), "id", "pos", "words")
+    start = F.expr("cast(pos div 2 as int)").alias("start")
+    lines = places.join(ends, "node", "left").select(F.coalesce("component", "node").alias("cluster"), "id", start, "words")
 
     stretches = members.where("pos % 2 = 0").select(
-        F.col("key").alias("cluster"), "id", "pos", F.lit(PASSAGE_WORDS).alias("words")
+        F.col("key").alias("cluster"), "id", start, F.lit(PASSAGE_WORDS).alias("words")
     )
-    every = stretches.unionAll(lines).select("cluster", "id", F.expr("pos div 2").alias("start"), "words").distinct()
+    every = stretches.unionAll(lines).unionAll(to_run_ends(stretches, docs, tasks)).distinct()
     keep = every.groupBy("cluster").agg(F.min("id").alias("keep_id"), F.max("id").alias("last"))
     every = every.join(keep.where("keep_id < last"), "cluster")
     every = every.select("id", "keep_id", "start", (F.col("start") + F.col("words")).alias("stop"))

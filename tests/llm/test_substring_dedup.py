@@ -100,6 +100,39 @@ def test_couples_in_documents(spark, saved):
     assert {(2 * k + 1, 2 * k) for k in range(100) if want[2 * k + 1] == want[2 * k]} <= lines
 
 
+def test_runs_go_whole(spark, saved):
+    """No word of a run of ``GUARANTEE`` words that an earlier document holds stays, at any length and place."""
+    rng, docs = random.Random(8), {}
+    fresh = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    for n in [51, 52, 55, 60, 75, 100, 130, 200]:
+        for _ in range(4):
+            p = fresh(n)
+            parts = [p[:rng.randrange(n)], p, p[rng.randrange(n):], p, p[rng.randrange(n // 2):]]
+            for part in parts:
+                w = [*fresh(rng.randrange(40)), *part, *fresh(rng.randrange(40))]
+                docs[len(docs)] = "".join(x + rng.choice([" ", " ", "\n"]) for x in w)
+    df = saved(spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4))
+    seen, want = set(), {}
+    for i in sorted(docs):
+        w = brute.words(docs[i])
+        runs = [tuple(w[k:k + GUARANTEE]) for k in range(len(w) - GUARANTEE + 1)]
+        want[i] = {k + x for k, run in enumerate(runs) if run in seen for x in range(GUARANTEE)}
+        seen.update(runs)
+    got = {i: set() for i in docs}
+    rows = repeated_passages(df).collect()
+    for r in rows:
+        one, two = brute.words(docs[r.doc_id]), brute.words(docs[r.keep_id])
+        run = one[r.start_word:r.start_word + r.n_words]
+        assert any(two[k:k + 32] == run[:32] for k in range(len(two)))
+        if not r.kept:
+            got[r.doc_id] |= set(range(r.start_word, r.start_word + r.n_words))
+    assert any(want.values()) and all(want[i] <= got[i] for i in docs)
+    left = {r.doc_id: brute.words(r.text) for r in without_repeats(df).collect()}
+    for i in docs:
+        w = brute.words(docs[i])
+        assert left[i] == [x for k, x in enumerate(w) if k not in got[i]]
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = repeated_passages(odd_docs).collect()
     assert {(r.doc_id, r.keep_id, r.kept) for r in rows} == {(4, 4, True), (5, 4, False), (8, 8, True), (9, 8, False)}
