@@ -84,7 +84,8 @@ def signature(found: np.ndarray, hot: np.ndarray, percent: int = PERCENT) -> np.
     elements: the elements are dealt to the words by hash and XORed into them. Sets that differ in d elements
     differ in at most d words (each word is a parity of its elements), so of their words, put into
     any common order, the first d + 1 of either have a word in common. The order puts rare words
-    first: those with an element that is not ``hot``, then others, then empty ones.
+    first: those with an element that is not ``hot``, then others, then empty ones. A partner may lie in
+    the band above, so d is not bounded by the band's own sizes.
     """
     n = len(found)
     if not n:
@@ -92,8 +93,7 @@ def signature(found: np.ndarray, hot: np.ndarray, percent: int = PERCENT) -> np.
     band = 0
     while GROWTH ** (band + 1) <= n:
         band += 1
-    top = GROWTH ** (band + 1)
-    keys = [_band_keys(found, hot, band, differences(n, min(top - 1, n * 100 // percent), percent))]
+    keys = [_band_keys(found, hot, band, differences(n, n * 100 // percent, percent))]
     low = GROWTH ** band
     if band and (low - 1) * 100 >= n * percent:  # a partner may lie in the band below
         keys.append(_band_keys(found, hot, band - 1, differences(n, low - 1, percent)))

@@ -28,6 +28,17 @@ def test_linked_sets_share_a_key(hot):
                 assert np.intersect1d(*keys).size
 
 
+@pytest.mark.parametrize(("n", "m", "times"), [(3, 4, 1000), (15, 16, 300), (15, 20, 300), (63, 64, 100), (63, 84, 100)])
+def test_linked_sets_over_a_band_border_share_a_key(n, m, times):
+    rng = np.random.default_rng(12)
+    shared = -(-75 * (n + m) // 175)
+    for _ in range(times):
+        a = rng.integers(0, 2**63, n).astype(np.uint64)
+        b = np.concatenate([a[:shared], rng.integers(0, 2**63, m - shared).astype(np.uint64)])
+        keys = [signature(np.sort(x), np.zeros(len(x), bool)) for x in (a, b)]
+        assert np.intersect1d(*keys).size
+
+
 def near_texts(seed):
     """Texts around the limit: copies with some words changed, cut or repeated."""
     rng = random.Random(seed)
