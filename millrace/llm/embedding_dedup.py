@@ -70,12 +70,21 @@ def unit_rows(vectors: list, size: int) -> np.ndarray:
     return out / np.sqrt((out * out).sum(axis=1, keepdims=True))
 
 
+def at_cosine(probe: np.ndarray, noise: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors and partners at this cosine to them, in the direction of ``noise``; without those it gives no direction."""
+    noise = noise - (noise * probe).sum(axis=1, keepdims=True) * probe
+    norm = np.linalg.norm(noise, axis=1)
+    some = norm > 1e-6
+    return probe[some], cosine * probe[some] + math.sqrt(1 - cosine**2) * noise[some] / norm[some, None]
+
+
 def fit_tables(sample: np.ndarray, vectors: int, cosine: float = COSINE, recall: float = RECALL) -> HammingTables:
     """Learn rotations on a sample of unit vectors, and choose the number of tables.
 
     A substring has two bits more than it takes to number all ``vectors``, so chance fills a bucket with
     a quarter of another vector. As many tables are taken as it needs for pairs of just the wanted
-    cosine, made from the sample, to share a bucket with probability ``recall``.
+    cosine, made from the sample, to share a bucket with probability ``recall``. Pairs are of two kinds, and each
+    has to reach it: those that differ in any direction, and those that differ as the vectors themselves do.
     """
     size = sample.shape[1]
     width = min(48, max(6, math.ceil(math.log2(max(2, vectors))) + 2))
@@ -84,14 +93,13 @@ def fit_tables(sample: np.ndarray, vectors: int, cosine: float = COSINE, recall:
     bits = min(MOST_BITS, size)
     rng = np.random.default_rng(1)
     probe = sample[:2000]
-    other = rng.standard_normal(probe.shape)
-    other -= (other * probe).sum(axis=1, keepdims=True) * probe
-    norm = np.linalg.norm(other, axis=1, keepdims=True)
-    other = cosine * probe + math.sqrt(1 - cosine**2) * other / np.where(norm > 0, norm, 1)
+    noise = rng.standard_normal(probe.shape), sample[rng.integers(0, len(sample), len(probe))] - probe
+    pairs = [at_cosine(probe, kind, cosine) for kind in noise]
+    pairs = [p for p in pairs if len(p[0])] or [(probe, probe)]
     tables = 0
-    met = np.zeros(len(probe), bool)
+    met = 0.0
     fitted = HammingTables(size, mean, np.empty((size, 0)), np.empty(0), width, 0)
-    while met.mean() < recall and tables < MAX_TABLES:
+    while met < recall and tables < MAX_TABLES:
         seed = fitted.axes.shape[1]
         if seed // bits % 2:
             # Every other rotation is about the origin, where an angle turns over as many bits in any data.
@@ -103,7 +111,7 @@ def fit_tables(sample: np.ndarray, vectors: int, cosine: float = COSINE, recall:
         fitted.axes, fitted.cuts = np.hstack([fitted.axes, axes]), np.append(fitted.cuts, cuts)
         tables = fitted.tables = fitted.axes.shape[1] // width
         if tables:
-            met = (fitted.keys(probe) == fitted.keys(other)).any(axis=1)
+            met = min((fitted.keys(one) == fitted.keys(two)).any(axis=1).mean() for one, two in pairs)
     return fitted
 
 

@@ -86,3 +86,18 @@ def test_codes_are_balanced():
         table, place = divmod(bit, tables.width)
         share = ((keys[:, table] >> np.uint64(place)) & np.uint64(1)).mean()
         assert abs(share - 0.5) < 0.02
+
+
+@pytest.mark.parametrize(("size", "rank"), [(256, 64), (768, 64), (384, 100)])
+def test_recall_near_a_subspace(size, rank):
+    """Vectors near a subspace: pairs that differ within it are found as well as others."""
+    rng = np.random.default_rng(9)
+    basis, _ = np.linalg.qr(rng.standard_normal((size, rank)))
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = unit(rng.standard_normal((4096, rank)) @ basis.T + 0.001 * rng.standard_normal((4096, size)))
+    tables = fit_tables(x, 100_000)
+    one = unit(rng.standard_normal((2000, rank)) @ basis.T)
+    for turn in (rng.standard_normal((2000, rank)) @ basis.T, rng.standard_normal((2000, size))):
+        turn -= (turn * one).sum(axis=1, keepdims=True) * one
+        two = 0.9 * one + np.sqrt(1 - 0.9**2) * unit(turn)
+        assert (tables.keys(one) == tables.keys(two)).any(axis=1).mean() >= 0.9
