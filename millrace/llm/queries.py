@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import table, with_package
+from millrace.llm.conversations import damaged, repair_blocks, repair_conversations
 from millrace.llm.embedding_dedup import near_duplicates
 from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.ngram_join import similar_documents
@@ -159,3 +160,98 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 contiguous shards of near-equal bytes."""
     return byte_shards(table(spark, sf_dir, "documents"))
+
+
+@query("op12_conversation_repair", """
+WITH RECURSIVE k AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+    FROM conversations
+), c AS (
+    SELECT *, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT)),
+        lambda x, b: list_reduce([xor(x, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                                 lambda y, z: xor(y >> 1, 3988292384 * (y & 1))))) % 20 AS what
+    FROM k
+), d AS (
+    SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role,
+           CASE what WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+    FROM c, range(CASE what WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)
+), n AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+           regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS kept
+    FROM d
+), f AS (
+    SELECT *, left(role, 1) AS r, left(lead(role) OVER (PARTITION BY conv_id ORDER BY i), 1) AS r2,
+           count(*) OVER (PARTITION BY conv_id) AS n,
+           CASE WHEN kept = '' THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                WHEN right(kept, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+    FROM n
+), e AS (
+    SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000000 WHEN fault = 'truncated' THEN 5 ELSE 0 END AS price
+    FROM f
+), v AS (
+    SELECT DISTINCT conv_id, n + 1 AS i, 0::BIGINT AS v0, 10::BIGINT AS v1, 5::BIGINT AS v2, 0::BIGINT AS v3 FROM e
+    UNION ALL
+    SELECT conv_id, i, least(b0, b2 + 5, b3 + 10), least(b1, b2 + 5, b3 + 10), least(b2, b3 + 5), least(b3, b2 + 5)
+    FROM (
+        SELECT e.conv_id, e.i,
+            least(v0 + 2, v2 + 1 + price, CASE r WHEN 's' THEN v1 + price WHEN 'u' THEN v2 + price END) AS b0,
+            least(v1 + 2, v2 + 1 + price, CASE r WHEN 'u' THEN v2 + price END) AS b1,
+            least(v2 + 2, v3 + 1 + price, CASE r WHEN 'a' THEN v3 + price END) AS b2,
+            least(v3 + 2, v2 + 1 + price, CASE r WHEN 'u' THEN v2 + price END) AS b3
+        FROM v JOIN e ON e.conv_id IS NOT DISTINCT FROM v.conv_id AND e.i = v.i - 1
+    )
+), a AS (
+    SELECT v.conv_id, v.i, [v0, v1, v2, v3] AS now, r, role, text, price
+    FROM v LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM v.conv_id AND e.i = v.i
+), w AS (
+    SELECT conv_id, 1::BIGINT AS i, 0 AS s, '' AS audit, []::VARCHAR[] AS lines, 0::BIGINT AS cost FROM e WHERE i = 1
+    UNION ALL
+    SELECT conv_id, CASE edit WHEN 'I' THEN i ELSE i + 1 END,
+           CASE edit WHEN 'D' THEN s WHEN 'K' THEN kept ELSE missing END, audit || edit,
+           CASE edit WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+                ELSE list_append(lines, wanted || ':' || CASE edit WHEN 'R' THEN text ELSE '' END) END,
+           cost + CASE edit WHEN 'D' THEN 2 WHEN 'I' THEN 5 WHEN 'R' THEN price + 1 ELSE price END
+    FROM (
+        SELECT *, CASE WHEN r IS NOT NULL AND after[s + 1] + 2 = now[s + 1] THEN 'D'
+                       WHEN now[missing + 1] + 5 = now[s + 1] THEN 'I'
+                       WHEN after[kept + 1] + price = now[s + 1] THEN 'K' ELSE 'R' END AS edit
+        FROM (
+            SELECT w.*, a.now, b.now AS after, a.r, a.role, a.text, a.price,
+                   CASE s WHEN 2 THEN 3 ELSE 2 END AS missing, CASE s WHEN 2 THEN 'assistant' ELSE 'user' END AS wanted,
+                   CASE WHEN s = 0 AND a.r = 's' THEN 1 WHEN s = 2 AND a.r = 'a' THEN 3 WHEN s <> 2 AND a.r = 'u' THEN 2 END AS kept
+            FROM w JOIN a ON a.conv_id IS NOT DISTINCT FROM w.conv_id AND a.i = w.i
+            LEFT JOIN a AS b ON b.conv_id IS NOT DISTINCT FROM w.conv_id AND b.i = w.i + 1
+            WHERE a.r IS NOT NULL OR s IN (1, 2)
+        )
+    )
+), z AS (
+    SELECT w.conv_id, w.audit, w.lines, w.cost FROM w
+    JOIN (SELECT conv_id, max(i) AS i, max(length(audit)) AS l FROM w GROUP BY conv_id) AS m
+      ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.i = w.i AND m.l = length(w.audit)
+), g AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (i < n AND r || r2 NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM e GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM o.conv_id
+""")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation with the faults of its damaged rows and the cheapest edits that repair it."""
+    given = table(spark, sf_dir, "conversations")
+    found = repair_conversations(repair_blocks(damaged(given)))
+    sums = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    every = given.select(F.col("conv_id").cast("long").alias("id")).distinct()
+    return every.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("id").alias("conv_id"), *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in sums),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
+    )
