@@ -14,6 +14,7 @@ from millrace.llm.embedding_dedup import near_duplicates
 from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.ngram_join import similar_documents
 from millrace.llm.packing import pack
+from millrace.llm.periodic_runs import periodic_runs, with_planted_runs
 from millrace.llm.pieces import decode, encode
 from millrace.llm.sharding import byte_shards
 from millrace.llm.substring_dedup import repeated_passages
@@ -162,6 +163,22 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"))
 
 
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, after repeats have been planted in a tenth of them."""
+    found = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    found = found.select("doc_id", "runs", "collapsed", longest.alias("m")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("m.col2")).alias("start"),
+        F.col("m.length").alias("length"), (-F.col("m.col3")).alias("period"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+    return found.withColumn("exponent_milli", F.expr("1000 * length div period"))
+
+
 @query("op12_conversation_repair", """
 WITH RECURSIVE k AS (
     SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
