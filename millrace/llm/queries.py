@@ -14,6 +14,7 @@ from millrace.llm.embedding_dedup import near_duplicates
 from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.ngram_join import similar_documents
 from millrace.llm.packing import pack
+from millrace.llm.page_text import extract_text
 from millrace.llm.periodic_runs import periodic_runs, with_planted_runs
 from millrace.llm.pieces import decode, encode
 from millrace.llm.sharding import byte_shards
@@ -272,3 +273,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("conv_id"), *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in sums),
         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
     )
+
+
+@query("op13_main_text")
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by the template of its host."""
+    found = extract_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
