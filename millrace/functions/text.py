@@ -22,17 +22,16 @@ def strip_markup(col: Column | str, *, multiline: bool = False) -> Column:
 
 
 def is_json(col: Column | str) -> Column:
-    """Whether a text is one JSON value and nothing else; null for null.
+    """Whether a text is one JSON value and nothing else, as ``from_json`` takes it; null for null.
 
     The parser stops after the first value and passes over the rest. Put between brackets the
-    text must therefore be exactly one element, and it must parse as a member's value as well,
-    which keeps out texts that close the brackets themselves.
+    text must therefore be exactly one element, and it must pass as a member's value as well,
+    which keeps out texts that close the brackets themselves. Both checks stream over the text and build nothing.
     """
     text = _col(col)
-    items = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).cast("array<variant>")
-    member = F.try_parse_json(F.concat(F.lit('{"_":'), text, F.lit("}")))
-    alone = items.isNotNull() & (F.size(items) == 1) & member.isNotNull()
-    return F.when(text.isNotNull(), alone)
+    items = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    member = F.json_object_keys(F.concat(F.lit('{"_":'), text, F.lit("}")))
+    return F.when(text.isNotNull(), F.coalesce(items == 1, F.lit(False)) & member.isNotNull())
 
 
 # Numbers that the parsed form cannot hold as they are written: over 38 digits, or with an
@@ -40,15 +39,20 @@ def is_json(col: Column | str) -> Column:
 INEXACT = r"(?s)(?<![\w\\.])-?(?:\d[\d.]{38,}|\d[\d.]*[eE][-+]?\d)"
 
 
+# A quoted string. What is left of a text without them holds no single quote in strict JSON.
+STRING = r'(?s)"(?:[^"\\]|\\.)*+"'
+
+
 def json_or_null(col: Column | str) -> Column:
     """JSON text in normal form (keys sorted, no blanks), or null where it is not one JSON value.
 
-    A text with numbers that the parsed form would change stays as it is written.
+    Strings have to stand in double quotes. A text that the parsed form would change or cannot hold (long numbers,
+    exponents, a key that stands twice) stays as it is written.
     """
     text = _col(col)
-    normal = F.when(text.rlike(INEXACT), F.trim(text, F.lit(" \t\r\n"))).otherwise(
-        F.to_json(F.try_parse_json(text))
-    )
+    strict = ~F.contains(F.regexp_replace(text, STRING, ""), F.lit("'"))
+    written = F.when(strict, F.trim(text, F.lit(" \t\r\n")))
+    normal = F.when(text.rlike(INEXACT), written).otherwise(F.coalesce(F.to_json(F.try_parse_json(text)), written))
     return F.when(is_json(text), normal)
 
 

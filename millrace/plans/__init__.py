@@ -7,6 +7,7 @@ from millrace.plans import (  # noqa: E402,F401  (registration)
     conversions,
     files_and_sinks,
     messages,
+    registry_messages,
     round_trips,
 )
 

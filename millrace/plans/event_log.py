@@ -4,7 +4,8 @@
 id: offsets of a log grow within a topic-partition but need not be dense, so none has to be
 counted out. The log with faults has its values damaged by a rule on the measured ``value``:
 below 1 the message is null, from 100 up it is not one JSON value: something stands before it or
-behind it, it comes twice, or there are only blanks.
+behind it, it comes twice, or there are only blanks. Of the others some hold their key twice, which is
+no fault: the last one counts.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ log AS (
   SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS "partition",
          event_id AS "offset", epoch_us(ts) // 1000 AS ms, CAST(user_id AS VARCHAR) AS "key",
          props AS message, value AS measure,
-         CASE WHEN value < 1 THEN NULL WHEN value < 100 THEN props
+         CASE WHEN value < 1 THEN NULL
+              WHEN value < 100 THEN CASE WHEN event_id % 7 = 3 THEN '{"k": -1, ' || substring(props, 2) ELSE props END
               ELSE CASE event_id % 5 WHEN 0 THEN 'x' || props WHEN 1 THEN '  '
                    WHEN 2 THEN props || ' trailing' WHEN 3 THEN props || props ELSE '' END
               END AS faulty,
@@ -58,7 +60,8 @@ def faulty_value() -> Column:
         .when(kind == 2, F.concat("props", F.lit(" trailing")))
         .when(kind == 3, F.concat("props", "props")).otherwise("")
     )
-    text = F.when(measure >= 100, broken).otherwise(F.col("props"))
+    twice = F.concat(F.lit('{"k": -1, '), F.expr("substring(props, 2)"))
+    text = F.when(measure >= 100, broken).when(F.col("event_id") % 7 == 3, twice).otherwise(F.col("props"))
     return F.when(measure >= 1, F.encode(text, "UTF-8"))
 
 

@@ -38,6 +38,9 @@ def test_strip_markup_over_lines(spark):
 def test_json_or_null(spark):
     assert one(spark, '{"b": 1, "a": [1, 2.5]}', json_or_null) == '{"a":[1,2.5],"b":1}'
     assert one(spark, "{'a': 1", json_or_null) is None
+    for quoted in ("{'a': 1}", "{'a': 1e400}", '{"a": \'b\'}'):
+        assert one(spark, quoted, json_or_null) is None
+    assert one(spark, '{"a": "it\'s", "a": "x\\"\'"} ', json_or_null) == '{"a": "it\'s", "a": "x\\"\'"}'
 
 
 ARTICLE_DOC = (
@@ -103,6 +106,7 @@ def test_result_array_of_any_size(spark, tmp_path):
     ('{"k":1}', True), ("", False), ("  ", False), ('{"k":1} trailing', False), ('{"k":1}{"k":2}', False),
     ("1,2", False), ("1],[2", False), ("1}", False), ('1,"b":2', False), ("null", True), (None, None),
     (' "x" ', True), ("[1]", True), ('{"a":1} }', False), ('{"a":', False), ('{"_":1},{"_":2}', False),
+    ('{"a":1,"a":2}', True), ("{'a':1}", True),
 ])
 def test_is_json(spark, text, ok):
     assert one(spark, text, is_json) is ok
