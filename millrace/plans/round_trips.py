@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.sinks import write_csv
 from millrace.plans.registry import query, table
 from millrace.session import scratch_path
 from millrace.sources.readers import read_source
+from millrace.sources.xml import read_xml_split
 
 # A reader cannot split XML, so elements are dealt out to as many tasks as a shuffle has, and
 # files are bounded to some 64 MB for the next reader's tasks.
@@ -138,3 +140,23 @@ def _read_xml_nested_attrs(spark, sf):
         F.col("_id").alias("order_id"), F.col("_status").alias("status"), "customer",
         F.inline("items.item").alias("item_name", "item_value"),
     )
+
+
+@query("read_xml_split", """
+SELECT o_orderkey AS _id, o_orderstatus AS _status, CASE WHEN o_orderkey % 7 <> 3 THEN o_totalprice END AS price,
+       CASE WHEN o_orderkey % 7 = 3 THEN NULL WHEN o_orderkey % 100 = 1 THEN 'see </order> of ' || o_custkey
+            ELSE o_orderpriority END AS note
+FROM orders
+""")
+def _read_xml_split(spark, sf):
+    """Orders as XML text with comments, CDATA sections that hold closing tags, and empty elements, read in splits."""
+    path = scratch_path(spark, "xml-split")
+    key = F.col("o_orderkey")
+    head = F.concat(F.lit('<order id="'), key, F.lit("\" status='"), "o_orderstatus", F.lit("'"))
+    note = F.when(key % 100 == 1, F.concat(F.lit("<![CDATA[see </order> of "), "o_custkey", F.lit("]]>"))).otherwise(F.col("o_orderpriority"))
+    body = F.concat(head, F.lit("><price>"), "o_totalprice", F.lit("</price><note>"), note, F.when(key % 2 == 0, "</note></order>").otherwise("</note></order >"))
+    text = F.when(key % 7 == 3, F.concat(head, F.lit(" />"))).otherwise(body)
+    text = F.when(key % 50 == 2, F.concat(F.lit("<!-- no <order> here </order> -->\n<batch>"), text, F.lit("</batch>"))).otherwise(text)
+    table(spark, sf, "orders").select(text.alias("value")).write.text(path)
+    schema = T.StructType.fromDDL("_id bigint, _status string, price double, note string")
+    return read_xml_split(spark, path, schema, rowTag="order", mode="FAILFAST")
