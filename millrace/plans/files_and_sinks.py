@@ -115,3 +115,27 @@ def _object_path_split(spark, sf):
     return table(spark, sf, "pages").select("page_id", object_path(path).alias("o")).select(
         "page_id", "o.*"
     )
+
+
+@query("sync_by_blocks", """
+SELECT 'bucket=' || o_orderkey // 4096 AS folder,
+       CASE WHEN o_orderkey // 4096 % 4 = 1 THEN 'copy' ELSE 'delete_source' END AS action,
+       CAST(sum(strlen(o_orderkey || ',' || o_orderpriority) + 1) AS BIGINT) AS bytes
+FROM orders GROUP BY ALL
+""")
+def _sync_by_blocks(spark, sf):
+    """Two folders of equal files, but for some with their lines in another order, told apart by block digests."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.expr("o_orderkey div 4096").alias("bucket"), F.concat_ws(",", "o_orderkey", "o_orderpriority").alias("value")
+    )
+    turned = F.when(F.col("bucket") % 4 == 1, -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+    sides = []
+    for order in (F.col("o_orderkey"), turned):
+        root = scratch_path(spark, "side")
+        spread = orders.repartition("bucket").sortWithinPartitions("bucket", order)
+        spread.select("bucket", "value").write.partitionBy("bucket").text(root)
+        files = file_manifest(spark, root, glob="*.txt", checksum="blocks", block_bytes=4096)
+        # The writer gives its files names of their own; a folder holds one file.
+        sides.append(files.withColumn("path", F.substring_index("path", "/", 1)))
+    plan = sync_plan(*sides)
+    return plan.select(F.col("path").alias("folder"), "action", F.col("size").alias("bytes"))

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Iterator
+from functools import reduce
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.shapes import quoted
+from millrace.session import scratch_path
 
 # The text around a PEM block, the scheme of an object path, the head of a URI.
 PEM_BEGIN, PEM_END, PEM_DASHES = "-----BEGIN ", "-----END ", "-----"
@@ -14,27 +22,121 @@ OBJECT_SCHEME = "gs://"
 SCHEME_AND_HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"
 
 
-def _listing(spark: SparkSession, files: DataFrame, root: str) -> DataFrame:
-    """``file_key`` and ``path`` relative to ``root`` of every file.
+FOUND = "path string, size long, modified timestamp, folder boolean"
+BLOCK_BYTES = 8 << 20
+READ_BYTES = 1 << 20
+
+
+def _open(uri: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(uri)
+
+
+def _uri(root: str, path: str) -> str:
+    """The address of a path: only the scheme and host of ``root`` are taken over."""
+    head = re.match(SCHEME_AND_HOST, root)
+    return (head[0] if head else "file://") + quote(path)
+
+
+def _qualified(spark: SparkSession, root: str) -> tuple[str, str]:
+    """``root`` with scheme and host, and its plain path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    full = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toUri()
+    path = full.getPath()
+    host = f"//{full.getAuthority()}" if full.getAuthority() else "//"
+    return f"{full.getScheme()}:{host}{quote(path)}", path
+
+
+def _is_hidden(name: str) -> bool:
+    """Names that no file scan reads."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+
+def _list_folders(root: str):
+    """The entries of each folder of a batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                files, path = _open(_uri(root, folder))
+                info = files.get_file_info(path)
+                entries = [info] if info.is_file else files.get_file_info(pafs.FileSelector(path, allow_not_found=False))
+                entries = [e for e in entries if e.is_file or e.type == pafs.FileType.Directory]
+                kept = [e for e in entries if e is info or not _is_hidden(e.base_name)]
+                base = folder.rstrip("/")
+                for at in range(0, len(kept), 10_000):
+                    some = kept[at:at + 10_000]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([folder if e is info else f"{base}/{e.base_name}" for e in some], pa.string()),
+                        pa.array([e.size or 0 for e in some], pa.int64()),
+                        pa.array([(e.mtime_ns or 0) // 1000 for e in some], pa.int64()).cast(pa.timestamp("us", "UTC")),
+                        pa.array([not e.is_file for e in some], pa.bool_()),
+                    ], names=["path", "size", "modified", "folder"])
+
+    return run
+
+
+def glob_pattern(glob: str) -> str:
+    """The regular expression of a glob for file names: ``*``, ``?``, ``[..]``, ``{a,b}`` and backslashes."""
+    out, depth, i = "", 0, 0
+    while i < len(glob):
+        c = glob[i]
+        end = glob.find("]", i + 2) if c == "[" else -1
+        if c == "\\" and i + 1 < len(glob):
+            i += 1
+            out += re.escape(glob[i])
+        elif c == "*":
+            out += "[^/]*"
+        elif c == "?":
+            out += "[^/]"
+        elif end > 0:
+            inner = glob[i + 1:end].replace("\\", "\\\\")
+            out += "[" + ("^" + inner[1:] if inner[0] in "!^" else inner) + "]"
+            i = end
+        elif c == "{":
+            out, depth = out + "(?:", depth + 1
+        elif c == "}" and depth:
+            out, depth = out + ")", depth - 1
+        elif c == "," and depth:
+            out += "|"
+        else:
+            out += re.escape(c)
+        i += 1
+    return f"^{out}$"
+
 
-    A scan leaves out files of length zero; the relation's own listing, which the driver's JVM
-    holds for any scan, has them. It is taken as one text, and paths are worked out as columns.
+def list_files(
+    spark: SparkSession, root: str, *, glob: str | None = None, recursive: bool = True,
+) -> DataFrame:
+    """Every file below ``root``: ``path`` relative to it, ``full_path``, ``size`` and ``modified``.
+
+    Folders are listed in tasks, level by level: the folders of a level are dealt out to tasks, and what they hold is
+    written to a table below the shared folder, whose folders are the next level. The driver learns how many there
+    are, not which. A folder is listed by one task. Hidden files are left out, as scans leave them out.
+    ``glob`` is for the names of files.
     """
-    text = spark._jvm.org.apache.hadoop.util.StringUtils.join("\n", files._jdf.inputFiles())
-    uris = spark.range(1).select(F.explode(F.split(F.lit(text), "\n")).alias("value")).where("value <> ''")
-    key = F.regexp_replace("value", SCHEME_AND_HOST, "")
-    # A plus sign is itself in a path.
-    full = F.url_decode(F.replace(key, F.lit("+"), F.lit("%2B")))
-    base = re.sub(SCHEME_AND_HOST, "", root).rstrip("/") + "/"
-    at = F.instr(full, F.lit(base))
-    rest = F.substring(full, at + len(base), F.length(full))
-    return uris.select(key.alias("file_key"), F.when(at > 0, rest).otherwise(full).alias("path"))
+    address, base = _qualified(spark, root)
+    level = spark.range(1).select(F.lit(base).alias("path"))
+    tasks, found = 1, []
+    widest = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    while tasks:
+        folder = scratch_path(spark, "listing")
+        level.repartition(min(tasks, widest)).mapInArrow(_list_folders(address), FOUND).write.parquet(folder)
+        found.append(spark.read.schema(FOUND).parquet(folder))
+        level = found[-1].where("folder").select("path")
+        tasks = level.count() if recursive else 0
+    files = reduce(DataFrame.unionAll, found).where("not folder")
+    if glob:
+        files = files.where(F.substring_index("path", "/", -1).rlike(glob_pattern(glob)))
+    start = len(base.rstrip("/")) + 2
+    inside = F.startswith("path", F.lit(base.rstrip("/") + "/"))
+    name = F.when(inside, F.substring("path", start, 1 << 30)).otherwise(F.substring_index("path", "/", -1))
+    return files.select(name.alias("path"), F.col("path").alias("full_path"), "size", "modified")
 
 
-def _file_key() -> Column:
-    """The encoded path of a scanned file without scheme and host, which the listing and the
-    scan write differently."""
-    return F.regexp_replace(F.col("_metadata.file_path"), SCHEME_AND_HOST, "")
+def _scanned_path() -> Column:
+    """The plain path of a scanned file. A plus sign is itself in a path."""
+    key = F.regexp_replace(F.col("_metadata.file_path"), SCHEME_AND_HOST, "")
+    return F.url_decode(F.replace(key, F.lit("+"), F.lit("%2B")))
 
 
 def _reader(spark: SparkSession, fmt: str, recursive: bool, glob: str | None):
@@ -42,6 +144,49 @@ def _reader(spark: SparkSession, fmt: str, recursive: bool, glob: str | None):
     return out.option("pathGlobFilter", glob) if glob else out
 
 
+def _hash_blocks(root: str):
+    """The SHA-256 of each block of a file, read piece by piece."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = []
+            for path, start, length in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                files, name = _open(_uri(root, path))
+                state, left = hashlib.sha256(), length
+                with files.open_input_file(name) as stream:
+                    stream.seek(start)
+                    while left:
+                        piece = stream.read(min(READ_BYTES, left))
+                        if not piece:
+                            break
+                        state.update(piece)
+                        left -= len(piece)
+                digests.append(None if left else state.hexdigest())  # the file has become shorter
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(digests, pa.string())], names=["full_path", "start", "digest"]
+            )
+
+    return run
+
+
+def block_digests(spark: SparkSession, files: DataFrame, root: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``full_path`` and ``checksum`` of files of any size, from :func:`list_files` of ``root``.
+
+    A file is cut into blocks at multiples of ``block_bytes``, whatever the splits; tasks hash blocks, a piece at a time, and
+    the checksum is the SHA-256 of the blocks' digests in order, behind the block size. So a file is
+    read by as many tasks as it has blocks, and exchanged parts change it. Null where a file has
+    become shorter meanwhile.
+    """
+    address, _ = _qualified(spark, root)
+    blocks = files.select("full_path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(block_bytes).cast("long"))).alias("start"))
+    blocks = blocks.select("full_path", "start", F.least(F.lit(block_bytes).cast("long"), F.col("size") - F.col("start")).alias("length"))
+    blocks = blocks.repartition(F.col("full_path"), F.col("start"))
+    hashed = blocks.mapInArrow(_hash_blocks(address), "full_path string, start long, digest string")
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("start", "digest"))), lambda x: x["digest"])
+    whole = F.concat(F.lit(f"{block_bytes}:"), F.sha2(F.array_join(parts, "").cast("binary"), 256))
+    return hashed.groupBy("full_path").agg(F.when(F.count("digest") == F.count(F.lit(1)), whole).alias("checksum"))
+
+
 def file_manifest(
     spark: SparkSession,
     root: str,
@@ -49,41 +194,42 @@ def file_manifest(
     glob: str | None = None,
     recursive: bool = True,
     checksum: str | None = None,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row per file below ``root``: ``path`` relative to it, ``size``, ``modified`` and,
     on request, a ``checksum``. Without one no file is opened.
 
-    ``checksum="content"`` is the SHA-256 of the bytes; it reads each file in one task.
+    ``checksum="blocks"`` is for files of any size (:func:`block_digests`). ``checksum="content"`` is the SHA-256 of the bytes,
+    as other tools give it; it brings each file into one task whole.
     ``checksum="lines"`` is for large text files, which it reads in splits: the number of lines
     and the sum of their hashes, as ``line_digest``. It does not tell the order of lines, so no
-    plan takes it as proof of equal content. Files of length zero have no modification time here.
+    plan takes it as proof of equal content.
     """
-    if checksum not in (None, "content", "lines"):
-        raise ValueError("checksum is None, 'content' or 'lines'")
-    files = _reader(spark, "binaryFile", recursive, glob).load(root)
-    found = {
-        "size": F.coalesce("length", F.lit(0)).cast("bigint"),
-        "modified": F.col("modificationTime"),
-    }
-    scanned = files.withColumn("file_key", _file_key()).drop("path")
-    if checksum == "content":
-        found["checksum"] = F.sha2(F.coalesce("content", F.lit(b"")), 256)
+    if checksum not in (None, "blocks", "content", "lines"):
+        raise ValueError("checksum is None, 'blocks', 'content' or 'lines'")
+    files = list_files(spark, root, glob=glob, recursive=recursive)
+    out = ["path", "size", "modified"]
+    if checksum == "blocks":
+        files = files.join(block_digests(spark, files, root, block_bytes), "full_path", "left")
+        out.append("checksum")
+    elif checksum == "content":
+        scanned = _reader(spark, "binaryFile", recursive, glob).load(root)
+        scanned = scanned.select(_scanned_path().alias("full_path"), F.sha2("content", 256).alias("found"))
+        empty = F.when(F.col("size") == 0, F.sha2(F.lit(b""), 256))
+        files = files.join(scanned, "full_path", "left").withColumn("checksum", F.coalesce("found", empty))
+        out.append("checksum")
     elif checksum == "lines":
         hashed = F.sum(F.xxhash64("value").cast("decimal(20,0)"))
         lines = (
             _reader(spark, "text", recursive, glob)
             .option("lineSep", "\n")
             .load(root)
-            .groupBy(_file_key().alias("file_key"))
+            .groupBy(_scanned_path().alias("full_path"))
             .agg(F.concat_ws(":", F.count(F.lit(1)), hashed.cast("string")).alias("digest"))
         )
-        scanned = scanned.drop("content").join(lines, "file_key")
-        found["line_digest"] = F.coalesce("digest", F.lit("0:0"))
-    return (
-        _listing(spark, files, root)
-        .join(scanned, "file_key", "left")
-        .select("path", *[c.alias(n) for n, c in found.items()])
-    )
+        files = files.join(lines, "full_path", "left").withColumn("line_digest", F.coalesce("digest", F.lit("0:0")))
+        out.append("line_digest")
+    return files.select(*out)
 
 
 def sync_plan(
@@ -127,19 +273,12 @@ def file_row_counts(
     Lines end at a line feed only, a last line without one counts, and empty files count 0.
     Large files are split over tasks and counted in parts.
     """
-    files = _reader(spark, "text", recursive, glob).option("lineSep", "\n").load(root)
-    lines = files.groupBy(_file_key().alias("file_key")).agg(
-        F.count(F.lit(1)).alias("lines")
-    )
+    lines = _reader(spark, "text", recursive, glob).option("lineSep", "\n").load(root)
+    lines = lines.groupBy(_scanned_path().alias("full_path")).agg(F.count(F.lit(1)).alias("lines"))
     rows = F.greatest(F.coalesce("lines", F.lit(0)) - header, F.lit(0))
-    return (
-        _listing(spark, files, root)
-        .join(lines, "file_key", "left")
-        .select(
-            "path",
-            F.substring_index("path", "/", -1).alias("file_name"),
-            rows.cast("bigint").alias("row_count"),
-        )
+    files = list_files(spark, root, glob=glob, recursive=recursive)
+    return files.join(lines, "full_path", "left").select(
+        "path", F.substring_index("path", "/", -1).alias("file_name"), rows.cast("bigint").alias("row_count")
     )
 
 

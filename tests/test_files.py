@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import pathlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from millrace.sources.files import (
     file_manifest,
     file_row_counts,
+    list_files,
     object_path,
     pem_blocks,
     read_whole_texts,
@@ -90,6 +92,46 @@ def test_manifest_and_sync(spark, tmp_path):
     assert "checksum" not in file_manifest(spark, src).columns
 
 
+def test_listing_in_tasks(spark, tmp_path):
+    names = {f"d{i}/e{i % 3}/f{i}.txt": "x" * i for i in range(40)} | {"top.csv": "", "_hidden/a": "h", ".b": "h", "p=1/_c": "h", "p=1/d": "d"}
+    root = tree(tmp_path / "root", names)
+    got = {r.path: r for r in list_files(spark, root).collect()}
+    assert set(got) == {n for n in names if n.startswith("d") or n in ("top.csv", "p=1/d")}
+    assert all(got[n].size == len(names[n]) and got[n].modified is not None for n in got)
+    assert {r.path for r in list_files(spark, root, glob="{f1,f2}[0-4].tx?").collect()} == {
+        n for n in names if n.startswith("d") and 10 <= len(names[n]) <= 24 and len(names[n]) % 10 <= 4
+    }
+    assert [r.path for r in list_files(spark, root, recursive=False).collect()] == ["top.csv"]
+    assert [r.path for r in list_files(spark, f"file:{root}/top.csv").collect()] == ["top.csv"]
+    plan = file_manifest(spark, root)._jdf.queryExecution().optimizedPlan().toString()
+    assert "f1.txt" not in plan and "e1" not in plan
+    with pytest.raises(Exception, match="nowhere"):
+        list_files(spark, f"{root}/nowhere").collect()
+
+
+def test_block_digests(spark, tmp_path):
+    rng = random.Random(2)
+    lines = [f"line {i}\n" for i in range(5000)]
+    files = {
+        "same": "".join(lines), "turned": "".join(lines), "grown": "a" * 1024, "empty": "", "bytes": "",
+    }
+    left, right = tree(tmp_path / "l", files), tree(tmp_path / "r", files)
+    body = bytes(rng.randrange(256) for _ in range(10_000))
+    for side in (left, right):
+        pathlib.Path(side, "bytes").write_bytes(body)
+    lines[10], lines[4000] = lines[4000].replace("4000", "9999"), lines[10]
+    pathlib.Path(right, "turned").write_text("".join(lines[:4000]) + "".join(reversed(lines[4000:])))
+    pathlib.Path(right, "grown").write_text("a" * 1025)
+    sides = [file_manifest(spark, side, checksum="blocks", block_bytes=1024) for side in (left, right)]
+    assert {r.path: r.action for r in sync_plan(*sides).collect()} == {
+        "same": "delete_source", "empty": "delete_source", "bytes": "delete_source", "turned": "copy", "grown": "copy",
+    }
+    parts = "".join(hashlib.sha256(body[i:i + 1024]).hexdigest() for i in range(0, len(body), 1024))
+    found = {r.path: r.checksum for r in sides[0].collect()}
+    assert found["bytes"] == "1024:" + hashlib.sha256(parts.encode()).hexdigest()
+    assert found["empty"] == "1024:" + hashlib.sha256(hashlib.sha256(b"").hexdigest().encode()).hexdigest()
+
+
 def pem(kind, data):
     return f"-----BEGIN {kind}-----\n{base64.encodebytes(data).decode()}-----END {kind}-----\n"
 
