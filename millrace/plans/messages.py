@@ -21,7 +21,7 @@ from millrace.sources.log import (
 from millrace.sources.readers import stream_source
 from millrace.sources.schemas import latest_schemas
 from millrace.streaming.ingest import (
-    read_batches,
+    read_committed,
     run_to_end,
     split_schemas,
     split_writer,
@@ -358,17 +358,17 @@ def _stream_valid_split(spark, sf):
     stream = stream_source(spark, "parquet", f"{sf.rstrip('/')}/events.parquet", events.schema)
     write = split_writer(
         PAYLOAD, f"{root}/good", f"{root}/bad", consumer_group=GROUP, region=REGION,
-        ledger_path=f"{root}/ledger",
+        ledger_path=f"{root}/ledger", commit_path=f"{root}/commits",
     )
     run_to_end(
         start_split(as_log(stream, faulty_value()), write, f"{root}/checkpoint", available_now=True)
     )
     good_schema, bad_schema = split_schemas(PAYLOAD)
-    good = read_batches(spark, f"{root}/good", good_schema).select(
+    good = read_committed(spark, f"{root}/good", f"{root}/commits", "good", good_schema).select(
         F.col("Kafka_topic").alias("topic"), F.col("Kafka_offset").alias("offset"),
         F.lit(True).alias("good"), "k", F.lit(None).cast("string").alias("raw"),
     )
-    bad = read_batches(spark, f"{root}/bad", bad_schema).select(
+    bad = read_committed(spark, f"{root}/bad", f"{root}/commits", "bad", bad_schema).select(
         F.col("Kafka_topic").alias("topic"), F.col("Kafka_offset").alias("offset"),
         F.lit(False).alias("good"), F.lit(None).cast("int").alias("k"),
         F.col("_corrupt_record").alias("raw"),

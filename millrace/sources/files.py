@@ -116,14 +116,16 @@ def list_files(
     """
     address, base = _qualified(spark, root)
     level = spark.range(1).select(F.lit(base).alias("path"))
-    tasks, found = 1, []
+    tasks, found = int(recursive), []
+    if not recursive:
+        found.append(level.mapInArrow(_list_folders(address), FOUND))
     widest = int(spark.conf.get("spark.sql.shuffle.partitions"))
     while tasks:
         folder = scratch_path(spark, "listing")
         level.repartition(min(tasks, widest)).mapInArrow(_list_folders(address), FOUND).write.parquet(folder)
         found.append(spark.read.schema(FOUND).parquet(folder))
         level = found[-1].where("folder").select("path")
-        tasks = level.count() if recursive else 0
+        tasks = level.count()
     files = reduce(DataFrame.unionAll, found).where("not folder")
     if glob:
         files = files.where(F.substring_index("path", "/", -1).rlike(glob_pattern(glob)))

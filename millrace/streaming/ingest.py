@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.operators.shapes import quoted
+from millrace.sources.files import list_files
 from millrace.sources.log import offset_ledger
 from millrace.sources.readers import known_format
 from millrace.streaming.messages import (
@@ -21,7 +25,16 @@ from millrace.streaming.messages import (
     parse_messages,
 )
 
-BATCH = "batch_id"
+BATCH, ATTEMPT = "batch_id", "attempt"
+# The error conditions of tables that are not there.
+ABSENT = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
+MANIFEST = T.StructType([
+    T.StructField("sink", T.StringType()),
+    T.StructField(ATTEMPT, T.StringType()),
+    T.StructField("files", T.ArrayType(T.StructType([
+        T.StructField("full_path", T.StringType()), T.StructField("size", T.LongType()),
+    ]))),
+])
 
 
 def start_sink(
@@ -65,17 +78,26 @@ def start_sink(
 def jdbc_writer(
     settings: dict[str, str], fmt: str = "jdbc"
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that appends each batch to a table once."""
+    """A ``foreachBatch`` function that appends each batch to a table once.
+
+    A table that is not there is made by the first batch where the format says that it is absent; by JDBC an absent table cannot be told
+    from one that cannot be reached, so there it has to be made before, with a column for the batch number.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         from pyspark.errors import AnalysisException
 
+        there = None
         try:
             there = batch.sparkSession.read.format(fmt).options(**settings).load()
-            if there.where(F.col(BATCH) == batch_id).limit(1).count():
+        except AnalysisException as err:
+            if err.getCondition() not in ABSENT:
+                raise
+        if there is not None:
+            if BATCH not in there.columns:
+                raise ValueError(f"the table has no column {BATCH}")
+            if not there.where(F.col(BATCH) == batch_id).isEmpty():
                 return
-        except AnalysisException:
-            pass  # no such table yet: the first batch makes it
         numbered = batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
         numbered.write.format(fmt).options(**settings).mode("append").save()
 
@@ -92,6 +114,57 @@ def overwrite_batch(df: DataFrame, path: str, batch: int, fmt: str = "parquet")
     df.write.mode("overwrite").format(fmt).save(f"{path}/{BATCH}={batch}")
 
 
+def write_attempt(df: DataFrame, path: str, batch: int, attempt: str) -> None:
+    """Write one attempt at a micro-batch to a folder that no other attempt writes to."""
+    df.write.parquet(f"{path}/{BATCH}={batch}/{ATTEMPT}={attempt}")
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def is_committed(spark: SparkSession, commits: str, batch: int) -> bool:
+    """Whether a batch has its manifest. One whose writing was cut short is none."""
+    return not _read_or_empty(spark, f"{commits}/{BATCH}={batch}", MANIFEST).isEmpty()
+
+
+def commit_batch(spark: SparkSession, commits: str, batch: int, attempt: str, sinks: Mapping[str, str]) -> None:
+    """Write the manifest of a batch, the last thing to be written: the files of each of its sinks.
+
+    It is one file, so it is there as a whole or not at all.
+    """
+    rows = []
+    for sink, path in sinks.items():
+        files = list_files(spark, f"{path}/{BATCH}={batch}/{ATTEMPT}={attempt}", recursive=False)
+        named = F.collect_list(F.struct("full_path", "size")).alias("files")
+        rows.append(files.agg(named).select(F.lit(sink).alias("sink"), F.lit(attempt).alias(ATTEMPT), "files"))
+    manifest = reduce(DataFrame.unionAll, rows).coalesce(1)
+    manifest.write.mode("overwrite").parquet(f"{commits}/{BATCH}={batch}")
+
+
+def read_manifests(spark: SparkSession, commits: str) -> DataFrame:
+    """``sink``, ``attempt``, ``files`` and ``batch_id`` of all committed batches."""
+    return _read_or_empty(spark, commits, T.StructType([*MANIFEST.fields, T.StructField(BATCH, T.LongType())]))
+
+
+def read_committed(spark: SparkSession, path: str, commits: str, sink: str, schema: T.StructType) -> DataFrame:
+    """What the committed batches have written to a sink; all sinks of a batch appear together.
+
+    Batches under way, failed ones and earlier attempts are not read: batch and attempt are partition columns, joined to the manifests.
+    """
+    done = read_manifests(spark, commits).where(F.col("sink") == sink).select(BATCH, ATTEMPT).distinct()
+    where = [T.StructField(BATCH, T.LongType()), T.StructField(ATTEMPT, T.StringType())]
+    rows = _read_or_empty(spark, path, T.StructType([*schema.fields, *where]))
+    return rows.join(done, [BATCH, ATTEMPT], "left_semi").select(*[F.col(quoted(n)) for n in schema.fieldNames()])
+
+
 def split_writer(
     schema: T.StructType,
     good_path: str,
@@ -102,31 +175,49 @@ def split_writer(
     load_whole: bool = False,
     required: tuple[str, ...] = (),
     ledger_path: str | None = None,
+    commit_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: good messages, bad messages, offsets read.
 
     The batch is parsed once, kept over the writes in memory and on disk, and let go. Each
     write replaces the batch's own folder, so a replay after a failure leaves no duplicates.
+
+    With ``commit_path`` the outputs of a batch appear together: each attempt writes to folders of its own and a
+    manifest of their files is written last; :func:`read_committed` reads only what manifests name (sinks ``good``, ``bad`` and
+    ``ledger``). A batch that has its manifest is not written again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if commit_path and is_committed(spark, commit_path, batch_id):
+            return
         parsed = parse_messages(kafka_envelope(batch), schema, required=required)
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+        attempt = f"a-{uuid.uuid4().hex}"
+        sinks: dict[str, str] = {}
+
+        def put(sink: str, df: DataFrame, path: str | None) -> None:
+            if not path:
+                return
+            if commit_path:
+                write_attempt(df, path, batch_id, attempt)
+            else:
+                overwrite_batch(df, path, batch_id)
+            sinks[sink] = path
+
         try:
-            good = good_messages(
-                parsed, schema, consumer_group=consumer_group, region=region,
-                load_whole=load_whole,
+            put("good", good_messages(
+                parsed, schema, consumer_group=consumer_group, region=region, load_whole=load_whole,
+            ), good_path)
+            put("bad", bad_messages(parsed), bad_path)
+            read = parsed.select(
+                F.col("Kafka_topic").alias("topic"),
+                F.col("Kafka_partitionId").alias("partition"),
+                F.col("Kafka_offset").alias("offset"),
             )
-            overwrite_batch(good, good_path, batch_id)
-            if bad_path:
-                overwrite_batch(bad_messages(parsed), bad_path, batch_id)
-            if ledger_path:
-                read = parsed.select(
-                    F.col("Kafka_topic").alias("topic"),
-                    F.col("Kafka_partitionId").alias("partition"),
-                    F.col("Kafka_offset").alias("offset"),
-                )
-                overwrite_batch(offset_ledger(read), ledger_path, batch_id)
+            put("ledger", offset_ledger(read), ledger_path)
+            if commit_path:
+                commit_batch(spark, commit_path, batch_id, attempt, sinks)
         finally:
             parsed.unpersist()
 

@@ -1,16 +1,20 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.plans.event_log import as_log, faulty_value, plain_value
 from millrace.plans.messages import PAYLOAD
 from millrace.session import scratch_path, shared_root
 from millrace.sources.log import offset_ledger
 from millrace.sources.readers import FormatUnavailable, stream_source
+from millrace.streaming import ingest
 from millrace.streaming.ingest import (
     jdbc_writer,
     split_schemas,
     overwrite_batch,
     read_batches,
+    read_committed,
+    read_manifests,
     run_to_end,
     split_writer,
     start_sink,
@@ -160,3 +164,46 @@ def test_a_table_takes_each_batch_once(spark, tmp_path):
 def test_overwrite_batch_formats(spark, tmp_path):
     overwrite_batch(spark.range(2), str(tmp_path / "o"), 1)
     assert read_batches(spark, str(tmp_path / "o")).columns == ["id"]
+
+
+def test_batches_appear_with_their_manifest(spark, tmp_path, monkeypatch):
+    log = spark.createDataFrame(
+        [(b"k", v, "t", 0, i, None, 0) for i, v in enumerate([b'{"k": 1}', b"bad", b'{"k": 3}'])],
+        "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int",
+    ).withColumn("timestamp", F.timestamp_millis(F.lit(5)))
+    root, commits = str(tmp_path), str(tmp_path / "commits")
+    write = split_writer(PAYLOAD, f"{root}/good", f"{root}/bad", ledger_path=f"{root}/ledger", commit_path=commits, **ARGS)
+    good, bad = split_schemas(PAYLOAD)
+    ledger = T.StructType([T.StructField("topic", T.StringType()), T.StructField("until_offset", T.LongType())])
+
+    def seen():
+        return [read_committed(spark, f"{root}/{n}", commits, n, s).count() for n, s in (("good", good), ("bad", bad), ("ledger", ledger))]
+
+    assert seen() == [0, 0, 0]
+    for failing in ("bad", "ledger", "commits"):
+        kept = ingest.write_attempt, ingest.commit_batch
+
+        def broken(df, path, batch, attempt, failing=failing, kept=kept):
+            kept[0](df, path, batch, attempt)
+            if path.endswith(failing):
+                raise RuntimeError("lost")
+
+        def lost(*args):
+            raise RuntimeError("lost")
+
+        monkeypatch.setattr(ingest, "write_attempt", broken)
+        if failing == "commits":
+            monkeypatch.setattr(ingest, "commit_batch", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            write(log, 0)
+        monkeypatch.setattr(ingest, "write_attempt", kept[0])
+        monkeypatch.setattr(ingest, "commit_batch", kept[1])
+        assert seen() == [0, 0, 0]
+    write(log, 0)
+    assert seen() == [2, 1, 1]
+    write(log, 0)
+    assert seen() == [2, 1, 1]
+    write(log.where("offset = 1"), 1)
+    assert seen() == [2, 2, 2]
+    manifests = {(r["batch_id"], r["sink"]): r["files"] for r in read_manifests(spark, commits).collect()}
+    assert len(manifests) == 6 and all(f["size"] > 0 for files in manifests.values() for f in files)
