@@ -12,9 +12,11 @@ from millrace.plans.event_log import LOG_SQL, as_log, event_log, faulty_value, p
 from millrace.plans.registry import query, table
 from millrace.session import scratch_path
 from millrace.sources.log import (
+    offset_gaps,
     offset_ledger,
     read_messages,
     select_offsets,
+    select_ranges,
     select_topics,
     split_confluent_frame,
 )
@@ -274,6 +276,47 @@ def _offset_ledger(spark, sf):
     return offset_ledger(event_log(spark, sf))
 
 
+@query("log_range_join", f"""
+WITH {LOG_SQL}, r AS (
+  SELECT topic, "partition", "offset" AS f, CASE WHEN user_id % 50 <> 7 THEN "offset" + user_id % 40 END AS u
+  FROM log WHERE "offset" % 9 = 0 AND user_id % 50 < 8)
+SELECT {OUT_SQL} FROM log AS l
+WHERE EXISTS (SELECT 1 FROM r WHERE r.topic = l.topic AND r."partition" = l."partition" AND l."offset" >= f
+              AND (u IS NULL OR l."offset" < u) AND (u IS NOT NULL OR topic = 'click'))
+""")
+def _log_range_join(spark, sf):
+    """Messages in as many ranges as there are events of a kind; some overlap, are empty or have no end."""
+    log = event_log(spark, sf)
+    user = F.col("key").cast("string").cast("bigint")
+    until = F.when(user % 50 != 7, F.col("offset") + user % 40)
+    ranges = log.where((F.col("offset") % 9 == 0) & (user % 50 < 8)).where(until.isNotNull() | (F.col("topic") == "click"))
+    ranges = ranges.select("topic", "partition", F.col("offset").alias("from_offset"), until.alias("until_offset"))
+    return _out(select_ranges(log, ranges, width=256))
+
+
+GAPS_SQL = """
+WITH o AS (
+  SELECT DISTINCT 't' || event_id // 5000 AS topic, CAST(event_id % 2 AS INTEGER) AS "partition", event_id // 2 AS "offset"
+  FROM events WHERE value < 60 AND event_id // 700 % 5 <> 3),
+n AS (SELECT *, lead("offset") OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS after FROM o)
+SELECT topic, "partition", "offset" + 1 AS from_offset, after AS until_offset, after - "offset" - 1 AS missing
+FROM n WHERE after > "offset" + 1
+"""
+
+
+@query("offset_gaps", GAPS_SQL)
+def _offset_gaps(spark, sf):
+    """Gaps in a log that has lost single messages and long stretches, and holds some messages twice."""
+    events = table(spark, sf, "events")
+    kept = events.where((F.col("value") < 60) & (F.expr("event_id div 700") % 5 != 3))
+    kept = kept.unionAll(kept.where("value < 5"))
+    log = kept.select(
+        F.concat(F.lit("t"), F.expr("event_id div 5000")).alias("topic"), (F.col("event_id") % 2).cast("int").alias("partition"),
+        F.expr("event_id div 2").alias("offset"),
+    )
+    return offset_gaps(log)
+
+
 @query("registry_latest_schema", """
 WITH r AS (
   SELECT 'user' || user_id || '-value' AS subject, event_id AS version,

@@ -106,6 +106,42 @@ def select_offsets(
     return df.join(bounds, inside, "left_semi")
 
 
+def select_ranges(
+    df: DataFrame, ranges: DataFrame, *, width: int = 4096, keep: Sequence[str] = (),
+) -> DataFrame:
+    """Rows that lie in a range of a table: ``topic``, ``partition``, ``from_offset``, ``until_offset``.
+
+    Any number of ranges per topic-partition may be given, also overlapping ones; a null bound is an open one. A row
+    comes once, however many ranges it lies in; with ``keep`` it comes once per range, with these columns of the range.
+
+    Ranges are cut at multiples of ``width`` offsets and joined by topic, partition and piece; the exact bounds are
+    checked within that. So a row meets only the ranges of its own stretch of offsets, and a hot partition is many
+    join keys. Open ranges are closed by the bounds of what the log holds, which is one partial aggregate.
+    """
+    held = offset_ledger(df).select(
+        F.col("topic").alias("b_topic"), F.col("partition").alias("b_partition"), F.col("from_offset").alias("_low"),
+        F.col("until_offset").alias("_high"),
+    )
+    bounds = ranges.select(
+        F.col("topic").alias("b_topic"), F.col("partition").alias("b_partition"), F.col("from_offset").alias("_from"),
+        F.col("until_offset").alias("_until"), *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)],
+    ).join(held, ["b_topic", "b_partition"])
+    low = F.greatest(F.coalesce("_from", "_low"), F.col("_low"))
+    high = F.least(F.coalesce("_until", "_high"), F.col("_high"))
+    bounds = bounds.withColumns({"_from": low, "_until": high}).where("_from < _until")
+    pieces = F.sequence(F.floor(F.col("_from") / width), F.floor((F.col("_until") - 1) / width))
+    bounds = bounds.drop("_low", "_high").withColumn("_piece", F.explode(pieces))
+    rows = df.withColumn("_at", F.floor(F.col("offset") / width))
+    inside = (
+        (F.col("topic") == F.col("b_topic")) & (F.col("partition") == F.col("b_partition")) & (F.col("_at") == F.col("_piece"))
+        & (F.col("offset") >= F.col("_from")) & (F.col("offset") < F.col("_until"))
+    )
+    own = [F.col(c) for c in df.columns]
+    if not keep:
+        return rows.join(bounds, inside, "left_semi").select(*own)
+    return rows.join(bounds, inside).select(*own, *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)])
+
+
 def replay_log(
     spark: SparkSession,
     path: str,
@@ -157,3 +193,52 @@ def offset_ledger(df: DataFrame) -> DataFrame:
         F.min("offset").alias("from_offset"),
         (F.max("offset") + 1).alias("until_offset"),
     )
+
+
+PIECE = 12  # a piece holds two to this power offsets, a stretch as many pieces
+
+
+def offset_gaps(df: DataFrame, since: DataFrame | None = None) -> DataFrame:
+    """Offsets that a log lacks, as ``topic, partition, from_offset, until_offset, missing``.
+
+    A gap lies between two offsets that are there; with ``since`` (``topic``, ``partition``, ``until_offset``: where an
+    earlier read has ended, as in :func:`offset_ledger`) also between that end and the first offset after it, and offsets before it do not count. Repeated
+    offsets do no harm.
+
+    Offsets are brought together by pieces of ``2 ** PIECE``, whose gaps are found in the piece; pieces by stretches of as many, with
+    the gaps between pieces; and stretches by topic-partition. So no task sorts or holds a partition of the log: what is
+    put together is of bounded size at the first two levels and shrinks by its square before the last.
+    """
+    rows = df.select("topic", "partition", "offset")
+    if since is not None:
+        ends = since.select("topic", "partition", F.col("until_offset").alias("_end"))
+        rows = rows.join(ends, ["topic", "partition"], "left").where("_end is null or offset >= _end").drop("_end")
+        rows = rows.unionAll(since.select("topic", "partition", F.col("until_offset") - 1))
+    spans = rows.select("topic", "partition", F.col("offset").alias("first"), F.col("offset").alias("last"))
+    gaps = []
+    for shift in (PIECE, 2 * PIECE, None):
+        place = F.lit(0).cast("long") if shift is None else F.shiftright("first", shift)
+        held = F.collect_set if shift == PIECE else F.collect_list
+        grouped = spans.groupBy("topic", "partition", place.alias("_place")).agg(
+            F.array_sort(held(F.struct("first", "last"))).alias("spans")
+        )
+        spans = grouped.select("topic", "partition", F.col("spans")[0]["first"].alias("first"), F.get("spans", F.size("spans") - 1)["last"].alias("last"))
+        pairs = F.arrays_zip(F.slice("spans", 1, F.size("spans") - 1).alias("a"), F.slice("spans", 2, F.size("spans")).alias("b"))
+        found = F.filter(
+            F.transform(pairs, lambda p: F.struct((p["a"]["last"] + 1).alias("from_offset"), p["b"]["first"].alias("until_offset"))),
+            lambda g: g["from_offset"] < g["until_offset"],
+        )
+        gaps.append(grouped.select("topic", "partition", F.inline(found)))
+    return reduce(DataFrame.unionAll, gaps).withColumn("missing", F.col("until_offset") - F.col("from_offset"))
+
+
+def repeated_offsets(df: DataFrame) -> DataFrame:
+    """Offsets that stand more than once in a topic-partition, with their number of rows as ``copies``."""
+    return df.groupBy("topic", "partition", "offset").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+
+
+def fail_on_data_loss(df: DataFrame, since: DataFrame | None = None) -> DataFrame:
+    """``df``; a job over it ends with an error if the log lacks offsets (:func:`offset_gaps`)."""
+    lost = offset_gaps(df, since).agg(F.coalesce(F.sum("missing"), F.lit(0)).alias("n")).scalar()
+    stop = F.raise_error(F.concat(F.lit("the log lacks offsets: "), lost.cast("string"))).cast("boolean")
+    return df.where(F.when(lost == 0, F.lit(True)).otherwise(stop))

@@ -4,10 +4,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.sources.log import (
+    fail_on_data_loss,
+    offset_gaps,
     offset_ledger,
     read_messages,
+    repeated_offsets,
     replay_log,
     select_offsets,
+    select_ranges,
     select_topics,
     split_confluent_frame,
 )
@@ -125,3 +129,36 @@ def test_confluent_frame(spark):
 def test_ledger(log):
     rows = {tuple(r) for r in offset_ledger(log.where("offset between 4 and 7")).collect()}
     assert ("orders", 0, 4, 8) in rows and len(rows) == 9
+
+
+def spans(*rows):
+    return [(t, 0, o) for t, first, last in rows for o in range(first, last)]
+
+
+def test_gaps_across_pieces_and_stretches(spark):
+    step = 1 << 24
+    rows = spans(("a", 10, 20), ("a", 4090, 4100), ("a", step - 2, step + 2), ("a", 3 * step, 3 * step + 1), ("b", 5, 6), ("c", 0, 9000))
+    log = spark.createDataFrame(rows + rows[:12], "topic string, partition int, offset bigint").repartition(5)
+    got = sorted(tuple(r)[:4] for r in offset_gaps(log).collect())
+    assert got == [("a", 0, 20, 4090), ("a", 0, 4100, step - 2), ("a", 0, step + 2, 3 * step)]
+    since = spark.createDataFrame([("a", 0, 15), ("b", 0, 3), ("c", 0, 9000), ("d", 0, 7)], "topic string, partition int, until_offset bigint")
+    late = log.where("topic <> 'c'")
+    assert ("b", 0, 3, 5) in {tuple(r)[:4] for r in offset_gaps(late, since).collect()}
+    assert {r["offset"] for r in repeated_offsets(log).collect()} == {*range(10, 20), 4090, 4091}
+    whole = log.where("topic = 'c'")
+    assert fail_on_data_loss(whole).count() == 9000
+    with pytest.raises(Exception, match="lacks offsets: "):
+        fail_on_data_loss(log).collect()
+    assert offset_gaps(log.limit(0)).count() == 0
+
+
+def test_ranges_of_a_table(spark):
+    log = spark.createDataFrame([("a", i % 2, i) for i in range(1000)], "topic string, partition int, offset bigint").repartition(3)
+    ranges = [("a", 0, 10, 20, "x"), ("a", 0, 15, 30, "y"), ("a", 1, None, 5, "z"), ("a", 1, 990, None, "w"), ("a", 0, 50, 50, "e"), ("b", 0, 0, 9, "n"), ("a", 0, 600, 5, "r")]
+    table = spark.createDataFrame(ranges, "topic string, partition int, from_offset bigint, until_offset bigint, name string")
+    inside = lambda o, f, u: (f is None or o >= f) and (u is None or o < u)
+    want = sorted((t, i % 2, i, n) for i in range(1000) for t, p, f, u, n in ranges if t == "a" and p == i % 2 and inside(i, f, u))
+    for width in (1, 7, 4096):
+        got = select_ranges(log, table, width=width, keep=["name"])
+        assert sorted(map(tuple, got.collect())) == want
+        assert sorted(map(tuple, select_ranges(log, table, width=width).collect())) == sorted({w[:3] for w in want})
