@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.documents import run_pipeline
 from millrace.operators.sinks import write_csv
 from millrace.plans.registry import query, table
 from millrace.session import scratch_path
@@ -160,3 +161,36 @@ def _read_xml_split(spark, sf):
     table(spark, sf, "orders").select(text.alias("value")).write.text(path)
     schema = T.StructType.fromDDL("_id bigint, _status string, price double, note string")
     return read_xml_split(spark, path, schema, rowTag="order", mode="FAILFAST")
+
+
+PIPELINE = """[
+  {"$match": {"$and": [
+    {"customer.balance": {"$gt": 500}}, {"status": {"$in": ["F", "O"]}},
+    {"$or": [{"priority": {"$regex": "^1|urgent", "$options": "i"}}, {"customer.segment": "BUILDING", "total": {"$lt": 100000}}, {"note": null}]},
+    {"missing.field": {"$exists": false}}, {"note": {"$ne": "late"}}
+  ]}},
+  {"$project": {"status": 1, "customer.segment": 1, "total": 1, "who": "$customer.name"}}
+]"""
+
+
+@query("document_pipeline", """
+SELECT o_orderkey AS _id, o_orderstatus AS status, o_totalprice AS total, c_mktsegment AS segment, c_name AS who
+FROM (SELECT *, CASE o_orderkey % 5 WHEN 0 THEN 'late' WHEN 1 THEN 'early' WHEN 2 THEN 'x' WHEN 3 THEN 'y' END AS note
+      FROM orders JOIN customer ON o_custkey = c_custkey)
+WHERE c_acctbal > 500 AND o_orderstatus IN ('F', 'O') AND (note IS NULL OR note <> 'late')
+  AND (regexp_matches(o_orderpriority, '^1|urgent', 'i') OR c_mktsegment = 'BUILDING' AND o_totalprice < 100000 OR note IS NULL)
+""")
+def _document_pipeline(spark, sf):
+    """Orders stored as nested documents, selected and projected by a document pipeline."""
+    path = scratch_path(spark, "documents")
+    customer = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("o_custkey"),
+        F.struct(F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment")).alias("customer"),
+    )
+    notes = F.element_at(F.array(F.lit("late"), F.lit("early"), F.lit("x"), F.lit("y"), F.lit(None)), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    table(spark, sf, "orders").join(customer, "o_custkey").select(
+        F.col("o_orderkey").alias("_id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"),
+        F.col("o_totalprice").alias("total"), "customer", notes.alias("note"), F.lit("never read").alias("comment"),
+    ).write.parquet(path)
+    found = run_pipeline(spark.read.parquet(path), PIPELINE)
+    return found.select("_id", "status", "total", "customer.segment", "who")
