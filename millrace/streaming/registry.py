@@ -97,12 +97,12 @@ def _path(names: tuple[str, ...]) -> str:
     return "$" + "".join("['" + n.replace("'", "\\'") + "']" for n in names)
 
 
-def _typed(document: Column, path: str, node: Node) -> Column:
-    """The value at a path as the reader's type, or null where it is none."""
+def _typed(value: Column, node: Node) -> Column:
+    """A variant as the reader's type, or null where it is none."""
     kind, target = _kind(node), node.spark_type().simpleString()
 
     def get(name: str) -> Column:
-        return F.try_variant_get(document, path, name)
+        return F.try_variant_get(value, "$", name)
 
     if kind == "date":
         return F.date_from_unix_date(get("int"))
@@ -114,10 +114,9 @@ def _typed(document: Column, path: str, node: Node) -> Column:
     return get(target)
 
 
-def _fits(document: Column, path: str, kind: Column) -> Column:
-    """Whether the JSON value at a path is one that a writer of this kind writes."""
-    shape = F.schema_of_variant(F.try_variant_get(document, path, "variant"))
-    small = F.try_variant_get(document, path, "int").isNotNull() | ~kind.isin("int", "date")
+def _fits(value: Column, shape: Column, kind: Column) -> Column:
+    """Whether a variant of this shape is one that a writer of this kind writes."""
+    small = ~kind.isin("int", "date") | F.try_variant_get(value, "$", "int").isNotNull()
     number = shape.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(shape, F.lit("DECIMAL"))
     return (
         F.when(kind.isin(*WHOLE), (shape == "BIGINT") & small).when(kind.isin(*NUMBERS), number)
@@ -127,39 +126,49 @@ def _fits(document: Column, path: str, kind: Column) -> Column:
     )
 
 
+def _at(leaf: Leaf, i: int, steps: int) -> Column:
+    """The message's variant at the first steps of a leaf's path, under the names its writer's schema has for them."""
+    names = F.slice(F.col(f"_w{i}")["names"], 1, steps)
+    out = None
+    for called in _product(leaf.names[:steps]):
+        used = names == F.array(*[F.lit(n) for n in called])
+        value = F.try_variant_get("_doc", _path(called), "variant")
+        out = F.when(used, value) if out is None else out.when(used, value)
+    return out
+
+
 def _decode_json(rows: DataFrame, reader: Node, name: str) -> DataFrame:
+    """Each step is a projection of its own, so that no value is taken from the document twice."""
     leaves = _leaves(reader.fields)
     kept = [c for c in rows.columns if not c.startswith("_w") and c not in ("_schema", "_frame")]
     text = F.col("payload").cast("string")
     rows = rows.withColumn("_doc", F.when(is_json(text) & F.startswith(F.ltrim(text), F.lit("{")), F.try_parse_json(text)))
+    records = {leaf.path[:n]: (i, leaf, n) for i, leaf in reversed([*enumerate(leaves)]) for n in range(1, len(leaf.path))}
+    there = {path: f"_r{k}" for k, path in enumerate(records)}
+    rows = rows.withColumns({
+        **{f"_v{i}": _at(leaf, i, len(leaf.path)) for i, leaf in enumerate(leaves)},
+        **{there[path]: _at(leaf, i, n) for path, (i, leaf, n) in records.items()},
+    })
+    rows = rows.withColumns({f"_s{i}": F.schema_of_variant(f"_v{i}") for i in range(len(leaves))})
+    rows = rows.withColumns({f"_t{i}": _typed(F.col(f"_v{i}"), leaf.node) for i, leaf in enumerate(leaves)})
     values, troubles = {}, []
     for i, leaf in enumerate(leaves):
-        writer, options = F.col(f"_w{i}"), []
-        # An alias is a name the writer may have used; the schema tells which one it was.
-        for called in _product(leaf.names):
-            used = writer["names"] == F.array(*[F.lit(n) for n in called])
-            path = _path(called)
-            value = F.try_variant_get("_doc", path, "variant")
-            absent = value.isNull() | F.is_variant_null(value)
-            options.append((used, absent, _typed(F.col("_doc"), path, leaf.node), _fits(F.col("_doc"), path, writer["kind"])))
-        out = F.lit(None).cast(leaf.node.spark_type())
-        wrong = F.lit(leaf.default is NOTHING and not leaf.nullable)  # the writer has no such field
-        given = out if leaf.default is NOTHING or leaf.default is None else F.lit(leaf.default).cast(leaf.node.spark_type())
-        out = given
-        for used, absent, value, fits in options:
-            out = F.when(used, F.when(~absent, value)).otherwise(out)
-            no = ~writer["kind"].isin(*_readable(leaf.node)) | F.when(absent, ~writer["nullable"] | F.lit(not leaf.nullable)).otherwise(
-                ~F.coalesce(fits, F.lit(False)) | value.isNull()
-            )
-            wrong = F.when(used, no).otherwise(wrong)
-        values[leaf.path] = out
-        troubles.append(F.when(F.coalesce(wrong, F.lit(True)), F.lit("field " + ".".join(leaf.path))))
+        writer, value, shape, typed = (F.col(f"_{c}{i}") for c in "wvst")
+        written = ~F.exists(writer["names"], F.isnull)
+        absent = value.isNull() | (shape == "VOID")
+        fits = _fits(value, shape, writer["kind"]) & typed.isNotNull()
+        kind = leaf.node.spark_type()
+        default = F.lit(None if leaf.default is NOTHING else leaf.default).cast(kind)
+        values[leaf.path] = F.when(written, F.when(~absent, typed)).otherwise(default)
+        good = writer["kind"].isin(*_readable(leaf.node)) & F.when(absent, writer["nullable"] & F.lit(leaf.nullable)).otherwise(fits)
+        good = F.when(written, good).otherwise(F.lit(leaf.nullable or leaf.default is not NOTHING))
+        troubles.append(F.when(~F.coalesce(good, F.lit(False)), F.lit("field " + ".".join(leaf.path))))
     problem = (
         F.when(F.col("_frame").isNotNull(), F.col("_frame")).when(F.col("payload").isNull(), F.lit(None))
         .when(F.col("_doc").isNull(), F.lit("json")).otherwise(F.coalesce(*troubles, F.lit(None).cast("string")))
     )
     rows = rows.withColumn("problem", problem)
-    data = _struct(reader.fields, values, leaves)
+    data = _struct(reader.fields, values, there)
     good = F.col("problem").isNull() & F.col("_doc").isNotNull()
     return rows.select(*kept, F.when(good, data).alias(name), "problem")
 
@@ -168,31 +177,20 @@ def _product(names: tuple[tuple[str, ...], ...]) -> list[tuple[str, ...]]:
     return reduce(lambda done, step: [(*d, n) for d in done for n in step], names, [()])
 
 
-def _struct(fields: list[Field], values: dict, leaves: list[Leaf], path: tuple[str, ...] = ()) -> Column:
+def _struct(fields: list[Field], values: dict, there: dict, path: tuple[str, ...] = ()) -> Column:
     out = []
     for f in fields:
         at = (*path, f.name)
         node, _ = _core(f.node)
         if node.kind == "record":
-            inner = _struct(node.fields, values, leaves, at)
-            out.append(F.when(_is_there(leaves, at), inner).alias(f.name))
+            record = F.col(there[at])
+            inner = _struct(node.fields, values, there, at)
+            out.append(F.when(record.isNotNull() & ~F.is_variant_null(record), inner).alias(f.name))
         else:
             out.append(values[at].alias(f.name))
     return F.struct(*out)
 
 
-def _is_there(leaves: list[Leaf], path: tuple[str, ...]) -> Column:
-    """Whether the message holds the record at ``path``, under the name its writer's schema has for it."""
-    i, leaf = next((i, leaf) for i, leaf in enumerate(leaves) if leaf.path[:len(path)] == path)
-    names = F.slice(F.col(f"_w{i}")["names"], 1, len(path))
-    found = F.lit(False)
-    for called in _product(leaf.names[:len(path)]):
-        value = F.try_variant_get("_doc", _path(called), "variant")
-        used = F.coalesce(names == F.array(*[F.lit(n) for n in called]), F.lit(False))
-        found = found | (used & value.isNotNull() & ~F.is_variant_null(value))
-    return found
-
-
 def _decode_avro(rows: DataFrame, reader: Node, reader_text: str, name: str) -> DataFrame:
     kept = [c for c in rows.columns if c not in ("_schema", "_frame")]
     schema = T.StructType([
