@@ -51,9 +51,11 @@ def write_archive(
     """
     rows = _pages(pages, id_col, url_col, body_col)
     first = rows.groupBy("digest").agg(F.min("page_id").alias("first_id"))
-    # One stored copy even where rows repeat: the writer keeps one row per digest.
-    holders = rows.join(first.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & F.col("page_id").eqNullSafe(F.col("first_id")))
-    payloads = holders.select("digest", "bytes", "payload").dropDuplicates(["digest"])
+    # One stored copy even where rows repeat. A digest has one first id, so one row per pair of them is one per
+    # digest, and the shuffle of the join does for both. Copies of a payload with other ids lie in other partitions.
+    pair = first.select(F.struct("digest", F.col("first_id").alias("page_id")).alias("holder"))
+    holders = rows.select(F.struct("digest", "page_id").alias("holder"), "bytes", "payload").join(pair, "holder", "left_semi")
+    payloads = holders.dropDuplicates(["holder"]).select("holder.digest", "bytes", "payload")
     payloads.write.option("compression", "zstd").parquet(f"{path}/payloads")
 
     again = (F.col("bytes") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("first_id"))
