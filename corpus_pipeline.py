@@ -11,7 +11,7 @@ from millrace.llm.ngram_join import similar_documents
 from millrace.llm.packing import pack
 from millrace.llm.queries import tokenizer_file
 from millrace.llm.substring_dedup import without_repeats
-from millrace.llm.toxicity import calibrated, probability, scan, scan_documents, train_scores
+from millrace.llm.toxicity import fit, probability, scan
 from millrace.session import scratch_path
 
 
@@ -24,9 +24,7 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not more likely toxic than not."""
-    labels = table(spark, sf_dir, "labels")
-    model = train_scores(docs, labels)
-    model = calibrated(scan_documents(docs, model).select("doc_id", "evidence"), labels, model)
+    model = fit(docs, table(spark, sf_dir, "labels"))
     rows = docs.select(F.struct("*").alias("row"), scan(model, F.col("text"))["evidence"].alias("evidence"))
     clean = rows.where(probability(model, F.col("evidence")) < 0.5)
     return clean.select(*(F.col("row")[n].alias(n) for n in docs.columns))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import os
 import pathlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +86,18 @@ def may_be_in(words: np.ndarray, frame: DataFrame, id_col: str) -> DataFrame:
     return bits.mapInArrow(run, frame.schema)
 
 
+def text_slices(batch: pa.RecordBatch, column: int, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``limit`` bytes of a text column, or one row that is longer."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes + 64)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -14,14 +14,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import staged
+from millrace.llm.common import staged, text_slices
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (6, 5, 4)  # stems: the beginnings of longer words, marked with a trailing hyphen
 PRIOR, PRIOR_EACH = 500.0, 0.5  # Dirichlet prior: dealt out by the frequency in both classes, and to each term
 LEAST_Z, LEAST_LOG_ODDS, LEAST_DOCS = 3.3, 2.0, 5
 MAX_LABELLED = 50_000  # the classifier is fitted on about so many labelled documents at most
-MAX_TERMS = 20_000  # size of the model: the terms with the largest z
+LINE_PART = 4  # one in so many labelled documents calibrates; terms are learned from the others
 TOP_SCORE = 9.0
 NO_HIT, TOP_EVIDENCE, BINS_PER_UNIT = -12.0, 80.0, 4
 COUNTS = "term string, docs1 long, docs0 long, uses0 long"
@@ -43,24 +43,27 @@ def maximal_segments(hits: list[tuple[int, float]], penalty: float) -> list[tupl
     between two of them scores ``-penalty``. A segment is maximal when no longer one that holds it
     scores more and no part of it does.
     """
-    done: list[list] = []  # first, last, sum left of it, sum up to its end
+    # First, last, sum left of it, sum up to its end, and the nearest segment before it with a smaller left sum.
+    # Those between the two have larger left sums, so a search that passes this one passes them as well.
+    done: list[tuple[int, int, float, float, int]] = []
     total, last = 0.0, None
     for position, score in hits:
         if last is not None:
             total -= penalty * (position - last - 1)
         last = position
-        now = [position, position, total, total + score]
-        total += score
+        first, left, right = position, total, total + score
+        total = right
+        at = len(done) - 1
         while True:
-            at = len(done) - 1
-            while at >= 0 and done[at][2] >= now[2]:
-                at -= 1
-            if at < 0 or done[at][3] >= now[3]:
-                done.append(now)
+            while at >= 0 and done[at][2] >= left:
+                at = done[at][4]
+            if at < 0 or done[at][3] >= right:
+                done.append((first, position, left, right, at))
                 break
-            now = [done[at][0], position, done[at][2], now[3]]
+            first, _, left, _, before = done[at]
             del done[at:]
-    return [(a, b, right - left) for a, b, left, right in done]
+            at = before
+    return [(a, b, right - left) for a, b, left, right, _ in done]
 
 
 @dataclass
@@ -111,8 +114,8 @@ class ToxicModel:
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch: documents of either class that hold a term, and its uses in class 0."""
-    for batch in batches:
+    """Per piece of a batch: documents of either class that hold a term, and its uses in class 0."""
+    for batch in (piece for whole in batches for piece in text_slices(whole, 0)):
         docs: tuple[Counter, Counter] = Counter(), Counter()
         uses: Counter = Counter()
         totals = [0, 0, 0]
@@ -140,7 +143,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
-    """The labels to learn from, one per id: the more frequent one, toxic in a tie.
+    """The labels to learn from, one per id: the more frequent one, toxic in a tie; ``line`` marks those that calibrate.
 
     Held-out ids and rows without label don't count. Of the rest, about ``MAX_LABELLED`` ids
     are taken by their hash, so the frame is of bounded size and is sent to the tasks that read
@@ -150,7 +153,8 @@ def _labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
     known = known.where(~is_held_out(F.col(id_col))).groupBy(F.col(id_col).alias("label_id")).agg(
         (F.avg(F.col(label_col).cast("double")) >= 0.5).cast("int").alias("toxic")
     )
-    known = staged(known, "labelled")
+    line = F.pmod(F.xxhash64(F.lit("line"), "label_id"), F.lit(LINE_PART)) == 0
+    known = staged(known.withColumn("line", line), "labelled")
     ids = max(known.count(), MAX_LABELLED)
     return F.broadcast(known.where(F.pmod(F.xxhash64("label_id"), F.lit(ids)) < MAX_LABELLED))
 
@@ -162,7 +166,7 @@ def fit_scores(train: DataFrame) -> ToxicModel:
     documents over that in others, where a Dirichlet prior adds to both classes counts in
     proportion to the term's frequency in the two together. Terms whose log-odds are not
     ``LEAST_Z`` standard deviations from none, below ``LEAST_LOG_ODDS`` or in fewer than ``LEAST_DOCS`` toxic documents
-    score nothing; ``MAX_TERMS`` bounds the model. Words that a scored stem would
+    score nothing; the others are the model, which is bounded by the labelled sample. Words that a scored stem would
     take in although they themselves tell against it are kept with score 0.
     """
     counts = train.select("text", "toxic").mapInArrow(_count_terms, COUNTS).groupBy("term").agg(
@@ -181,7 +185,7 @@ def fit_scores(train: DataFrame) -> ToxicModel:
     )
     chosen = scored.where(
         f"docs1 >= {LEAST_DOCS} and z >= {LEAST_Z} and log_odds >= {LEAST_LOG_ODDS}"
-    ).orderBy(F.desc("z"), "term").limit(MAX_TERMS).collect()
+    ).orderBy(F.desc("z"), "term").collect()
     if not chosen:
         return ToxicModel()
     scores = {r["term"]: min(TOP_SCORE, r["log_odds"]) for r in chosen}
@@ -193,7 +197,7 @@ def fit_scores(train: DataFrame) -> ToxicModel:
             taken_in = taken_in | (F.substring("term", 1, n).isin(some) & (F.length("term") > n))
     against = scored.where(
         taken_in & ~F.endswith("term", F.lit("-")) & (F.col("log_odds") < 0) & (F.col("z") < -1)
-    ).orderBy("z", "term").limit(MAX_TERMS).collect()
+    ).orderBy("z", "term").collect()
     for row in against:
         scores.setdefault(row["term"], 0.0)
 
@@ -279,28 +283,19 @@ def is_held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train_scores(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "toxic",
+def fit(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
 ) -> ToxicModel:
-    """Term scores from labelled rows that are not held out (see :func:`_labelled`)."""
-    known = _labelled(labels, id_col, label_col)
-    train = docs.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("text"))
-    return fit_scores(train.join(known, "label_id"))
-
+    """The model from labelled rows that are not held out (see :func:`_labelled`).
 
-def scan_documents(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``<id>, evidence, best, segments, tokens, spans`` of every row."""
-    return docs.select(F.col(id_col), scan(model, F.col(text_col)).alias("s")).select(id_col, "s.*")
-
-
-def calibrated(
-    scanned: DataFrame, labels: DataFrame, model: ToxicModel, id_col: str = "doc_id", label_col: str = "toxic"
-) -> ToxicModel:
-    """The model with its line fitted on the same labelled rows."""
+    Terms are learned from some of them and the line from evidence to log-odds from others, so it is not made too steep by
+    documents whose own words were learned. Only labelled documents are scanned.
+    """
     known = _labelled(labels, id_col, label_col)
-    judged = scanned.select(F.col(id_col).alias("label_id"), "evidence")
-    return calibrate(model, judged.join(known, "label_id"))
+    labelled = docs.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("text"))
+    model = fit_scores(labelled.join(known.where("not line"), "label_id"))
+    judged = labelled.join(known.where("line"), "label_id").select("toxic", scan(model, F.col("text"))["evidence"].alias("evidence"))
+    return calibrate(model, judged)
 
 
 def toxicity(
@@ -317,9 +312,8 @@ def toxicity(
     each; ids that are null or repeated do no harm. Where no labels are known, the model has no terms and every score is the same
     low one. An empty table gives no rows. Only the two named columns of ``docs`` are read.
     """
-    model = train_scores(docs, labels, id_col, text_col, label_col)
-    scanned = staged(scan_documents(docs, model, id_col, text_col), "toxic-scan")
-    model = calibrated(scanned, labels, model, id_col, label_col)
+    model = fit(docs, labels, id_col, text_col, label_col)
+    scanned = docs.select(F.col(id_col), scan(model, F.col(text_col)).alias("s")).select(id_col, "s.*")
     score = probability(model, F.col("evidence"))
     out = scanned.select(
         id_col, is_held_out(F.col(id_col)).alias("held_out"), score.alias("score"),
