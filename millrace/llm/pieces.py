@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import functools
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import text_slices
+
 SPACE = "▁"
-CACHED = 200_000
+CACHED_BYTES, LONGEST_CACHED = 16 << 20, 64  # runs remembered; longer ones are merged anew each time
+ENTRY_BYTES = 200  # of a remembered run besides its characters
 PAIR_BITS = 21
 INDEXED = 200_000  # characters of one suffix array
-BLOCK = 1_000_000  # characters of the texts taken together
+BLOCK = 500_000  # characters of the texts taken together
 
 
 def load(path: str):
@@ -73,6 +77,8 @@ class PieceModel:
         self.pair_fits = np.zeros(1 << PAIR_BITS, dtype=bool)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.long: dict[str, bytes] = {}  # runs too long to be remembered, for the texts at hand
+        self.held = 0  # bytes of what is known
         # Which characters stand side by side in some piece: a bit for each pair of codes.
         self.letters = len(letters) + 2
         self.pairs = np.zeros(self.letters**2 // 8 + 1, dtype=np.uint8)
@@ -218,7 +224,11 @@ class PieceModel:
                 for place, piece_id in zip(places, some.tolist(), strict=True):
                     spelled_out += [piece_id] if piece_id >= 0 else [self.bytes_id[b] for b in text[place].encode()]
                 some = np.array(spelled_out, dtype="<i4")
-            self.known[text] = some.tobytes()
+            if len(text) > LONGEST_CACHED:
+                self.long[text] = some.tobytes()
+            else:
+                self.known[text] = some.tobytes()
+                self.held += ENTRY_BYTES + 8 * len(text)
 
     def _runs(self, texts: list[str]) -> list[list[str]]:
         """Each text in runs that no piece goes across, so each is merged on its own."""
@@ -238,8 +248,9 @@ class PieceModel:
 
     def _make_known(self, runs: list[str]) -> None:
         """Runs used of late outlast the others when the cache is full."""
-        if len(self.known) > CACHED:
-            self.known, self.older = {}, self.known
+        if self.held > CACHED_BYTES:
+            self.known, self.older, self.held = {}, self.known, 0
+        self.long = {}
         group: list[str] = []
         size = 0
         for run in dict.fromkeys(runs):
@@ -247,6 +258,7 @@ class PieceModel:
                 continue
             if run in self.older:
                 self.known[run] = self.older[run]
+                self.held += ENTRY_BYTES + 8 * len(run)
                 continue
             group.append(run)
             size += len(run) + 1
@@ -261,8 +273,8 @@ class PieceModel:
         for block in _blocks([SPACE + t.replace(" ", SPACE) if t else "" for t in texts]):
             parts = self._runs(block)
             self._make_known([r for p in parts for r in p])
-            get = self.known.__getitem__
-            out += [np.frombuffer(b"".join(map(get, p)), dtype="<i4") for p in parts]
+            known, long = self.known, self.long
+            out += [np.frombuffer(b"".join([known[r] if r in known else long[r] for r in p]), dtype="<i4") for p in parts]
         return out
 
 
@@ -322,3 +334,30 @@ def decode(ids: Column, model_file: str) -> Column:
             yield pd.Series([decoded(plain, r.tolist()) if r is not None else "" for r in rows], dtype=object)
 
     return run(ids)
+
+
+def encode_and_decode(docs: DataFrame, model_file: Callable[[], str] | str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``<id>, text, ids, decoded`` of every row: :func:`encode` and :func:`decode` in one worker, some texts at a time.
+
+    ``model_file`` is a path or gives one; a function is called in the task, so a file may lie elsewhere there. A null text is an
+    empty one. Ids may be null or repeated; other columns are not read; an empty table gives no rows.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path = model_file if isinstance(model_file, str) else model_file()
+        model, plain = piece_model(path), plain_bytes(path)
+        for batch in batches:
+            for piece in text_slices(batch, 1, BLOCK):
+                ids = model.encode(piece.column(1).to_pylist())
+                ends = np.cumsum([0, *(len(x) for x in ids)]).astype(np.int32)
+                flat = np.concatenate([*ids, np.empty(0, "<i4")]).astype(np.int32)
+                back = [decoded(plain, x.tolist()) for x in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column(0), piece.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(back, pa.string())],
+                    names=["id", "text", "ids", "decoded"],
+                )
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    out = rows.mapInArrow(run, f"id {kind}, text string, ids array<int>, decoded string")
+    return out.select(F.col("id").alias(id_col), "text", "ids", "decoded")

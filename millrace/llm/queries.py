@@ -16,7 +16,7 @@ from millrace.llm.ngram_join import similar_documents
 from millrace.llm.packing import pack
 from millrace.llm.page_text import extract_text
 from millrace.llm.periodic_runs import periodic_runs, with_planted_runs
-from millrace.llm.pieces import decode, encode
+from millrace.llm.pieces import encode_and_decode
 from millrace.llm.sharding import byte_shards
 from millrace.llm.substring_dedup import repeated_passages
 from millrace.llm.toxicity import toxicity
@@ -115,9 +115,8 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_pieces")
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded to piece ids and decoded again."""
-    model = tokenizer_file("piece_bpe_32k.model")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", encode(F.col("text"), model).alias("ids"))
-    docs = docs.withColumn("decoded", decode(F.col("ids"), model))
+    model = functools.partial(tokenizer_file, "piece_bpe_32k.model")
+    docs = encode_and_decode(table(spark, sf_dir, "documents"), model)
     return docs.select(
         "doc_id", F.size("ids").cast("long").alias("n_ids"),
         F.xxhash64("ids").alias("ids_hash"), F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),

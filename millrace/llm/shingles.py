@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 WORDS_PER_SHINGLE = 5
-CACHED = 200_000  # words remembered at a time, some 30 MB
+CACHED, LONGEST_CACHED = 100_000, 64  # words remembered at a time, some 15 MB; longer ones are not
 # Odd multipliers of the places in a run, and of the final mix.
 PLACE = np.array([
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
@@ -26,7 +26,9 @@ class WordHashes(dict):
     """Hash of a word's bytes, remembered; emptied before a text when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= LONGEST_CACHED:
+            self[word] = value
         return value
 
     def trim(self) -> None:

@@ -3,7 +3,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.llm.pieces import decode, decoded, encode, piece_model, plain_bytes
+from millrace.llm.pieces import PieceModel, decode, decoded, encode, encode_and_decode, piece_model, plain_bytes
 from millrace.llm.queries import QUERIES, tokenizer_file
 
 PATH = tokenizer_file("piece_bpe_32k.model")
@@ -39,3 +39,22 @@ def test_odd_rows(odd_docs, no_docs, library):
         assert r.ids == library.encode(r.text or "")
         assert r.back == (r.text or "").replace("▁", " ")
     assert no_docs.select(encode(F.col("text"), PATH)).count() == 0
+
+
+def test_in_one_pass(odd_docs, no_docs, library):
+    rows = encode_and_decode(odd_docs, PATH).collect()
+    assert len(rows) == odd_docs.count()
+    for r in rows:
+        assert r.ids == library.encode(r.text or "")
+        assert r.decoded == (r.text or "").replace("▁", " ")
+    assert encode_and_decode(no_docs, PATH).count() == 0
+
+
+def test_caches_are_bounded_by_bytes(library, monkeypatch):
+    monkeypatch.setattr("millrace.llm.pieces.CACHED_BYTES", 20_000)
+    model = PieceModel(PATH)
+    for i in range(6):
+        texts = [" ".join(f"word{i}x{k}" for k in range(500)), "a" * 3000 + str(i), "日" * 200]
+        assert [x.tolist() for x in model.encode(texts)] == library.encode(texts)
+        assert all(len(r) <= 64 for r in (*model.known, *model.older))
+    assert model.held < 20_000 + 600 * 400 and len(model.long) <= 3
