@@ -10,18 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.colliding import colliding, scan_tasks
-from millrace.llm.common import bloom_words, may_be_in, staged
-from millrace.llm.linking import link_by_keys
+from millrace.llm.common import bloom_words, may_be_in, shuffle_width, staged, text_slices
+from millrace.llm.linking import link_by_keys, parity_sketch
 from millrace.llm.shingles import WordHashes, mix, shingle_set
 
 PERCENT = 75
-SKETCH_BITS = 2048
 GROWTH = 4  # sizes of a band lie between a power of this and the next
 LEAST_BLOCKS = 64
 LOCAL_HOT, HOT, MAX_HOT = 3, 32, 1 << 17
 AT_HAND = 4000  # documents whose sets a task holds at a time
-PROFILE = "doc_id long, n long, mark1 long, mark2 long, kind int, sketch array<long>"
-TEXTS = "node long, text string"
+PROFILE = "doc_id long, n long, mark1 long, mark2 long, kind int, sketch binary"
+MEMBERS_AT_ONCE = 256  # texts compared with one other by a task
+BROADCAST_IDS = 1 << 20  # so many ids are sent to the tasks that scan the documents; more are joined
 
 
 def _node(found: np.ndarray) -> int:
@@ -35,12 +35,6 @@ def _marks(found: np.ndarray) -> tuple[int, int]:
     return _node(found), two
 
 
-def _sketch(found: np.ndarray) -> np.ndarray:
-    """The set's parity in ``SKETCH_BITS`` bits: each element turns one bit over."""
-    odd = np.bincount((found % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
-
-
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kind 0: size, fingerprints and sketch of each set. Kind 1: shingles of several sets at hand."""
     hashes = WordHashes()
@@ -55,7 +49,7 @@ def _profiled(rows: pa.RecordBatch, hashes: WordHashes) -> Iterator[pa.RecordBat
         found = shingle_set(hashes.of(text))
         n.append(len(found))
         marks.append(_marks(found))
-        sketches.append(_sketch(found))
+        sketches.append(parity_sketch(found))
         sets[marks[-1]] = found
     yield _profile_rows(rows.column(0), n, *zip(*marks, strict=True), 0, sketches)
     values, counts = np.unique(np.concatenate([*sets.values()]), return_counts=True)
@@ -68,7 +62,7 @@ def _profiled(rows: pa.RecordBatch, hashes: WordHashes) -> Iterator[pa.RecordBat
 
 def _profile_rows(ids: pa.Array, n, one, two, kind: int, sketches: list) -> pa.RecordBatch:
     numbers = [pa.array(np.asarray(x, dtype=np.int64)) for x in (n, one, two)]
-    columns = [ids, *numbers, pa.array(np.full(len(ids), kind, np.int32)), pa.array(sketches, pa.list_(pa.int64()))]
+    columns = [ids, *numbers, pa.array(np.full(len(ids), kind, np.int32)), pa.array(sketches, pa.binary())]
     return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "mark1", "mark2", "kind", "sketch"])
 
 
@@ -157,60 +151,50 @@ def _emit(hot_values: np.ndarray) -> Callable:
     return start
 
 
-def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Node and text."""
-    hashes = WordHashes()
-    for batch in batches:
-        nodes = [_node(shingle_set(hashes.of(t))) for t in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), batch.column(0)], names=["node", "text"])
-
-
 def _verified(percent: int) -> Callable:
+    """Groups of a text and those it may link with, the one first. Each set is made once per group."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, last, one = WordHashes(), None, None
+        hashes, last, one = WordHashes(), None, np.empty(0, np.uint64)
         for batch in batches:
             a, b = [], []
-            for x, y, text_a, text_b in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if x != last:  # rows of one left side mostly come together
-                    last, one = x, shingle_set(hashes.of(text_a))
-                two = shingle_set(hashes.of(text_b))
-                shared = len(np.intersect1d(one, two, assume_unique=True))
-                if 100 * shared >= percent * (len(one) + len(two) - shared):
-                    a.append(x)
-                    b.append(y)
+            for rows in text_slices(batch, 4):
+                for hub, part, kind, node, text in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+                    found = shingle_set(hashes.of(text))
+                    if _node(found) != node:  # another text of an id that stands twice
+                        continue
+                    if kind == 0:
+                        last, one = (hub, part), found
+                    elif last == (hub, part):
+                        shared = len(np.intersect1d(one, found, assume_unique=True))
+                        if 100 * shared >= percent * (len(one) + len(found) - shared):
+                            a.append(hub)
+                            b.append(node)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
 
-def _sides(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The frame twice, with ``a`` and ``b`` for ``node`` and as endings of the other columns."""
-    return tuple(
-        frame.select(*(F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in frame.columns)) for x in "ab"
-    )
+def _texts_of(docs: DataFrame, first: DataFrame) -> DataFrame:
+    """``node, text`` of the documents in ``first`` (``doc_id, node``)."""
+    if first.count() <= BROADCAST_IDS:
+        return docs.join(F.broadcast(first), "doc_id").select("node", "text")
+    return may_be_in(bloom_words(first, "doc_id"), docs, "doc_id").join(first, "doc_id").select("node", "text")
 
 
-def near_enough(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (``a``, ``b``) that size and sketch do not rule out.
+def linked(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (``a``, ``b``) whose whole sets link.
 
-    Bits that differ are at most the elements that do, so a pair with too many is done with
-    before its sets are fetched.
+    The text of ``b`` moves to its pair's ``a``; the text of ``a`` moves once for ``MEMBERS_AT_ONCE`` of these. Texts move,
+    which are smaller than sets.
     """
-    most = F.expr(f"(n_a + n_b) * {100 - percent} div {100 + percent}")
-    bits = F.aggregate(
-        F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
-    )
-    one, two = _sides(sketches)
-    return pairs.join(one, "a").join(two, "b").where(
-        F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    ).where(bits <= most).select("a", "b")
-
-
-def linked(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (``a``, ``b``) whose whole sets link. Texts move, which are smaller than sets."""
-    one, two = _sides(texts)
-    both = pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(_verified(percent), "a long, b long")
+    counts = pairs.groupBy("a").agg(F.expr(f"cast(count(1) div {MEMBERS_AT_ONCE} as int) + 1").alias("parts"))
+    dealt = pairs.join(counts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
+    members = dealt.select("a", "part", F.lit(1).alias("kind"), F.col("b").alias("node"))
+    hubs = dealt.select("a", "part").distinct().select("a", "part", F.lit(0).alias("kind"), F.col("a").alias("node"))
+    rows = members.unionAll(hubs).join(texts, "node").select("a", "part", "kind", "node", "text")
+    rows = rows.repartition(shuffle_width(pairs.sparkSession), "a", "part").sortWithinPartitions("a", "part", "kind")
+    return rows.mapInArrow(_verified(percent), "a long, b long").distinct()
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -221,9 +205,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     runs of the two. ``component_id`` is the smallest id that links lead to.
 
     Sets that are equal are one node, named by a 64-bit fingerprint. The others are joined by parity sketches within bands of size
-    (:func:`signature`), which loses no link. Of the documents that share a key, each is first compared with the
-    one of smallest id; the pairs of a key that still lie in different components are compared then.
-    So a large group of copies costs a comparison per copy and key, not per pair.
+    (:func:`signature`), which loses no link. Of the documents that share a key, each is first compared with one other, in some rounds;
+    the pairs of a key that still lie in different components are compared then (:func:`link_by_keys`).
+    So a large group of copies costs a comparison per copy and round, not per pair.
 
     Null, empty and blank texts have no shingles and link with nothing. Rows of one id are one
     node; a null id gets the component of the texts that equal its own, or null. An empty table
@@ -242,21 +226,19 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     members = staged(colliding(docs, _emit(hot), tasks).select("key", F.col("id").alias("node")), "colliding")
     ids = members.select("node").distinct()
-    sketches = groups.select(F.col("mark1").alias("node"), "first_id").join(ids, "node")
+    known = groups.select(F.col("mark1").alias("node"), "first_id").join(ids, "node")
     own = rows.select(F.col("doc_id").alias("first_id"), F.col("mark1").alias("node"), "n", "sketch")
-    sketches = sketches.join(own, ["first_id", "node"])
-    sketches = staged(sketches.select("node", "first_id", "n", "sketch").dropDuplicates(["node"]), "sketches")
+    known = known.join(own, ["first_id", "node"]).dropDuplicates(["node"])
+    known = staged(known.select("node", "first_id", "n", "sketch"), "sketches")
 
     def verify(pairs: DataFrame) -> DataFrame:
         """Whole sets are made anew from the texts, for the documents of the pairs that are left."""
-        left = staged(near_enough(pairs, sketches.drop("first_id")), "near")
+        left = staged(pairs, "near")
         nodes = left.select(F.col("a").alias("node")).unionAll(left.select("b")).distinct()
-        first = staged(sketches.join(nodes, "node").select(F.col("first_id").alias("doc_id")).distinct(), "firsts")
-        texts = may_be_in(bloom_words(first, "doc_id"), docs, "doc_id").join(first, "doc_id", "left_semi")
-        texts = texts.select("text").mapInArrow(_named, TEXTS).dropDuplicates(["node"])
-        return linked(left, staged(texts, "texts"))
+        first = staged(known.join(nodes, "node").select(F.col("first_id").alias("doc_id"), "node"), "firsts")
+        return linked(left, _texts_of(docs, first))
 
-    ends = link_by_keys(members, verify)
+    ends = link_by_keys(members, verify, known.drop("first_id"), PERCENT)
     least = groups.withColumnRenamed("mark1", "node").join(ends, "node").groupBy("component").agg(F.min("first_id").alias("component_id"))
     ends = ends.join(least, "component").select("node", "component_id")
 
