@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import components, shuffle_width, staged
+from millrace.llm.shingles import mix
 
-ROUNDS = 4  # of comparing each node with one other
+ROUNDS = 4  # of comparing each node with one other, while that ties a share of them
+TIED_SHARE = 4  # one in so many
+PARTNERS, PASSES = 8, 2  # a pass over the keys gives each node so many partners; the last pass gives all that are left
 GROUP_ROWS = 100_000  # keys and members that are looked through together
 KEY_MEMBERS = 16_384  # members of a key that are compared with one another at a time
 PAIRS = 1 << 21  # pairs at hand at a time
@@ -92,10 +95,29 @@ def ruled(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _group_pairs(nodes: np.ndarray, component: np.ndarray, known: Nodes | None, keys: np.ndarray, members: np.ndarray) -> Iterator[tuple]:
+def _few(nodes: np.ndarray, a: np.ndarray, b: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs are among the first ``PARTNERS`` of either node, in one order for all; and the nodes with more.
+
+    A pair that is left out is one of two nodes with more partners.
+    """
+    one, two = np.concatenate([a, b]), np.concatenate([b, a])
+    order = np.lexsort((mix(nodes[two].view(np.uint64) ^ np.uint64(seed)), one))
+    sorted_ = one[order]
+    starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    counts = np.diff(np.append(starts, len(sorted_)))
+    rank = np.arange(len(sorted_)) - np.repeat(starts, counts)
+    chosen = np.zeros(len(one), bool)
+    chosen[order] = rank < PARTNERS
+    return chosen[:len(a)] | chosen[len(a):], sorted_[starts[counts > PARTNERS]]
+
+
+def _group_pairs(
+    nodes: np.ndarray, component: np.ndarray, known: Nodes | None, keys: np.ndarray, members: np.ndarray, seed: int | None,
+) -> Iterator[tuple]:
     """Pairs of nodes of different components that share a key, each once, those that sketches rule out left out.
 
-    ``members`` are places in ``nodes``, sorted by ``keys``.
+    ``members`` are places in ``nodes``, sorted by ``keys``. With ``seed`` a node has some partners only; a node that
+    has more comes once more, paired with itself.
     """
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     ends = np.append(starts[1:], len(keys))
@@ -128,10 +150,13 @@ def _group_pairs(nodes: np.ndarray, component: np.ndarray, known: Nodes | None,
         flush()
     if done:
         a, b = np.divmod(np.unique(np.concatenate(done)), len(nodes))
+        if seed is not None and len(a):
+            chosen, more = _few(nodes, a, b, seed)
+            a, b = np.concatenate([a[chosen], more]), np.concatenate([b[chosen], more])
         yield np.minimum(nodes[a], nodes[b]), np.maximum(nodes[a], nodes[b])
 
 
-def _cross(percent: int):
+def _cross(percent: int, seed: int | None):
     """Groups come sorted: first their nodes, with component, size and sketch, then their keys' members."""
 
     def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -145,7 +170,7 @@ def _cross(percent: int):
         sketches = own["sketch"].to_pylist() if percent else None
         known = Nodes(sizes.astype(np.int64), [sketches[i] for i in order.tolist()], percent) if percent else None
         places = np.searchsorted(nodes, rest["node"].to_numpy())
-        for a, b in _group_pairs(nodes, component, known, rest["key"].to_numpy(), places):
+        for a, b in _group_pairs(nodes, component, known, rest["key"].to_numpy(), places, seed):
             yield _pair_batch(a, b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,13 +192,14 @@ def _cross(percent: int):
     return run
 
 
-def cross_pairs(mixed: DataFrame, profiles: DataFrame | None = None, percent: int = 0) -> DataFrame:
+def cross_pairs(mixed: DataFrame, profiles: DataFrame | None = None, percent: int = 0, seed: int | None = None) -> DataFrame:
     """Pairs ``a, b`` of nodes of different components that share a key (``mixed``: ``key, node, component, c``).
 
     Keys are put into groups by the least component among their members (``c``), since those of similar nodes have much the same
     members: a pair that many keys have in common is looked at once, and a node and its profile are there once per group. A
     group too large is dealt out by key, and a key too large by blocks of its members, each pair of blocks a
-    group. Sizes and sketches rule pairs out before they become rows.
+    group. Sizes and sketches rule pairs out before they become rows. With ``seed`` a node of a group has ``PARTNERS``
+    partners at most, and comes paired with itself if it has more.
     """
     count = F.count(F.lit(1))
     keys = mixed.groupBy("key").agg(F.min("c").alias("c"), count.alias("members"))
@@ -196,7 +222,7 @@ def cross_pairs(mixed: DataFrame, profiles: DataFrame | None = None, percent: in
         rows.select("group", F.lit(1), "key", "node", "component", none.cast("long"), none.cast("binary"))
     )
     both = both.repartition(shuffle_width(mixed.sparkSession), "group").sortWithinPartitions("group", "kind", "key")
-    return both.mapInArrow(_cross(percent if profiles is not None else 0), "a long, b long").distinct()
+    return both.mapInArrow(_cross(percent if profiles is not None else 0, seed), "a long, b long").distinct()
 
 
 def link_by_keys(
@@ -208,9 +234,9 @@ def link_by_keys(
     that link. ``profiles`` (``node, n, sketch``) rules pairs out beforehand.
 
     In each of some rounds a node is compared with one other: of its keys that lie in several components, the least node of the
-    least component. So a large group of copies costs a comparison per copy and round, and then lies in one
-    component, whatever its keys. The keys that still lie in several components are looked through by
-    :func:`cross_pairs`; so no link is lost.
+    least component. Then the keys that still lie in several components are looked through by :func:`cross_pairs`, which gives
+    each node some partners first, so that a large group of similar nodes costs a few comparisons per node and then
+    lies in one component, and at last all pairs that are left. So no link is lost.
     """
     tied: DataFrame | None = None
     live = members
@@ -221,13 +247,20 @@ def link_by_keys(
         if profiles is not None:
             pairs = ruled(pairs, profiles, percent)
         links = staged(verify(pairs), "links")
-        new = links.count()
         tied = _grown(tied, links)
         live = mixed.select("key", "node")
-        if 50 * new < live.select("node").distinct().count():
+        if TIED_SHARE * links.count() < live.select("node").distinct().count():
             break
-    mixed = _mixed(live, tied)
-    return _grown(tied, verify(cross_pairs(mixed.select("key", "node", "component", "c"), profiles, percent)))
+    for seed in range(PASSES):
+        mixed = _mixed(live, tied).select("key", "node", "component", "c")
+        pairs = staged(cross_pairs(mixed, profiles, percent, seed), "cross-pairs")
+        tied = _grown(tied, verify(pairs.where("a < b")))
+        more = pairs.where("a = b").select(F.col("a").alias("node"))
+        if more.isEmpty():
+            return tied
+        live = mixed.select("key", "node").join(more, "node", "left_semi")
+    mixed = _mixed(live, tied).select("key", "node", "component", "c")
+    return _grown(tied, verify(cross_pairs(mixed, profiles, percent)))
 
 
 def _mixed(live: DataFrame, tied: DataFrame | None) -> DataFrame:

@@ -98,7 +98,8 @@ def _band_keys(found: np.ndarray, hot: np.ndarray, band: int, most: int) -> np.n
     blocks = max(LEAST_BLOCKS, GROWTH ** (band + 1))
     seed = np.uint64(band + 1)
     place = mix(found ^ mix(np.full(1, seed))) % np.uint64(blocks)
-    order = np.argsort(place, kind="stable")
+    # Numbers of 16 bits are sorted digit by digit.
+    order = np.argsort(place.astype(np.uint16) if blocks <= 1 << 16 else place, kind="stable")
     place = place[order]
     starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     parity = np.bitwise_xor.reduceat(found[order], starts)

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 WORDS_PER_SHINGLE = 5
-CACHED, LONGEST_CACHED = 100_000, 64  # words remembered at a time, some 15 MB; longer ones are not
+CACHED, LONGEST_CACHED = 200_000, 64  # words remembered at a time, some 30 MB; longer ones are not
 # Odd multipliers of the places in a run, and of the final mix.
 PLACE = np.array([
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,

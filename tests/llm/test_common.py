@@ -2,6 +2,7 @@ import random
 
 import brute
 import numpy as np
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -65,6 +66,19 @@ def test_links_by_keys_lose_none(spark):
     assert got == expected(links)
 
 
+def test_links_among_many_partners(spark, monkeypatch):
+    """One key that all nodes have, links between few of them: some partners first, then all that are left."""
+    monkeypatch.setattr("millrace.llm.linking.ROUNDS", 1)
+    rng = random.Random(9)
+    odd = {n: rng.randrange(9) for n in range(150)}
+    rows = [(k, n) for n in odd for k in (1, 2 + n % 3)]
+    number = F.element_at(F.create_map(*[F.lit(x) for item in odd.items() for x in item]), F.col("a").cast("int"))
+    other = F.element_at(F.create_map(*[F.lit(x) for item in odd.items() for x in item]), F.col("b").cast("int"))
+    members = spark.createDataFrame(rows, "key long, node long")
+    got = {r.node: r.component for r in link_by_keys(members, lambda p: p.where(number == other)).collect()}
+    assert got == expected([(a, b) for a in odd for b in odd if a < b and odd[a] == odd[b]])
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="aAbBÄé \t\n\x0b\x1c\x85\xa0", max_size=60))
 def test_shingles(text):
