@@ -17,7 +17,7 @@ TIED_SHARE = 4  # one in so many
 PARTNERS, PASSES = 8, 2  # a pass over the keys gives each node so many partners; the last pass gives all that are left
 GROUP_ROWS = 100_000  # keys and members that are looked through together
 KEY_MEMBERS = 16_384  # members of a key that are compared with one another at a time
-PAIRS = 1 << 21  # pairs at hand at a time
+PAIRS = 1 << 18  # pairs at hand at a time
 LEAST_BITS = 256
 PROFILE = "node long, n long, sketch binary"
 

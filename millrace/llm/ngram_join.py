@@ -18,6 +18,7 @@ PERCENT = 75
 GROWTH = 4  # sizes of a band lie between a power of this and the next
 LEAST_BLOCKS = 64
 LOCAL_HOT, HOT, MAX_HOT = 3, 32, 1 << 17
+EMIT_BYTES = 6 << 20  # of text whose keys a task holds at a time
 AT_HAND = 4000  # documents whose sets a task holds at a time
 PROFILE = "doc_id long, n long, mark1 long, mark2 long, kind int, sketch binary"
 MEMBERS_AT_ONCE = 256  # texts compared with one other by a task
@@ -127,10 +128,10 @@ def _emit(hot_values: np.ndarray) -> Callable:
         hashes = WordHashes()
 
         def run(batch: pa.RecordBatch):
-            texts, seen = batch.column(1).to_pylist(), set()
-            for at in range(0, len(texts), 2000):
+            seen: set[int] = set()
+            for piece in text_slices(batch, 1, EMIT_BYTES):
                 keys, nodes = [np.empty(0, np.uint64)], []
-                for text in texts[at:at + 2000]:
+                for text in piece.column(1).to_pylist():
                     found = shingle_set(hashes.of(text))
                     node = _node(found)
                     if node in seen:
