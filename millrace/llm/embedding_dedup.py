@@ -18,7 +18,7 @@ from millrace.llm.shingles import mix
 COSINE = 0.9
 SAMPLE = 8192  # vectors that the rotations are learned from; all vectors are indexed
 RECALL = 0.97
-MAX_TABLES = 400
+LEARNED = 400  # tables of learned rotations; any beyond these are of random directions
 MOST_BITS = 64
 BLOCK = 1024  # vectors of a bucket that one task compares with as many others
 FOUND = "node long, links long, root long"
@@ -85,6 +85,8 @@ def fit_tables(sample: np.ndarray, vectors: int, cosine: float = COSINE, recall:
     a quarter of another vector. As many tables are taken as it needs for pairs of just the wanted
     cosine, made from the sample, to share a bucket with probability ``recall``. Pairs are of two kinds, and each
     has to reach it: those that differ in any direction, and those that differ as the vectors themselves do.
+    Rotations learned from data of a few directions may come out alike; random directions, which any
+    pair at that angle shares a table of sooner or later, end the search then. There is no largest number of tables.
     """
     size = sample.shape[1]
     width = min(48, max(6, math.ceil(math.log2(max(2, vectors))) + 2))
@@ -99,9 +101,12 @@ def fit_tables(sample: np.ndarray, vectors: int, cosine: float = COSINE, recall:
     tables = 0
     met = 0.0
     fitted = HammingTables(size, mean, np.empty((size, 0)), np.empty(0), width, 0)
-    while met < recall and tables < MAX_TABLES:
+    while met < recall:
         seed = fitted.axes.shape[1]
-        if seed // bits % 2:
+        if seed >= LEARNED * width:
+            axes = np.random.default_rng(seed).standard_normal((size, max(bits, width)))
+            cuts = np.zeros(axes.shape[1])
+        elif seed // bits % 2:
             # Every other rotation is about the origin, where an angle turns over as many bits in any data.
             axes = learn_rotation(sample, bits, seed)
             cuts = -(mean @ axes)
