@@ -13,17 +13,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.colliding import colliding, scan_tasks
-from millrace.llm.common import bloom_words, components, may_be_in, shuffle_width, staged
+from millrace.llm.common import bloom_words, may_be_in, staged, text_slices
+from millrace.llm.linking import link_by_keys, parity_sketch
 from millrace.llm.shingles import WORDS_PER_SHINGLE, WordHashes, mix, shingles
 
 PASSAGE_WORDS = 32  # the shortest paragraph that counts
 GUARANTEE = 51  # a run of so many equal words holds an anchored paragraph in common for certain
 SPAN = GUARANTEE - PASSAGE_WORDS  # a paragraph is anchored in every so many consecutive places
-SIMILARITY = 0.75
+PERCENT = 75
+SIMILARITY = PERCENT / 100
 RECALL = 0.97
 SEED = np.uint64(0x51_7C_C1_B7_27_22_0A_95)
-SKETCH_BITS = 512
-BLOCK = 512  # lines of a key that one task compares with as many others
 LINES = "node long, doc_id long, pos int, words int, sketch binary, grams array<long>"
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -47,11 +47,17 @@ def anchors(grams: np.ndarray, span: int) -> np.ndarray:
     """Places of the least hash of every ``span`` consecutive ones (all, where there are fewer)."""
     if len(grams) <= span:
         return np.array([int(grams.argmin())]) if len(grams) else np.empty(0, np.int64)
-    windows = np.lib.stride_tricks.sliding_window_view(grams, span)
-    return np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
+    least, wide = np.arange(len(grams)), 1
+    while wide < span:  # the first least place of a window, from those of two windows that make it up
+        step = min(wide, span - wide)
+        one, two = least[:-step], least[step:]
+        least, wide = np.where(grams[two] < grams[one], two, one), wide + step
+    return least[np.append(True, least[1:] != least[:-1])]
 
 
-def passages(words: np.ndarray, size: int = PASSAGE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+def passages(
+    words: np.ndarray, size: int = PASSAGE_WORDS, grams: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Keys and first words of the anchored paragraphs of ``size`` words in the running text.
 
     Where a paragraph begins is told by the words after that place alone, so equal runs of
@@ -59,7 +65,7 @@ def passages(words: np.ndarray, size: int = PASSAGE_WORDS) -> tuple[np.ndarray,
     """
     if len(words) < size:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    grams = shingles(words)
+    grams = shingles(words) if grams is None else grams
     starts = anchors(grams, GUARANTEE - size)
     starts = starts[starts + size <= len(words)]
     per = size - WORDS_PER_SHINGLE + 1
@@ -80,191 +86,135 @@ def lines_of(text: str, hashes: WordHashes) -> tuple[np.ndarray, list[tuple[int,
     return np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words)), spans
 
 
-def band_keys(grams: np.ndarray) -> np.ndarray:
-    """A key per band: the hash of the least values of its rows."""
-    least = (grams[None, :] * FACTORS[:, None]).min(axis=1).reshape(BANDS, ROWS)
-    keys = np.arange(BANDS, dtype=np.uint64) + np.uint64(1)
+def band_keys(grams: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A key per line and band: the hash of the least values of its rows. A line's shingles begin at its start."""
+    least = np.stack([np.minimum.reduceat(grams * factor, starts) for factor in FACTORS], axis=1)
+    least = least.reshape(len(starts), BANDS, ROWS)
+    keys = np.tile(np.arange(BANDS, dtype=np.uint64) + np.uint64(1), (len(starts), 1))
     for row in range(ROWS):
-        keys = mix(keys ^ least[:, row])
+        keys = mix(keys ^ least[:, :, row])
     return keys
 
 
+def line_grams(grams: np.ndarray, first: int, last: int) -> np.ndarray:
+    """The shingles of a line, of those of its whole text."""
+    return grams[first:last - WORDS_PER_SHINGLE + 1]
+
+
 def _emit() -> Callable:
     """Keys of all paragraphs. A place is twice the first word, plus one for a line."""
     hashes = WordHashes()
 
+    def slice_keys(ids: np.ndarray, texts: list[str | None]) -> tuple:
+        keys, places, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        sets, of, at = [], [], []
+        for doc_id, text in zip(ids, texts, strict=True):
+            words, lines = lines_of(text or "", hashes)
+            if len(words) < PASSAGE_WORDS:
+                continue
+            grams = shingles(words)
+            found, starts = passages(words, grams=grams)
+            keys.append(found)
+            places.append(2 * starts)
+            owners.append(np.full(len(found), doc_id, dtype=np.int64))
+            for first, last in lines:
+                sets.append(line_grams(grams, first, last))
+                of.append(doc_id)
+                at.append(2 * first + 1)
+        if sets:
+            keys.append(band_keys(np.concatenate(sets), np.cumsum([0, *map(len, sets[:-1])])).ravel())
+            places.append(np.repeat(np.array(at, dtype=np.int64), BANDS))
+            owners.append(np.repeat(np.array(of, dtype=np.int64), BANDS))
+        return np.concatenate(keys), np.concatenate(owners), np.concatenate(places).astype(np.int32)
+
     def run(batch: pa.RecordBatch):
-        ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
-        for at in range(0, len(texts), 2000):
-            keys, places, of = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], []
-            for doc_id, text in zip(ids[at:at + 2000], texts[at:at + 2000], strict=True):
-                if not text:
-                    continue
-                words, lines = lines_of(text, hashes)
-                found, starts = passages(words)
-                keys.append(found)
-                places.append(2 * starts)
-                for first, last in lines:
-                    keys.append(band_keys(shingles(words[first:last])))
-                    places.append(np.full(BANDS, 2 * first + 1))
-                of.append((doc_id, len(found) + BANDS * len(lines)))
-            owners = np.repeat(np.array([i for i, _ in of], dtype=np.int64), [n for _, n in of])
-            yield np.concatenate(keys), owners, np.concatenate(places).astype(np.int32)
+        for rows in text_slices(batch, 1):
+            yield slice_keys(rows.column(0).to_numpy(zero_copy_only=False), rows.column(1).to_pylist())
 
     return run
 
 
-def sketch(grams: np.ndarray) -> bytes:
-    """The set's parity in ``SKETCH_BITS`` bits: each element turns one bit over."""
-    odd = np.bincount((grams % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
-
-
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lines of a document that stand at the given places, with their shingle sets."""
     hashes = WordHashes()
     for batch in batches:
-        rows = []
-        for doc_id, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            wanted = set(wanted)
-            words, lines = lines_of(text or "", hashes)
-            for first, last in lines:
-                if 2 * first + 1 in wanted:
-                    line = words[first:last]
-                    grams = np.unique(shingles(line))
-                    order = mix(np.arange(len(line), dtype=np.uint64) + SEED)
-                    node = mix((line * order).sum(keepdims=True, dtype=np.uint64)).view(np.int64)
-                    rows.append((int(node[0]), doc_id, 2 * first + 1, len(line), sketch(grams), grams.view(np.int64)))
-        for at in range(0, len(rows), 5000):
-            node, doc_id, pos, words, marks, grams = zip(*rows[at:at + 5000], strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(node, pa.int64()), pa.array(doc_id, pa.int64()), pa.array(pos, pa.int32()),
-                 pa.array(words, pa.int32()), pa.array(marks, pa.binary()), pa.array(grams, pa.list_(pa.int64()))],
-                names=["node", "doc_id", "pos", "words", "sketch", "grams"],
-            )
-
-
-def _tree(nodes: np.ndarray, marks: np.ndarray, grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Similar pairs, as few as tie together all lines that such pairs do.
-
-    A pair joins the tree only after its sets are compared; size and sketch rule pairs out before that.
-    """
-    sizes = np.array([len(g) for g in grams], dtype=np.int64)
-    differ = np.bitwise_count(marks[:, None, :] ^ marks[None, :, :]).sum(axis=2, dtype=np.int64)
-    small, large = (f.outer(sizes, sizes) for f in (np.minimum, np.maximum))
-    near = (small >= SIMILARITY * large) & ((1 + SIMILARITY) * differ <= (1 - SIMILARITY) * (small + large))
-    near &= nodes[:, None] != nodes[None, :]
-    values, places = np.unique(np.concatenate(grams), return_inverse=True)
-    places = np.split(places, np.cumsum(sizes)[:-1])
-    marked = np.zeros(len(values), bool)
-    open_ = np.ones(len(nodes), bool)
-    one, two = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for first in range(len(nodes)):
-        front = [first] if open_[first] else []
-        open_[first] = False
-        while front:
-            at = front.pop()
-            some = np.flatnonzero(open_ & near[at])
-            if not len(some):
-                continue
-            marked[places[at]] = True
-            starts = np.cumsum(np.append(0, sizes[some][:-1]))
-            shared = np.add.reduceat(marked[np.concatenate([places[i] for i in some])], starts, dtype=np.int64)
-            marked[places[at]] = False
-            found = some[shared >= SIMILARITY * (sizes[at] + sizes[some] - shared)]
-            one.append(np.full(len(found), nodes[at]))
-            two.append(nodes[found])
-            front.extend(found.tolist())
-            open_[found] = False
-    return np.concatenate(one), np.concatenate(two)
-
-
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare the lines of each block of a key; rows are sorted by block."""
-    for rows in _blocks(batches):
-        one, two = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        starts = np.flatnonzero(np.concatenate([[True], np.any(
-            [rows[c][1:] != rows[c][:-1] for c in ("key", "lo", "hi")], axis=0
-        )]))
-        several = np.flatnonzero(np.diff(np.append(starts, len(rows["key"]))) > 1)
-        ends = np.append(starts, len(rows["key"]))
-        for i in several.tolist():
-            at = slice(ends[i], ends[i + 1])
-            a, b = _tree(rows["node"][at], rows["sketch"][at], rows["grams"][at].tolist())
-            one.append(a)
-            two.append(b)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(one)), pa.array(np.concatenate(two))], names=["a", "b"]
-        )
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
-    """Columns of whole blocks: what a batch breaks off in goes with the next."""
-    held = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = {c: batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("key", "lo", "hi", "node", "grams")}
-        marks = batch.column(batch.schema.get_field_index("sketch")).to_pylist()
-        rows["sketch"] = np.frombuffer(b"".join(marks), dtype=np.uint64).reshape(len(marks), -1)
-        if held is not None:
-            rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
-        last = np.flatnonzero(np.any([rows[c] != rows[c][-1] for c in ("key", "lo", "hi")], axis=0))
-        cut = int(last[-1]) + 1 if len(last) else 0
-        if cut:
-            yield {c: v[:cut] for c, v in rows.items()}
-        held = {c: v[cut:] for c, v in rows.items()}
-    if held is not None:
-        yield held
-
-
-def near_lines(keyed: DataFrame, contents: DataFrame, width: int) -> DataFrame:
-    """Distinct pairs ``a, b`` of lines with a common key (``key``, ``node``) and Jaccard ``SIMILARITY``.
-
-    The lines of a key are compared in blocks of ``BLOCK`` against each other, spread over
-    tasks, by their whole sets. A block gives only as many pairs as tie together what is similar, so a line
-    that very many documents vary costs pairs in proportion to their number.
+        for part in text_slices(batch, 1):
+            rows = []
+            for doc_id, text, wanted in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                wanted = set(wanted)
+                words, lines = lines_of(text or "", hashes)
+                grams = shingles(words)
+                for first, last in lines:
+                    if 2 * first + 1 in wanted:
+                        line = words[first:last]
+                        found = np.unique(line_grams(grams, first, last))
+                        order = mix(np.arange(len(line), dtype=np.uint64) + SEED)
+                        node = mix((line * order).sum(keepdims=True, dtype=np.uint64)).view(np.int64)
+                        rows.append((int(node[0]), doc_id, 2 * first + 1, len(line), parity_sketch(found), found.view(np.int64)))
+            if rows:
+                node, doc_id, pos, words, marks, grams = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node, pa.int64()), pa.array(doc_id, pa.int64()), pa.array(pos, pa.int32()),
+                     pa.array(words, pa.int32()), pa.array(marks, pa.binary()), pa.array(grams, pa.list_(pa.int64()))],
+                    names=["node", "doc_id", "pos", "words", "sketch", "grams"],
+                )
+
+
+def tied_lines(keyed: DataFrame, contents: DataFrame) -> DataFrame:
+    """``node, component`` of the lines tied by pairs with a common key (``key``, ``node``) and Jaccard ``SIMILARITY``.
+
+    Pairs are taken as :func:`link_by_keys` gives them, so a line that very many documents vary costs some
+    comparisons per variant, and no link between lines of different components is left out. A pair's
+    sets meet only if sizes and parity sketches do not rule it out.
     """
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("count")).where("count > 1")
-    sizes = sizes.select("key", F.expr(f"cast((count + {BLOCK} - 1) div {BLOCK} as int)").alias("blocks"))
-    own = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
-    laid = keyed.join(sizes, "key").select(
-        "key", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select("key", "node", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
-    laid = laid.join(contents, "node")
-    laid = laid.repartition(width, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return laid.mapInArrow(_near, "a long, b long").distinct()
+    profiles = contents.select("node", F.size("grams").cast("long").alias("n"), "sketch")
+    sets = [contents.select(F.col("node").alias(x), F.col("grams").alias(f"grams_{x}")) for x in "ab"]
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sets[0], "a").join(sets[1], "b")
+        shared = F.size(F.array_intersect("grams_a", "grams_b"))
+        every = F.size("grams_a") + F.size("grams_b") - shared
+        return both.where(100 * shared >= PERCENT * every).select("a", "b")
+
+    return link_by_keys(keyed, verify, profiles, PERCENT)
 
 
 def _longer() -> Callable:
     """Keys of the wanted stretches with 1, 2, ... more words before or after them, fewer than ``SPAN``.
 
-    A wanted place is four times the first word, plus two for words before and one for words after. The key ends in
-    the number of words that were added; a place is the first word of the longer stretch.
+    A wanted place is the first word and, in five bits each, the least numbers of words before and after (0: none),
+    then two bits for what the document itself asks for, before and after. The key ends in the number of words that
+    were added; a place is twice the first word of the longer stretch, plus one if its document asks.
     """
     hashes = WordHashes()
+    steps = np.arange(SPAN - 1)
+    number = (steps + 1).astype(np.uint64)
 
     def run(batch: pa.RecordBatch):
-        rows = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
-        while some := list(itertools.islice(rows, 200)):
-            keys, places, of = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], []
-            for doc_id, text, wanted in some:
-                words, _ = lines_of(text or "", hashes)
-                count = 0
-                for start, sides in (divmod(w, 4) for w in wanted):
-                    stop = start + PASSAGE_WORDS
-                    whole = (words[start:stop] * PLACES).sum(dtype=np.uint64)
-                    before, after = words[max(0, start - SPAN + 1):start][::-1], words[stop:stop + SPAN - 1]
-                    for side, added in ((2, before), (1, after)):
-                        if sides & side and len(added):
-                            number = np.arange(1, len(added) + 1, dtype=np.uint64)
-                            grown = mix(np.cumsum(mix(added) * PLACES[:len(added)]) ^ mix(whole + np.uint64(side)))
-                            keys.append(mix(grown ^ SEED) & ~MORE | number)
-                            places.append(start - number.astype(np.int64) if side == 2 else np.full(len(added), start))
-                            count += len(added)
-                of.append((doc_id, count))
-            owners = np.repeat(np.array([i for i, _ in of], dtype=np.int64), [n for _, n in of])
-            yield np.concatenate(keys), owners, np.concatenate(places).astype(np.int32)
+        for rows in text_slices(batch, 1):
+            ids, texts, wanted = rows.column(0).to_numpy(zero_copy_only=False), rows.column(1).to_pylist(), rows.column(2).to_pylist()
+            texts = [hashes.of(t) for t in texts]
+            ends = np.cumsum([len(t) for t in texts])
+            words = np.append(np.concatenate(texts), np.uint64(0))
+            per = [len(w) for w in wanted]
+            codes = np.fromiter(itertools.chain.from_iterable(wanted), dtype=np.int64, count=sum(per))
+            doc = np.repeat(np.arange(len(per)), per)
+            low = np.append(0, ends)[doc]
+            starts, high = (codes >> 12) + low, ends[doc]
+            whole = (words[starts[:, None] + np.arange(PASSAGE_WORDS)] * PLACES).sum(axis=1, dtype=np.uint64)
+            for side, least in ((2, codes >> 7 & 31), (1, codes >> 2 & 31)):
+                some = np.flatnonzero(least)
+                first = starts[some, None]
+                at = first - 1 - steps if side == 2 else first + PASSAGE_WORDS + steps
+                there = at >= low[some, None] if side == 2 else at < high[some, None]
+                there &= number >= least[some, None].astype(np.uint64)
+                added = mix(words[np.clip(at, 0, len(words) - 1)]) * PLACES[:SPAN - 1]
+                grown = mix(np.cumsum(added, axis=1, dtype=np.uint64) ^ mix(whole[some] + np.uint64(side))[:, None])
+                keys = mix(grown ^ SEED) & ~MORE | number
+                places = np.broadcast_to(at if side == 2 else first, at.shape) - low[some, None]
+                asked = (codes[some] // side & 1)[:, None]
+                owners = np.broadcast_to(ids[doc[some], None], at.shape)
+                yield keys[there], owners[there], (2 * places + asked)[there].astype(np.int32)
 
     return run
 
@@ -273,25 +223,37 @@ def to_run_ends(stretches: DataFrame, docs: DataFrame, tasks: int) -> DataFrame:
     """Longer stretches ``cluster, id, start, words`` that reach the ends of equal runs.
 
     A document's words within a run that an earlier document holds too lie in the run's stretches, but for fewer
-    than ``SPAN`` words before its first one and after its last. So those are taken along, of every document, around the
-    stretches that begin or end a chain of stretches with an earlier document in any one.
+    than ``SPAN`` words before its first one and after its last. Any stretch held by an earlier document (a late one) may be
+    the first or the last of such a run, and asks for the words around it as far as other late stretches do
+    not cover them. Earlier documents with a stretch that asks answer. Rows are those that ask, and of each longer
+    stretch the one of least id.
     """
     first = stretches.groupBy("cluster").agg(F.min("id").alias("first_id"))
-    order = Window.partitionBy("id").orderBy("start")
-    late = stretches.join(first, "cluster").where("id > first_id").select("cluster", "id", "start").distinct()
-    ends = late.select(
-        "cluster",
-        F.coalesce(F.col("start") - F.lag("start").over(order) > SPAN, F.lit(True)).alias("before"),
-        F.coalesce(F.lead("start").over(order) - F.col("start") > SPAN, F.lit(True)).alias("after"),
-    ).groupBy("cluster").agg((2 * F.max("before").cast("int") + F.max("after").cast("int")).alias("sides")).where("sides > 0")
-    wanted = stretches.join(ends, "cluster").groupBy(F.col("id").alias("doc_id")).agg(
-        F.collect_set(4 * F.col("start").cast("long") + F.col("sides")).alias("wanted")
+    late = F.when(F.col("id") > F.col("first_id"), F.col("start"))
+    rows = stretches.select("cluster", "id", "start").join(first, "cluster").withColumn("late", late)
+    around = Window.partitionBy("id").orderBy("start").rangeBetween
+    most = SPAN - 1
+    before, after = (F.count("late").over(around(*r)) == 0 for r in ((-PASSAGE_WORDS, -most), (most, PASSAGE_WORDS)))
+    rows = rows.select(
+        "cluster", "id", "start",
+        F.when(before, F.col("late") - F.min("late").over(around(1 - most, 0)) + 1).alias("before"),
+        F.when(after, F.max("late").over(around(0, most - 1)) - F.col("late") + 1).alias("after"),
+    )
+    rows = staged(rows, "chains")
+    ends = rows.where("before is not null or after is not null").groupBy("cluster").agg(
+        F.coalesce(F.min("before"), F.lit(0)).alias("least_before"), F.coalesce(F.min("after"), F.lit(0)).alias("least_after"),
+        F.max("id").alias("last_id"),
+    )
+    own = F.when(F.col("before").isNotNull(), 2).otherwise(0) + F.when(F.col("after").isNotNull(), 1).otherwise(0)
+    code = 4096 * F.col("start").cast("long") + 128 * F.col("least_before") + 4 * F.col("least_after") + own
+    wanted = rows.join(ends, "cluster").where("id <= last_id").groupBy(F.col("id").alias("doc_id")).agg(
+        F.collect_set(code).alias("wanted")
     )
     wanted = staged(wanted, "ends")
     some = may_be_in(bloom_words(wanted, "doc_id"), docs, "doc_id").join(wanted, "doc_id").select("doc_id", "text", "wanted")
-    found = staged(colliding(some, _longer, tasks), "longer")
+    found = staged(colliding(some, _longer, tasks, asked=True), "longer")
     return found.select(
-        F.col("key").alias("cluster"), "id", F.col("pos").alias("start"),
+        F.col("key").alias("cluster"), "id", F.expr("cast(pos div 2 as int)").alias("start"),
         F.expr(f"cast({PASSAGE_WORDS} + (key & {MORE}) as int)").alias("words"),
     )
 
@@ -327,15 +289,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     contents = staged(found.dropDuplicates(["node"]).select("node", "sketch", "grams"), "contents")
     places = found.select("node", F.col("doc_id").alias("id"), "pos", "words").distinct()
     keyed = lines.join(places, ["id", "pos"]).select("key", "node").distinct()
-    width = max(shuffle_width(docs.sparkSession), 2 * tasks)
-    ends = components(near_lines(keyed, contents, width))
+    ends = tied_lines(staged(keyed, "line-keys"), contents)
     start = F.expr("cast(pos div 2 as int)").alias("start")
     lines = places.join(ends, "node", "left").select(F.coalesce("component", "node").alias("cluster"), "id", start, "words")
 
     stretches = members.where("pos % 2 = 0").select(
         F.col("key").alias("cluster"), "id", start, F.lit(PASSAGE_WORDS).alias("words")
     )
-    every = stretches.unionAll(lines).unionAll(to_run_ends(stretches, docs, tasks)).distinct()
+    every = stretches.unionAll(lines).unionAll(to_run_ends(stretches, docs, tasks))
     keep = every.groupBy("cluster").agg(F.min("id").alias("keep_id"), F.max("id").alias("last"))
     every = every.join(keep.where("keep_id < last"), "cluster")
     every = every.select("id", "keep_id", "start", (F.col("start") + F.col("words")).alias("stop"))

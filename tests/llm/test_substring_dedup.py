@@ -5,8 +5,11 @@ import numpy as np
 
 import pytest
 
+from millrace.llm.linking import parity_sketch
 from millrace.llm.shingles import WordHashes, shingle_set
-from millrace.llm.substring_dedup import GUARANTEE, _tree, passages, repeated_passages, sketch, tune_bands, without_repeats
+from millrace.llm.substring_dedup import (
+    GUARANTEE, PASSAGE_WORDS, anchors, passages, repeated_passages, tied_lines, tune_bands, without_repeats,
+)
 
 
 def planted(seed=3):
@@ -64,7 +67,7 @@ def test_bands_reach_the_recall():
 
 
 @pytest.mark.parametrize("words", [100, 200, 400, 1000])
-def test_couples_within_a_template(words):
+def test_couples_within_a_template(spark, saved, words):
     """Lines of one template, similar only in couples: every couple is tied, nothing else is."""
     rng, hashes = random.Random(6), WordHashes()
     base, lines = [f"t{i}" for i in range(words)], []
@@ -81,10 +84,42 @@ def test_couples_within_a_template(words):
         (i, j) for i in range(len(lines)) for j in range(i)
         if 4 * len(np.intersect1d(grams[i], grams[j])) >= 3 * len(np.union1d(grams[i], grams[j]))
     }
-    marks = np.frombuffer(b"".join(map(sketch, grams)), dtype=np.uint64).reshape(len(grams), -1)
-    a, b = _tree(np.arange(len(lines)), marks, grams)
-    got = {(max(x), min(x)) for x in zip(a.tolist(), b.tolist(), strict=True)}
-    assert len(linked) == 60 and got == linked
+    rows = [(i, parity_sketch(g), g.view(np.int64).tolist()) for i, g in enumerate(grams)]
+    contents = saved(spark.createDataFrame(rows, "node long, sketch binary, grams array<long>"))
+    got = {(r.node, r.component) for r in tied_lines(contents.selectExpr("7L key", "node"), contents).collect()}
+    assert len(linked) == 60 and {x for x in got if x[0] != x[1]} == linked
+
+
+def test_anchors_are_the_least_of_each_window():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 18, 19, 20, 21, 64, 300):
+        for top in (3, 2**60):  # with ties and without
+            grams = rng.integers(0, top, n, dtype=np.uint64)
+            wanted = {i + int(grams[i:i + 19].argmin()) for i in range(max(1, n - 18))}
+            assert anchors(grams, 19).tolist() == sorted(wanted)
+
+
+def test_cuts_reach_the_ends_of_equal_runs(spark, saved):
+    """Every word in a run of ``GUARANTEE`` words that some earlier document holds is cut, whichever document that is."""
+    rng = random.Random(9)
+    fresh = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    passage, docs = fresh(150), {}
+    for i in range(60):  # overlapping parts of one passage, so the longest run is seldom with the first holder
+        a = rng.randrange(0, 90)
+        part = passage[a:a + rng.randrange(GUARANTEE, 150)]
+        docs[i] = [*fresh(rng.randrange(40)), *part, *fresh(rng.randrange(40))]  # a line per word: lines are too short to count
+    df = saved(spark.createDataFrame([(i, "\n".join(w)) for i, w in docs.items()], "doc_id long, text string").repartition(5))
+    cut = {i: set() for i in docs}
+    for r in repeated_passages(df).where("not kept").collect():
+        cut[r.doc_id].update(range(r.start_word, r.start_word + r.n_words))
+    seen, short = set(), set()
+    for i, words in docs.items():
+        runs = {tuple(words[k:k + GUARANTEE]): k for k in range(len(words) - GUARANTEE + 1)}
+        sure = {j for run, k in runs.items() if run in seen for j in range(k, k + GUARANTEE)}
+        most = {j for k in range(len(words) - PASSAGE_WORDS + 1) if tuple(words[k:k + PASSAGE_WORDS]) in short for j in range(k, k + PASSAGE_WORDS)}
+        assert sure <= cut[i] <= most
+        seen.update(runs)
+        short.update(tuple(words[k:k + PASSAGE_WORDS]) for k in range(len(words) - PASSAGE_WORDS + 1))
 
 
 def test_couples_in_documents(spark, saved):
